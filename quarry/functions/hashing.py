@@ -42,13 +42,13 @@ def uniform01(*keys, seed: int = 0) -> Column:
 
 def mix_hash_sql(*keys: str, seed: int = 0) -> str:
     """The same hash as SQL text (for the oracle)."""
-    h = str(seed % PRIME)
+    h = f"CAST({seed % PRIME} AS BIGINT)"
 
     def pm(x):
         return f"((({x}) % {PRIME} + {PRIME}) % {PRIME})"
 
     for k in keys:
-        h = pm(f"{pm(f'{h} + {pm(k)}')} * {MULT_A} + {OFFSET}")
+        h = pm(f"{pm(f'{h} + {pm(f'CAST({k} AS BIGINT)')}')} * {MULT_A} + {OFFSET}")
         h = pm(f"{pm(h)} * {MULT_B} + {OFFSET}")
     return h
 

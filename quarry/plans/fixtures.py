@@ -288,3 +288,22 @@ def pixels(spark, d):
 
 PIXELS_SQL = ("SELECT l_suppkey AS image_id, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS truth, "
               "CASE WHEN l_discount > 0.05 THEN 1 ELSE 0 END AS predicted FROM lineitem")
+
+
+# ---------------------------------------------------------------- FIX-1 with row keys, canonicalised
+
+def keyed_plays(spark: SparkSession, d: str) -> DataFrame:
+    """Plays with the lineitem row key (l_orderkey, l_linenumber, l_partkey, l_suppkey), which is unique."""
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    return (li.join(o, li.l_orderkey == o.o_orderkey)
+            .select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                    F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("item_id"),
+                    F.col("l_quantity").cast("long").alias("plays")))
+
+
+KEYED_PLAYS_SQL = ("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, o_custkey AS user_id, l_partkey AS item_id, "
+                   "CAST(trunc(l_quantity) AS BIGINT) AS plays FROM lineitem JOIN orders ON l_orderkey = o_orderkey")
+CANON_SQL = ("SELECT p.l_orderkey, p.l_linenumber, p.l_partkey, p.l_suppkey, p.user_id, "
+             "coalesce(a.good_id, p.item_id) AS item_id, p.plays FROM kp p LEFT JOIN "
+             "(SELECT bad_id, arg_max(good_id, line_no) AS good_id FROM al GROUP BY bad_id) a ON p.item_id = a.bad_id")
