@@ -158,3 +158,35 @@ def fit_logistic(train: DataFrame, features="features", label="label"):
     n = train.count()
     return LogisticRegression(regParam=1.0 / max(n, 1), elasticNetParam=0.0, standardization=False,
                               featuresCol=features, labelCol=label, maxIter=200).fit(train)
+
+
+# ------------------------------------------------------------------ Bernoulli naive Bayes on sparse presence rows
+
+def bernoulli_nb_fit(presence: DataFrame, labels: DataFrame, features: DataFrame, alpha: float = 1.0) -> tuple[DataFrame, DataFrame]:
+    """Bernoulli naive Bayes with additive smoothing ``alpha`` on the feature likelihoods and the
+    empirical class prior n_c / n (no smoothing of the prior).
+
+    ``presence(doc_id, word)`` lists the selected features present in each document; ``labels(doc_id,
+    label)``; ``features(word)``.  Returns ``(base(label, base), delta(label, word, delta))`` where a
+    document's log-posterior is ``base + Σ_{present words} delta`` —
+    base = log prior + Σ_f log(1 − p_cf), delta = log p_cf − log(1 − p_cf)."""
+    n = labels.groupBy("label").agg(F.count(F.lit(1)).alias("n_c"))
+    total = labels.agg(F.count(F.lit(1)).alias("__n"))
+    cnt = presence.join(labels, "doc_id").groupBy("label", "word").agg(F.count(F.lit(1)).alias("k"))
+    # classes x selected words: a handful of classes times the feature vocabulary
+    grid = F.broadcast(n).crossJoin(features.select("word").distinct())
+    p = (grid.join(cnt, ["label", "word"], "left")
+         .withColumn("p", (F.coalesce("k", F.lit(0)) + alpha) / (F.col("n_c") + 2 * alpha)))
+    delta = p.select("label", "word", (F.log("p") - F.log(1 - F.col("p"))).alias("delta"))
+    base = (p.groupBy("label", "n_c").agg(F.sum(F.log(1 - F.col("p"))).alias("__s")).crossJoin(total)
+            .select("label", (F.log(F.col("n_c") / F.col("__n")) + F.col("__s")).alias("base")))
+    return base, delta
+
+
+def bernoulli_nb_predict(presence: DataFrame, docs: DataFrame, base: DataFrame, delta: DataFrame) -> DataFrame:
+    """``(doc_id, predicted)``: the class with the highest log-posterior (ties to the smaller label)."""
+    s = presence.join(delta, "word").groupBy("doc_id", "label").agg(F.sum("delta").alias("__d"))
+    allc = docs.select("doc_id").distinct().crossJoin(F.broadcast(base))
+    scored = (allc.join(s, ["doc_id", "label"], "left")
+              .withColumn("score", F.col("base") + F.coalesce("__d", F.lit(0.0))))
+    return scored.groupBy("doc_id").agg(F.max_by("label", F.struct(F.col("score"), -F.col("label"))).alias("predicted"))

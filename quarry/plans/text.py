@@ -243,8 +243,36 @@ def _evaluate(model, data):
     return p.select("doc_id", F.col("label").cast("int").alias("actual"), F.col("prediction").cast("int").alias("predicted"))
 
 
-@register("bernoulli_nb", "2.9")
+NB_SQL = FEAT_SQL + (
+    ", pres2 AS (SELECT DISTINCT w.doc_id, w.word FROM (SELECT doc_id, unnest(tokens) AS word FROM lt) w JOIN feat USING (word)), "
+    "tr AS (SELECT doc_id, label FROM lt WHERE split = 'train'), "
+    "nc AS (SELECT label, count(*) AS n_c FROM tr GROUP BY label), "
+    "k AS (SELECT tr.label, p.word, count(*) AS k FROM pres2 p JOIN tr USING (doc_id) GROUP BY 1, 2), "
+    "pp AS (SELECT nc.label, feat.word, (coalesce(k.k, 0) + 1.0) / (nc.n_c + 2.0) AS p, nc.n_c FROM nc CROSS JOIN feat "
+    "LEFT JOIN k ON k.label = nc.label AND k.word = feat.word), "
+    "base AS (SELECT label, ln(any_value(n_c) / (SELECT count(*) FROM tr)) + sum(ln(1 - p)) AS base FROM pp GROUP BY label), "
+    "te AS (SELECT doc_id, label FROM lt WHERE split = 'test'), "
+    "sc AS (SELECT te.doc_id, base.label, base.base + coalesce((SELECT sum(ln(pp.p) - ln(1 - pp.p)) FROM pres2 "
+    "JOIN pp ON pp.word = pres2.word WHERE pres2.doc_id = te.doc_id AND pp.label = base.label), 0) AS score FROM te CROSS JOIN base) "
+    "SELECT te.doc_id, te.label AS actual, arg_max(sc.label, (sc.score, -sc.label)) AS predicted FROM te JOIN sc USING (doc_id) "
+    "GROUP BY te.doc_id, te.label")
+
+
+@register("bernoulli_nb", "2.9", NB_SQL)
 def q_bernoulli_nb(spark, d):
+    lt = labelled_tokens(spark, d)
+    feats = train_features(spark, d)
+    pres = tm.binary_features(lt, feats).select("doc_id", "word")
+    train = lt.filter(F.col("split") == "train").select("doc_id", "label")
+    test = lt.filter(F.col("split") == "test").select("doc_id", F.col("label").alias("actual"))
+    base, delta = tm.bernoulli_nb_fit(pres.join(train, "doc_id", "left_semi"), train, feats, 1.0)
+    pred = tm.bernoulli_nb_predict(pres.join(test, "doc_id", "left_semi"), test, base, delta)
+    return test.join(pred, "doc_id").select("doc_id", "actual", "predicted")
+
+
+@register("bernoulli_nb_spark_ml", "2.9")
+def q_bernoulli_nb_spark_ml(spark, d):
+    """The same classifier through ``ml.classification.NaiveBayes`` (its class prior is smoothed)."""
     data = _vectorised(spark, d).cache()
     return _evaluate(tm.fit_bernoulli_nb(data.filter(F.col("split") == "train")), data)
 
