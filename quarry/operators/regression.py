@@ -237,13 +237,14 @@ def partial_residuals(res: DataFrame, fit: LinearFit) -> DataFrame:
                              for nm, b in zip(fit.names, fit.coef)])
 
 
-def added_variable(df: DataFrame, xcols: list[str], ycol: str, j: str, key: list[str]) -> DataFrame:
-    """Residual pairs of the added-variable plot of predictor ``j``: y and x_j each regressed on the
-    other predictors."""
+def added_variable(df: DataFrame, xcols: list[str], ycol: str, j: str, fit_on: DataFrame | None = None) -> DataFrame:
+    """Adds the residual pair of the added-variable plot of predictor ``j``: y and x_j each regressed on
+    the other predictors (fitted on ``fit_on``, default ``df``), as columns of the same rows."""
+    base = fit_on if fit_on is not None else df
     others = [c for c in xcols if c != j]
-    fy = ols_fit(df, others, ycol)
-    fx_ = ols_fit(df, others, j)
-    return df.select(*key, (F.col(ycol) - fy.fitted()).alias(f"av_y_{j}"), (F.col(j) - fx_.fitted()).alias(f"av_{j}"))
+    fy = ols_fit(base, others, ycol)
+    fx_ = ols_fit(base, others, j)
+    return df.withColumn(f"av_y_{j}", F.col(ycol) - fy.fitted()).withColumn(f"av_{j}", F.col(j) - fx_.fitted())
 
 
 def spread_level(res: DataFrame) -> DataFrame:

@@ -184,14 +184,14 @@ def q_spread_coverage(spark, d):
 def typed_graph(spark, d):
     return hetero.heterogeneous_graph(fx.movies(spark, d), fx.directors(spark, d), fx.actors(spark, d),
                                       fx.genres(spark, d), fx.ratings(spark, d),
-                                      ["l_orderkey", "l_linenumber", "l_suppkey"])
+                                      ["l_orderkey", "l_linenumber", "l_suppkey", "rating"])
 
 
 def _hetero_sql():
     return fx.with_sql(
         mv=fx.MOVIES_SQL, di=fx.DIRECTORS_SQL, ac=fx.ACTORS_SQL, ge=fx.GENRES_SQL, ra=fx.RATINGS_SQL,
         r="SELECT 'u' || CAST(user_id AS VARCHAR) AS u, 'm' || CAST(movie_id AS VARCHAR) AS m, "
-          "CAST(round(arg_max(rating, (l_orderkey, l_linenumber, l_suppkey))) AS INTEGER) AS star FROM ra GROUP BY user_id, movie_id",
+          "CAST(round(arg_max(rating, (l_orderkey, l_linenumber, l_suppkey, rating))) AS INTEGER) AS star FROM ra GROUP BY user_id, movie_id",
         m="SELECT 'm' || CAST(movie_id AS VARCHAR) AS m FROM mv",
         und="SELECT 'node:' || 'm' || CAST(movie_id AS VARCHAR) AS a, 'node:' || arg_max(director, line_no) AS b FROM di "
             "WHERE 'm' || CAST(movie_id AS VARCHAR) IN (SELECT m FROM m) GROUP BY movie_id "

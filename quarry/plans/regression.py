@@ -112,10 +112,10 @@ def q_outlier_test_pvalue(spark, d):
 def q_partial_residuals(spark, d):
     r = rows(spark, d)
     f = rg.ols_fit(r, X, "y")
-    cr = rg.partial_residuals(rg.residual_table(r, f, "y"), f).select(*KEY, "cr_x1", "cr_x2")
-    av1 = rg.added_variable(r, X, "y", "x1", KEY)
-    av2 = rg.added_variable(r, X, "y", "x2", KEY)
-    return cr.join(av1, KEY).join(av2, KEY)
+    cr = rg.partial_residuals(rg.residual_table(r, f, "y"), f)
+    cr = rg.added_variable(cr, X, "y", "x1", fit_on=r)
+    cr = rg.added_variable(cr, X, "y", "x2", fit_on=r)
+    return cr.select(*KEY, "cr_x1", "cr_x2", "av_y_x1", "av_x1", "av_y_x2", "av_x2")
 
 
 @register("spread_level", "2.10", LM + (
