@@ -157,13 +157,18 @@ def write_communities(membership: DataFrame, path: str, max_per_line: int = 100_
 
 
 def read_communities(spark: SparkSession, path: str) -> DataFrame:
-    """Community file → ``membership(id, community)``; lines without an id prefix are numbered in file order."""
+    """Community file → ``membership(id, community)``.  ``community<TAB>members`` lines keep their id; plain
+    ``m1,m2,…`` lines (one cluster per line) are numbered in file order (0, 1, …)."""
     lines = spark.read.text(path)
     has_id = F.instr("value", "\t") > 0
-    return lines.filter(has_id).select(
-        F.substring_index("value", "\t", 1).cast("long").alias("community"),
-        F.explode(F.split(F.substring_index("value", "\t", -1), ",")).alias("id")
-    ).select(F.col("id").cast("long").alias("id"), "community")
+    tagged = lines.filter(has_id).select(F.substring_index("value", "\t", 1).cast("long").alias("community"),
+                                         F.substring_index("value", "\t", -1).alias("members"))
+    plain = (lines.filter(~has_id & (F.trim("value") != "")).withColumn("__name", F.input_file_name())
+             .withColumn("__mono", F.monotonically_increasing_id()))
+    plain = dense_index(plain, ["__name", "__mono"], "community").select("community", F.col("value").alias("members"))
+    both = tagged.unionByName(plain)
+    return both.select(F.explode(F.split("members", ",")).alias("id"), "community").select(
+        F.trim("id").cast("long").alias("id"), "community")
 
 
 def write_graph_files(nodes: DataFrame, edges: DataFrame, directory: str) -> None:

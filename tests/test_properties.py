@@ -141,3 +141,11 @@ def test_kernel_regression_single_block_equals_blocked(spark):
     a = {x["qid"]: x["num"] / x["den"] for x in rg.kernel_sums(q, t).collect()}
     b = {x["qid"]: x["num"] / x["den"] for x in rg.kernel_sums(q, t, q_block=3, t_block=5).collect()}
     assert a.keys() == b.keys() and all(a[k] == pytest.approx(b[k], rel=1e-12) for k in a)
+
+
+def test_read_communities_plain_format(spark, tmp_path):
+    from quarry.sources import files
+    p = tmp_path / "c.txt"
+    p.write_text("1,2,3\n4,5\n")
+    got = sorted((r["id"], r["community"]) for r in files.read_communities(spark, str(p)).collect())
+    assert got == [(1, 0), (2, 0), (3, 0), (4, 1), (5, 1)]
