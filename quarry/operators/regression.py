@@ -197,7 +197,8 @@ def residual_summary(res: DataFrame) -> DataFrame:
 def residual_autocorrelation(res: DataFrame, order: list[str]) -> DataFrame:
     """Lag-1 autocorrelation Σe_t e_{t-1} / Σe² and Durbin–Watson Σ(e_t − e_{t-1})² / Σe², rows in
     ``order``.  Neighbours are paired by an equi-join on a dense row index (no global window)."""
-    idx = dense_index(res.select(*order, "residual"), order, "__t")
+    cols = list(dict.fromkeys([*order, "residual"]))
+    idx = dense_index(res.select(*cols), order, "__t")
     prev = idx.select((F.col("__t") + 1).alias("__t"), F.col("residual").alias("__prev"))
     j = idx.join(prev, "__t", "left")
     return j.agg((F.sum(F.col("residual") * F.col("__prev")) / F.sum(F.col("residual") ** 2)).alias("lag1_autocorrelation"),

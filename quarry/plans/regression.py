@@ -61,11 +61,12 @@ def q_residual_summary(spark, d):
 
 
 @register("residual_autocorrelation", "2.10", LM + (
-    ", l AS (SELECT residual, lag(residual) OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) AS prev FROM r0) "
+    ", l AS (SELECT residual, lag(residual) OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, residual) AS prev FROM r0) "
     "SELECT sum(residual * prev) / sum(residual * residual) AS lag1_autocorrelation, "
     "sum((residual - prev) ^ 2) / sum(residual * residual) AS durbin_watson FROM l"))
 def q_residual_autocorrelation(spark, d):
-    return rg.residual_autocorrelation(residuals(spark, d), KEY)
+    # the residual breaks ties between rows sharing a key, so the row order is total
+    return rg.residual_autocorrelation(residuals(spark, d), KEY + ["residual"])
 
 
 @register("score_test_variance", "2.10", LM + (
