@@ -170,8 +170,7 @@ def q_binary_features(spark, d):
           f"WHERE NOT list_contains({STOP_SQL}, word)")
 def q_set_difference(spark, d):
     t = labelled_tokens(spark, d).select("doc_id", F.explode("tokens").alias("word"))
-    sw = spark.createDataFrame([(w,) for w in STOP_WORDS], "word string")
-    return rel.set_difference(t, sw.crossJoin(t.select("doc_id").distinct()), ["doc_id", "word"])
+    return tm.remove_stop_words(t).distinct()       # broadcast anti-join on the word, then distinct
 
 
 @register("context_pairs", "2.3", LBASE + (
