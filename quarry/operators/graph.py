@@ -75,20 +75,19 @@ def keyed_components(edges: DataFrame, nodes: DataFrame, key: str = "grp", max_r
     Each round hooks every vertex to the smallest label among itself and its neighbours, then
     shortcuts labels (label := label of label), which halves label-chain lengths; rounds stop when no
     label changes.  Everything is joins and grouped minima (partial aggregation absorbs hubs)."""
-    labels = nodes.select(key, "id", F.col("id").alias("label")).distinct()
-    e = edges.select(key, "src", "dst")
+    labels = _checkpoint(nodes.select(key, "id", F.col("id").alias("label")).distinct())
+    e = _checkpoint(edges.select(key, "src", "dst"))      # materialised once, not recomputed every round
     for i in range(max_rounds):
         hooked = (e.join(labels.select(key, F.col("id").alias("src"), F.col("label").alias("nl")), [key, "src"])
                   .groupBy(key, F.col("dst").alias("id")).agg(F.min("nl").alias("nl")))
         new = (labels.join(hooked, [key, "id"], "left")
-               .select(key, "id", F.least("label", F.coalesce("nl", "label")).alias("label")))
+               .select(key, "id", F.least("label", F.coalesce("nl", "label")).alias("label"), F.col("label").alias("old")))
         # shortcut: adopt the label of the current label (its own label is never larger)
         jumped = (new.join(new.select(key, F.col("id").alias("label"), F.col("label").alias("ll")), [key, "label"], "left")
-                  .select(key, "id", F.least("label", F.coalesce("ll", "label")).alias("label")))
+                  .select(key, "id", F.least("label", F.coalesce("ll", "label")).alias("label"), "old"))
         jumped = _checkpoint(jumped)
-        changed = (jumped.join(labels.select(key, "id", F.col("label").alias("old")), [key, "id"])
-                   .filter(F.col("label") != F.col("old")).limit(1).count())
-        labels = jumped
+        changed = jumped.filter(F.col("label") != F.col("old")).limit(1).count()   # scans the checkpoint only
+        labels = jumped.drop("old")
         if changed == 0:
             break
     return labels.withColumnRenamed("label", "component")
