@@ -135,7 +135,7 @@ def shortest_path_lengths(edges: DataFrame, landmarks: DataFrame, max_levels: in
     """Hop counts ``(id, landmark, distance)`` from every vertex to every landmark along edge
     direction; 0 to itself; unreachable pairs absent.  Breadth-first from all landmarks at once over
     reversed edges; each level is a join of the frontier with the edges minus the visited set."""
-    rev = edges.select(F.col("dst").alias("node"), F.col("src").alias("nxt")).distinct()
+    rev = _checkpoint(edges.select(F.col("dst").alias("node"), F.col("src").alias("nxt")).distinct())   # once
     frontier = landmarks.select(F.col("id").alias("landmark"), F.col("id").alias("node")).distinct()
     visited = frontier.withColumn("distance", F.lit(0))
     visited = _checkpoint(visited)
