@@ -200,7 +200,9 @@ def neighbour_index(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     g = spark.createDataFrame(numbered, sym.schema.add("gidx", "long"))
     g = _checkpoint(g)
     first = g.groupBy("node").agg(F.min("gidx").alias("__first"), F.count(F.lit(1)).alias("deg"))
-    idx = g.join(first.select("node", "__first"), "node").select("node", (F.col("gidx") - F.col("__first")).alias("idx"), "nbr")
+    first = _checkpoint(first)
+    idx = _checkpoint(g.join(first.select("node", "__first"), "node")
+                      .select("node", (F.col("gidx") - F.col("__first")).alias("idx"), "nbr"))
     return idx, first.select("node", "deg")
 
 
