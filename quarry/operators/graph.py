@@ -192,13 +192,11 @@ def neighbour_index(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(node, idx, nbr)`` with idx = 0..deg-1 in neighbour order, and ``(node, deg)``.
 
     Kept as rows, not arrays, and numbered without a per-node window: the symmetric edge list is
-    range-sorted globally (a hub's neighbours spread over several partitions), numbered with
-    ``zipWithIndex``, and each node's first number (a grouped minimum) is subtracted."""
+    range-sorted globally (a hub's neighbours spread over several partitions), numbered densely
+    (``sequence.dense_index``), and each node's first number (a grouped minimum) is subtracted."""
+    from quarry.operators.sequence import dense_index
     sym = symmetric_edges(edges, drop_self_loops=False).select(F.col("src").alias("node"), F.col("dst").alias("nbr"))
-    spark = edges.sparkSession
-    numbered = sym.orderBy("node", "nbr").rdd.zipWithIndex().map(lambda r: (r[0][0], r[0][1], r[1]))
-    g = spark.createDataFrame(numbered, sym.schema.add("gidx", "long"))
-    g = _checkpoint(g)
+    g = _checkpoint(dense_index(sym, ["node", "nbr"], "gidx"))
     first = g.groupBy("node").agg(F.min("gidx").alias("__first"), F.count(F.lit(1)).alias("deg"))
     first = _checkpoint(first)
     idx = _checkpoint(g.join(first.select("node", "__first"), "node")

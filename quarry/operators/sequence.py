@@ -2,7 +2,7 @@
 
 Neither uses an un-partitioned window over the whole input: prefix sums go through per-bucket totals
 (a small table) and a bounded window inside each bucket; numbering sorts globally (range
-partitioning splits heavy keys) and numbers rows with ``zipWithIndex``.
+partitioning splits heavy keys) and numbers rows from per-partition positions plus partition offsets (all JVM-side).
 """
 from __future__ import annotations
 
@@ -26,9 +26,19 @@ def exclusive_prefix_sum(df: DataFrame, order_col: str, value_col: str, out: str
 
 
 def dense_index(df: DataFrame, order: list, out: str = "idx") -> DataFrame:
-    """Adds ``out`` = 0, 1, 2, … in the given order (exact, deterministic for a total order)."""
-    spark = df.sparkSession
-    sorted_df = df.orderBy(*order)
-    schema = sorted_df.schema.add(out, "long")
-    rdd = sorted_df.rdd.zipWithIndex().map(lambda r: tuple(r[0]) + (r[1],))
-    return spark.createDataFrame(rdd, schema)
+    """Adds ``out`` = 0, 1, 2, … in the given order (exact, deterministic for a total order).
+
+    Stays in the JVM: after the global (range-partitioned) sort, ``monotonically_increasing_id`` gives
+    each row (partition id << 33) + position in sort order; the sorted frame is checkpointed so that
+    numbering is fixed, and each partition's exclusive row offset (one row per partition) is added to
+    the position.  The raw id is only an intermediate; the result is a dense index."""
+    from quarry.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    tagged = df.orderBy(*order).withColumn("__mono", F.monotonically_increasing_id()).checkpoint(eager=True)
+    tagged = tagged.withColumn("__pid", F.shiftright("__mono", 33))
+    counts = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
+    w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)   # one row per partition
+    offs = counts.select("__pid", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"))
+    return (tagged.join(F.broadcast(offs), "__pid")
+            .withColumn(out, (F.col("__off") + F.col("__mono").bitwiseAND(F.lit((1 << 33) - 1))).cast("long"))
+            .drop("__pid", "__off", "__mono"))
