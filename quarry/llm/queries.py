@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import block_naming, credentials, mixing
+from quarry.llm import block_naming, columnar_topk, credentials, mixing, simhash_trie, toxicity_knn
 from quarry.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,3 +41,24 @@ def op6(spark, sf_dir):
 @_query("op10_credential_linking")
 def op10(spark, sf_dir):
     return credentials.scan_secrets(table(spark, sf_dir, "documents")).drop("links")
+
+
+@_query("op5_simhash_trie")
+def op5(spark, sf_dir):
+    return simhash_trie.near_dedup(table(spark, sf_dir, "documents")).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@_query("op7_toxicity_knn")
+def op7(spark, sf_dir):
+    return toxicity_knn.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@_query("op8_columnar_topk", """
+WITH v AS (SELECT vec_id, list_transform(embedding, x -> floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""")
+def op8(spark, sf_dir):
+    return columnar_topk.exact_topk(table(spark, sf_dir, "embeddings"))
