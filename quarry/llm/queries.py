@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import block_naming, columnar_topk, credentials, mixing, simhash_trie, toxicity_knn
+from quarry.llm import block_naming, columnar_topk, credentials, gear_chunks, mixing, simhash_trie, toxicity_knn
 from quarry.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +22,11 @@ def _query(name: str, sql: str | None = None):
     return deco
 
 
+@_query("op2_gear_chunk_dedup")
+def op2(spark, sf_dir):
+    return gear_chunks.repeated_passages(table(spark, sf_dir, "documents")).select("doc_id", "start", "end", "n_chunks", "kept", "first_doc_id")
+
+
 @_query("op3_block_naming_dedup", r"""
 WITH n AS (SELECT doc_id, length(coalesce(text, '')) AS n_chars, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') AS norm FROM documents),
 g AS (SELECT norm, count(*) AS group_size, arg_min(doc_id, (-n_chars, doc_id)) AS keep_id FROM n GROUP BY norm)
