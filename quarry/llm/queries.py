@@ -3,10 +3,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import block_naming, columnar_topk, credentials, gear_chunks, mixing, simhash_trie, toxicity_knn
+from quarry.llm import block_naming, columnar_topk, credentials, gear_chunks, mixing, rans_store, simhash_trie, toxicity_knn
+from quarry.llm.byte_bpe import Words
+from quarry.llm.common import scratch_dir
 from quarry.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +25,13 @@ def _query(name: str, sql: str | None = None):
     return deco
 
 
+@_query("op1_rans_token_store")
+def op1(spark, sf_dir, end_id: int = 2, tokenizer: str = "byte_bpe_50k.json"):
+    file, path = public_tokenizers.path(tokenizer), scratch_dir(spark, "rans")
+    rans_store.write_ids(table(spark, sf_dir, "documents"), lambda texts: Words.open(file, end_id).encode(texts), path)
+    return rans_store.read_checksums(spark, path)
+
+
 @_query("op2_gear_chunk_dedup")
 def op2(spark, sf_dir):
     return gear_chunks.repeated_passages(table(spark, sf_dir, "documents")).select("doc_id", "start", "end", "n_chunks", "kept", "first_doc_id")
