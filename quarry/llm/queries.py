@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import block_naming, columnar_topk, credentials, gear_chunks, mixing, rans_store, simhash_trie, toxicity_knn
+from quarry.llm import block_naming, columnar_topk, credentials, gear_chunks, mixing, piece_lattice, rans_store, simhash_trie, toxicity_knn
 from quarry.llm.byte_bpe import Words
 from quarry.llm.common import scratch_dir
 from quarry.sources.tables import table
@@ -46,6 +46,14 @@ def op3(spark, sf_dir):
     return block_naming.exact_dedup(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+@_query("op4_piece_lattice")
+def op4(spark, sf_dir, model: str = "piece_bpe_32k.model"):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = piece_lattice.encode_pieces(docs, public_tokenizers.path(model))
+    return out.select("doc_id", F.size("pieces.ids").cast("long").alias("n_ids"), "pieces.ids_crc32", "pieces.score",
+                      F.transform("pieces.others", lambda o: o["score"]).alias("other_scores"), "pieces.round_trip")
+
+
 @_query("op6_source_mixing")
 def op6(spark, sf_dir):
     plan = mixing.mix_plan(table(spark, sf_dir, "documents"))
