@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import block_naming, columnar_topk, credentials, gear_chunks, mixing, piece_lattice, rans_store, simhash_trie, toxicity_knn
+from quarry.llm import block_naming, columnar_topk, credentials, gear_chunks, mixing, piece_lattice, rans_store, simhash_trie, toxicity_knn, warc_derivatives
 from quarry.llm.byte_bpe import Words
 from quarry.llm.common import scratch_dir
 from quarry.sources.tables import table
@@ -85,3 +85,14 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""")
 def op8(spark, sf_dir):
     return columnar_topk.exact_topk(table(spark, sf_dir, "embeddings"))
+
+
+@_query("op9_warc_derivatives")
+def op9(spark, sf_dir):
+    responses, path = scratch_dir(spark, "warc"), scratch_dir(spark, "warc-derived")
+    warc_derivatives.write_warc(warc_derivatives.page_responses(table(spark, sf_dir, "pages")), responses)
+    out = warc_derivatives.build_derivatives(spark, responses, path)
+    text = F.col("block").cast("string")
+    return out.select(warc_derivatives.header("X-Page-Id").cast("long").alias("page_id"), "type", "record_id", "refers_to", "target_uri", "date", "block_digest", "digest_ok",
+                      warc_derivatives.header("X-Source-Payload-Digest").alias("source_digest"), F.octet_length("block").cast("long").alias("n_bytes"),
+                      F.when(F.col("type") == "metadata", F.get_json_object(text, "$.title")).alias("title"))
