@@ -1,57 +1,38 @@
 """Seeded, deterministic pseudo-random numbers from stable keys.
 
-The reference draws from a random generator; results here must be reproducible and checkable by
-SQL, so randomness is a hash of the row's stable key and a seed.  The hash is plain integer
-arithmetic modulo the Mersenne prime 2^31-1, which any SQL engine evaluates identically, and no
-product can exceed 2^62 (keys are reduced modulo the prime first), so ANSI overflow checks never fire.
+Results must be reproducible and checkable by SQL, so randomness is a hash of the row's stable key and a seed: the
+first 52 bits of the MD5 of ``seed:key:key...`` as text.  Any SQL engine evaluates it identically, and it has no linear
+structure: consecutive keys or seeds give unrelated numbers.
 """
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Modulus and mixing constants.
-PRIME = 2147483647
-MULT_A = 48271
-MULT_B = 69621
-OFFSET = 12345
+#: Hashes lie in [0, RANGE).
+RANGE = 1 << 52
 
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def _step(h: Column, key: Column, mult: int) -> Column:
-    return F.pmod(F.pmod(h + F.pmod(key.cast("long"), F.lit(PRIME)), F.lit(PRIME)) * F.lit(mult) + F.lit(OFFSET),
-                  F.lit(PRIME))
-
-
 def mix_hash(*keys, seed: int = 0) -> Column:
-    """Integer hash in [0, 2^31-1) of the given long keys and a seed."""
-    h = F.lit(seed % PRIME).cast("long")
-    for k in keys:
-        h = _step(h, _c(k), MULT_A)
-        h = _step(h, F.lit(0), MULT_B)
-    return h
+    """Integer hash in [0, 2**52) of the given keys and a seed; null keys count as empty text."""
+    text = F.concat_ws(":", F.lit(str(seed)), *[F.coalesce(_c(k).cast("string"), F.lit("")) for k in keys])
+    return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long")
 
 
 def uniform01(*keys, seed: int = 0) -> Column:
     """Pseudo-uniform double in [0, 1) from the keys and a seed."""
-    return mix_hash(*keys, seed=seed) / F.lit(float(PRIME))
+    return mix_hash(*keys, seed=seed) / F.lit(float(RANGE))
 
 
 def mix_hash_sql(*keys: str, seed: int = 0) -> str:
     """The same hash as SQL text (for the oracle)."""
-    h = f"CAST({seed % PRIME} AS BIGINT)"
-
-    def pm(x):
-        return f"((({x}) % {PRIME} + {PRIME}) % {PRIME})"
-
-    for k in keys:
-        h = pm(f"{pm(f'{h} + {pm(f'CAST({k} AS BIGINT)')}')} * {MULT_A} + {OFFSET}")
-        h = pm(f"{pm(h)} * {MULT_B} + {OFFSET}")
-    return h
+    text = " || ':' || ".join([f"'{seed}'", *(f"coalesce(CAST({k} AS VARCHAR), '')" for k in keys)])
+    return f"CAST('0x' || substr(md5({text}), 1, 13) AS BIGINT)"
 
 
 def uniform01_sql(*keys: str, seed: int = 0) -> str:
-    return f"({mix_hash_sql(*keys, seed=seed)} / {float(PRIME)})"
+    return f"({mix_hash_sql(*keys, seed=seed)} / {float(RANGE)})"

@@ -1,9 +1,13 @@
 """Aggregations and statistics."""
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.operators.sequence import dense_index
+
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -41,22 +45,38 @@ def group_means(df: DataFrame, by: str, target: str) -> DataFrame:
     return df.groupBy(by).agg(F.avg(target).alias(f"mean_{target}"), F.count(F.lit(1)).alias("n"))
 
 
+def exact_quantiles(df: DataFrame, col: str, fractions: dict[str, float]) -> DataFrame:
+    """One row: the exact quantiles (linear interpolation) named in ``fractions``.
+
+    Values are sorted by range partitions and numbered; only the rows at the needed ranks, two a quantile, are picked,
+    so no task holds the column.  Nulls are left out; without values the quantiles are null."""
+    values = df.select(F.col(f"`{col}`").cast("double").alias("__v")).filter("__v IS NOT NULL")
+    ranked = dense_index(values, ["__v"], "__i")
+    n = ranked.agg(F.count(F.lit(1)).alias("__n"))                       # one row
+    picked = ranked.crossJoin(F.broadcast(n))
+    at = {name: (F.col("__n") - 1) * F.lit(f) for name, f in fractions.items()}
+    needed = reduce(Column.__or__, [F.col("__i").isin(F.floor(h), F.ceil(h)) for h in at.values()])
+    ends = []
+    for name, h in at.items():
+        ends += [F.max(F.when(F.col("__i") == F.floor(h), F.col("__v"))).alias(f"{name}_lo"),
+                 F.max(F.when(F.col("__i") == F.ceil(h), F.col("__v"))).alias(f"{name}_hi"), F.max(h - F.floor(h)).alias(f"{name}_w")]
+    row = picked.filter(needed).agg(*ends)
+    return row.select(*[(F.col(f"{q}_lo") + (F.col(f"{q}_hi") - F.col(f"{q}_lo")) * F.col(f"{q}_w")).alias(q) for q in fractions])
+
+
 def describe_stats(df: DataFrame, col: str, digits: int = 2) -> DataFrame:
-    """mean, sample std, 25/50/75 % (linear interpolation, exact percentile), max, min — rounded half-even."""
+    """mean, sample std, 25/50/75 % (linear interpolation, exact), max, min — rounded half-even."""
     c = F.col(f"`{col}`")
-    return df.agg(
-        F.bround(F.avg(c), digits).alias("mean"), F.bround(F.stddev_samp(c), digits).alias("std"),
-        F.bround(F.percentile(c, F.lit(0.25)), digits).alias("q25"),
-        F.bround(F.percentile(c, F.lit(0.5)), digits).alias("q50"),
-        F.bround(F.percentile(c, F.lit(0.75)), digits).alias("q75"),
-        F.bround(F.max(c), digits).alias("max"), F.bround(F.min(c), digits).alias("min"))
+    q = exact_quantiles(df, col, {"q25": 0.25, "q50": 0.5, "q75": 0.75})
+    m = df.agg(F.bround(F.avg(c), digits).alias("mean"), F.bround(F.stddev_samp(c), digits).alias("std"),
+               F.bround(F.max(c), digits).alias("max"), F.bround(F.min(c), digits).alias("min"))
+    return m.crossJoin(F.broadcast(q)).select("mean", "std", *[F.bround(x, digits).alias(x) for x in ("q25", "q50", "q75")], "max", "min")
 
 
 def box_plot_stats(df: DataFrame, col: str) -> DataFrame:
     """Quartiles, whiskers (most extreme point inside the 1.5·IQR fences) and the number of outliers."""
     c = F.col(f"`{col}`")
-    q = df.agg(F.percentile(c, F.lit(0.25)).alias("q1"), F.percentile(c, F.lit(0.5)).alias("median"),
-               F.percentile(c, F.lit(0.75)).alias("q3"))
+    q = exact_quantiles(df, col, {"q1": 0.25, "median": 0.5, "q3": 0.75})
     q = q.withColumns({"lo_fence": F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")),
                        "hi_fence": F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))})
     j = df.select(c.alias("__v")).crossJoin(F.broadcast(q))
@@ -70,7 +90,7 @@ def box_plot_stats(df: DataFrame, col: str) -> DataFrame:
 def box_plot_outliers(df: DataFrame, col: str, id_col: str) -> DataFrame:
     """The outlier rows themselves (a filter, so they stay distributed)."""
     c = F.col(f"`{col}`")
-    q = df.agg(F.percentile(c, F.lit(0.25)).alias("q1"), F.percentile(c, F.lit(0.75)).alias("q3"))
+    q = exact_quantiles(df, col, {"q1": 0.25, "q3": 0.75})
     return (df.crossJoin(F.broadcast(q))
             .filter((c < F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) |
                     (c > F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))))

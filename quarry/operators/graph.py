@@ -5,10 +5,13 @@ Iterative operators cut lineage with reliable ``checkpoint()`` (directory from
 """
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.functions.hashing import mix_hash
+from quarry.functions.hashing import mix_hash, uniform01
+from quarry.operators.components import star_components
 from quarry.operators.relational import edge_endpoints, symmetric_edges
 from quarry.session import ensure_checkpoint_dir
 
@@ -68,29 +71,15 @@ def degree_fraction(edges: DataFrame, k_max: int = 49) -> DataFrame:
 
 # ------------------------------------------------------------------ components
 
-def keyed_components(edges: DataFrame, nodes: DataFrame, key: str = "grp", max_rounds: int = 200) -> DataFrame:
-    """Connected components of many graphs at once: ``edges(key, src, dst)`` (both directions),
-    ``nodes(key, id)``.  Returns ``(key, id, component)`` with component = smallest id reachable.
-
-    Each round hooks every vertex to the smallest label among itself and its neighbours, then
-    shortcuts labels (label := label of label), which halves label-chain lengths; rounds stop when no
-    label changes.  Everything is joins and grouped minima (partial aggregation absorbs hubs)."""
-    labels = _checkpoint(nodes.select(key, "id", F.col("id").alias("label")).distinct())
-    e = _checkpoint(edges.select(key, "src", "dst"))      # materialised once, not recomputed every round
-    for i in range(max_rounds):
-        hooked = (e.join(labels.select(key, F.col("id").alias("src"), F.col("label").alias("nl")), [key, "src"])
-                  .groupBy(key, F.col("dst").alias("id")).agg(F.min("nl").alias("nl")))
-        new = (labels.join(hooked, [key, "id"], "left")
-               .select(key, "id", F.least("label", F.coalesce("nl", "label")).alias("label"), F.col("label").alias("old")))
-        # shortcut: adopt the label of the current label (its own label is never larger)
-        jumped = (new.join(new.select(key, F.col("id").alias("label"), F.col("label").alias("ll")), [key, "label"], "left")
-                  .select(key, "id", F.least("label", F.coalesce("ll", "label")).alias("label"), "old"))
-        jumped = _checkpoint(jumped)
-        changed = jumped.filter(F.col("label") != F.col("old")).limit(1).count()   # scans the checkpoint only
-        labels = jumped.drop("old")
-        if changed == 0:
-            break
-    return labels.withColumnRenamed("label", "component")
+def keyed_components(edges: DataFrame, nodes: DataFrame, key: str = "grp") -> DataFrame:
+    """Connected components of many graphs at once: ``edges(key, src, dst)``, ``nodes(key, id)``.  Returns
+    ``(key, id, component)`` with component = smallest id reachable; a vertex without edges is its own.
+
+    Alternating star steps run until the edges stop changing (see ``components``); rounds grow with the logarithm of
+    the vertex count, whatever the order of ids along a path."""
+    comp = star_components(edges, (key,))
+    return (nodes.select(key, "id").distinct().join(comp, [key, "id"], "left")
+            .select(key, "id", F.coalesce("component", "id").alias("component")))
 
 
 def connected_components(edges: DataFrame, vertices: DataFrame | None = None) -> DataFrame:
@@ -131,24 +120,23 @@ def articulation_points(edges: DataFrame, vertices: DataFrame | None = None) ->
 
 # ------------------------------------------------------------------ distances
 
-def shortest_path_lengths(edges: DataFrame, landmarks: DataFrame, max_levels: int = 10_000) -> DataFrame:
+def shortest_path_lengths(edges: DataFrame, landmarks: DataFrame, max_levels: int | None = None) -> DataFrame:
     """Hop counts ``(id, landmark, distance)`` from every vertex to every landmark along edge
     direction; 0 to itself; unreachable pairs absent.  Breadth-first from all landmarks at once over
-    reversed edges; each level is a join of the frontier with the edges minus the visited set."""
+    reversed edges, until a level finds nothing new (or ``max_levels``).  A level is a table of its own, joined with
+    the edges; a vertex can come back from any earlier level, so the levels are read together, not rewritten."""
     rev = _checkpoint(edges.select(F.col("dst").alias("node"), F.col("src").alias("nxt")).distinct())   # once
     frontier = landmarks.select(F.col("id").alias("landmark"), F.col("id").alias("node")).distinct()
-    visited = frontier.withColumn("distance", F.lit(0))
-    visited = _checkpoint(visited)
-    level = 0
-    while level < max_levels:
-        level += 1
-        nxt = (frontier.join(rev, "node").select("landmark", F.col("nxt").alias("node")).distinct()
-               .join(visited.select("landmark", "node"), ["landmark", "node"], "left_anti"))
-        nxt = _checkpoint(nxt)
-        if nxt.limit(1).count() == 0:
+    frontier = _checkpoint(frontier)
+    levels = [frontier.withColumn("distance", F.lit(0))]
+    while max_levels is None or len(levels) <= max_levels:
+        seen = reduce(DataFrame.unionByName, [x.select("landmark", "node") for x in levels])
+        frontier = _checkpoint(frontier.join(rev, "node").select("landmark", F.col("nxt").alias("node")).distinct()
+                               .join(seen, ["landmark", "node"], "left_anti"))
+        if frontier.isEmpty():
             break
-        visited = _checkpoint(visited.unionByName(nxt.withColumn("distance", F.lit(level))))
-        frontier = nxt
+        levels.append(frontier.withColumn("distance", F.lit(len(levels))))
+    visited = reduce(DataFrame.unionByName, levels)
     return visited.select(F.col("node").alias("id"), "landmark", "distance")
 
 
@@ -161,9 +149,9 @@ def closeness_centrality(edges: DataFrame, vertices: DataFrame | None = None) ->
                     .alias("closeness")))
 
 
-def spread_coverage(edges: DataFrame, seeds: DataFrame, membership: DataFrame, steps: int = 15) -> DataFrame:
+def spread_coverage(edges: DataFrame, seeds: DataFrame, membership: DataFrame, steps: int | None = None) -> DataFrame:
     """Deterministic spread (transmission probability 1) from each seed vertex along edge direction,
-    at most ``steps`` steps.  Per step: vertices reached so far (summed over seeds), split into inside
+    until nothing new is reached (or ``steps`` steps).  Per step: vertices reached so far (summed over seeds), split into inside
     and outside the seed's own community, and the reached fraction of all (seed, vertex) pairs.
     ``seeds(seed)``; ``membership(id, community)``."""
     fwd = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
@@ -178,7 +166,7 @@ def spread_coverage(edges: DataFrame, seeds: DataFrame, membership: DataFrame, s
     denom = seeds.agg(F.count(F.lit(1)).alias("__s")).crossJoin(m.agg(F.count(F.lit(1)).alias("__v")))
     from pyspark.sql import Window
     w = Window.orderBy("step").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # ``per`` has at most steps + 1 rows, so the un-partitioned running sum is over a tiny table
+    # ``per`` has one row a step, so the un-partitioned running sum is over a tiny table
     return (per.crossJoin(denom)
             .select("step", F.sum("new_inside").over(w).cast("long").alias("reached_inside"),
                     F.sum("new_outside").over(w).cast("long").alias("reached_outside"),
@@ -188,6 +176,9 @@ def spread_coverage(edges: DataFrame, seeds: DataFrame, membership: DataFrame, s
 
 # ------------------------------------------------------------------ random walks
 
+STEPS_PER_CHECKPOINT = 8
+
+
 def neighbour_index(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(node, idx, nbr)`` with idx = 0..deg-1 in neighbour order, and ``(node, deg)``.
 
@@ -208,8 +199,8 @@ def random_walks(edges: DataFrame, walks_per_node: int, walk_length: int, alpha:
     """``(walk_id, start, step, node)``: ``walks_per_node`` walks of ``walk_length`` nodes from every
     node; the next node is uniform over the neighbours; with probability alpha the walk jumps back to
     its start node; a walk stops at a dead end.  Draws are seeded hashes of (walk, step), so the same
-    seed gives the same walks.  Each step is one pair of equi-joins on (node) and (node, idx), and the
-    walkers' positions are checkpointed every step (plan size stays constant)."""
+    seed gives the same walks.  Each step is one pair of equi-joins on (node) and (node, idx); a walker carries its path,
+    at most ``walk_length`` nodes, and walkers are checkpointed every few steps (plan size stays bounded)."""
     idx, deg = neighbour_index(edges)
     nodes = edge_endpoints(edges)
     spark = edges.sparkSession
@@ -217,22 +208,17 @@ def random_walks(edges: DataFrame, walks_per_node: int, walk_length: int, alpha:
     walk_id = (F.col("id") * walks_per_node + F.col("rep")) if _is_numeric(nodes) else \
         F.concat_ws("#", F.col("id").cast("string"), F.col("rep").cast("string"))
     cur = nodes.crossJoin(F.broadcast(reps)).select(walk_id.alias("walk_id"), F.col("id").alias("start"),
-                                                    F.col("id").alias("node"))
-    cur = _checkpoint(cur.withColumn("wkey", F.pmod(F.xxhash64("walk_id"), F.lit(2147483647))))
-    steps = [cur.select("walk_id", "start", F.lit(0).alias("step"), "node")]
+                                                    F.col("id").alias("node"), F.array("id").alias("path"))
     for step in range(1, walk_length):
-        u_restart = mix_hash("wkey", F.lit(step), seed=seed) / 2147483647.0
-        pick = F.pmod(mix_hash("wkey", F.lit(step), seed=seed + 1), F.col("deg"))
-        nxt = cur.join(deg, "node").withColumn("__restart", u_restart < alpha).withColumn("idx", pick)
-        moved = (nxt.filter(~F.col("__restart")).join(idx, ["node", "idx"])
-                 .select("walk_id", "wkey", "start", F.col("nbr").alias("node")))
-        back = nxt.filter(F.col("__restart")).select("walk_id", "wkey", "start", F.col("start").alias("node"))
-        cur = _checkpoint(moved.unionByName(back))
-        steps.append(cur.select("walk_id", "start", F.lit(step).alias("step"), "node"))
-    out = steps[0]
-    for s_df in steps[1:]:
-        out = out.unionByName(s_df)
-    return out
+        restart = uniform01("walk_id", F.lit(step), F.lit("restart"), seed=seed) < alpha
+        pick = F.pmod(mix_hash("walk_id", F.lit(step), F.lit("pick"), seed=seed), F.col("deg"))
+        moved = (cur.join(deg, "node", "left").withColumn("idx", pick).join(idx, ["node", "idx"], "left")
+                 .withColumn("node", F.when(F.col("deg").isNotNull(), F.when(restart, F.col("start")).otherwise(F.col("nbr")))))
+        cur = moved.select("walk_id", "start", "node", F.when(F.col("node").isNull(), F.col("path"))
+                           .otherwise(F.concat("path", F.array("node"))).alias("path"))
+        if step % STEPS_PER_CHECKPOINT == 0:
+            cur = _checkpoint(cur)
+    return cur.select("walk_id", "start", F.posexplode("path").alias("step", "node"))
 
 
 def _is_numeric(df: DataFrame) -> bool:

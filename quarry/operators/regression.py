@@ -18,21 +18,21 @@ from pyspark.sql import functions as F
 from quarry.functions.arrays import zscore
 from quarry.functions.hashing import mix_hash, uniform01
 from quarry.functions.stats import chi2_sf, t_sf_two_sided
+from quarry.operators.blocks import block_grid
 from quarry.operators.sequence import dense_index
 
 
 # ------------------------------------------------------------------ kernel regression
 
-def kernel_sums(queries: DataFrame, train: DataFrame, weight: float = 2.0, q_block: int = 20_000,
-                t_block: int = 20_000) -> DataFrame:
+def kernel_sums(queries: DataFrame, train: DataFrame, weight: float = 2.0, q_block: int | None = None,
+                t_block: int | None = None) -> DataFrame:
     """Per query row: ``(qid, n_pairs, num = Σ y_i e_i, den = Σ e_i)`` with e_i = exp(w · r_i) and r_i
     the population correlation of the query's and the training row's x vectors.
 
     Each row is z-scored once; r is then dot(z_q, z_i) / n.  Query blocks are cogrouped with training
     blocks and numpy reduces each block pair to per-query partial sums, which a grouped sum adds up —
     every pair is evaluated (the estimator needs all of them) but none is materialised as a row."""
-    nq, nt = queries.count(), train.count()
-    qb, tb = max(1, math.ceil(nq / q_block)), max(1, math.ceil(nt / t_block))
+    qb, tb = block_grid(queries.sparkSession, queries.count(), train.count(), q_block, t_block)
     qz = (queries.select(F.col("row_id").alias("qid"), zscore("x").alias("z"))
           .withColumn("qblk", F.pmod(mix_hash("qid"), F.lit(qb)))
           .withColumn("tblk", F.explode(F.sequence(F.lit(0), F.lit(tb - 1)))))
@@ -123,6 +123,22 @@ def coefficients(spark, fit: LinearFit) -> DataFrame:
     return spark.createDataFrame(rows, "term string, estimate double")
 
 
+def fit_summary(spark, fit: LinearFit) -> DataFrame:
+    """The fitted model's table: per term estimate, standard error, t value and two-sided p value, and on every row the
+    model's residual standard error, R², adjusted R², F statistic and degrees of freedom."""
+    df = fit.n - fit.k
+    m = np.asarray(fit.mean_x, dtype=float)
+    var = [fit.sigma2 * (1 / fit.n + m @ fit.sxx_inv @ m), *(fit.sigma2 * np.diag(fit.sxx_inv))]
+    r2 = 1 - fit.rss / fit.syy
+    model = (math.sqrt(fit.sigma2), float(r2), float(1 - (1 - r2) * (fit.n - 1) / df), float((fit.syy - fit.rss) / (fit.k - 1) / fit.sigma2), int(fit.k - 1), int(df))
+    rows = []
+    for term, b, v in zip(["(Intercept)", *fit.names], [fit.intercept, *fit.coef], var):
+        t = float(b) / math.sqrt(v)
+        rows.append((term, float(b), math.sqrt(v), t, float(t_sf_two_sided(t, df)), *model))
+    return spark.createDataFrame(rows, "term string, estimate double, std_error double, t_value double, p_value double, sigma double, "
+                                       "r_squared double, adj_r_squared double, f_statistic double, df_model long, df_residual long")
+
+
 def linear_predict(df: DataFrame, fit: LinearFit, ycol: str | None = None) -> DataFrame:
     out = df.withColumn("predicted", fit.fitted())
     return out.withColumn("residual", F.col(ycol) - F.col("predicted")) if ycol else out

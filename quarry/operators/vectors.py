@@ -7,14 +7,13 @@ per-block top-k lists.  No (query, word) pair table is materialised.
 """
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.functions.arrays import cosine, dot, l2_normalize, norm, vector_mean
+from quarry.functions.arrays import cosine, dot, l2_normalize, norm, vector_mean, vector_sum
+from quarry.operators.blocks import block_grid
 
 
 def normalize_vectors(vectors: DataFrame) -> DataFrame:
@@ -61,12 +60,11 @@ def query_vectors(vectors: DataFrame, terms: DataFrame) -> DataFrame:
     return j.groupBy("qid").agg(vector_mean("wu").alias("q")).select("qid", l2_normalize("q").alias("q"))
 
 
-def _blocked_topk(queries: DataFrame, items: DataFrame, k: int, mode: str, q_block: int = 20_000,
-                  i_block: int = 50_000) -> DataFrame:
+def _blocked_topk(queries: DataFrame, items: DataFrame, k: int, mode: str, q_block: int | None = None,
+                  i_block: int | None = None) -> DataFrame:
     """queries(qid, pos array<array<double>>, neg array<array<double>>, q array<double>, excl array<string>);
     items(word, u array<double>).  Returns ``(qid, word, score, rank)`` for the top k per query."""
-    nq, ni = queries.count(), items.count()
-    qb, ib = max(1, math.ceil(nq / q_block)), max(1, math.ceil(ni / i_block))
+    qb, ib = block_grid(queries.sparkSession, queries.count(), items.count(), q_block, i_block)
     qrows = (queries.withColumn("qblk", F.pmod(F.xxhash64("qid"), F.lit(qb)))
              .withColumn("iblk", F.explode(F.sequence(F.lit(0), F.lit(ib - 1)))))
     irows = (items.withColumn("iblk", F.pmod(F.xxhash64("word"), F.lit(ib)))
@@ -135,11 +133,11 @@ def nearest_neighbors_cosmul(vectors: DataFrame, terms: DataFrame, topn: int = 1
     return _blocked_topk(queries, u, topn, "cosmul")
 
 
-def analogy_accuracy(vectors: DataFrame, questions: DataFrame, restrict_vocab: int = 30000) -> DataFrame:
+def analogy_accuracy(vectors: DataFrame, questions: DataFrame, restrict_vocab: int | None = None) -> DataFrame:
     """``questions(section, qid, a, b, c, expected)`` (lower-cased).  A question is skipped when a word
-    is outside the ``restrict_vocab`` most frequent words; the answer is the best word of that
+    is outside the vocabulary (with ``restrict_vocab``, its most frequent words); the answer is the best word of that
     vocabulary by 3CosAdd (b + c - a), a, b, c excluded.  Per section correct / incorrect, plus 'total'."""
-    ok = vectors.orderBy(F.col("count").desc(), F.col("word")).limit(restrict_vocab)   # bounded top-k
+    ok = vectors if restrict_vocab is None else vectors.orderBy(F.col("count").desc(), F.col("word")).limit(restrict_vocab)
     q = questions.select("section", "qid", *[F.lower(c).alias(c) for c in ("a", "b", "c", "expected")])
     okw = ok.select("word")
     for c in ("a", "b", "c", "expected"):
@@ -159,13 +157,12 @@ def analogy_accuracy(vectors: DataFrame, questions: DataFrame, restrict_vocab: i
 def mean_word_vectors(tokens: DataFrame, vectors: DataFrame, doc: str = "doc_id", weight: str | None = None) -> DataFrame:
     """Document vector = (weighted) mean of its tokens' vectors; tokens without a vector are ignored.
     The per-document mean is a partial aggregate (Summarizer), so long documents need no array gather."""
-    j = tokens.join(vectors.select("word", "vec"), "word")
-    if weight:
-        tot = j.groupBy(doc).agg(F.sum(weight).alias("__w"))
-        j = j.join(tot, doc).withColumn("vec", F.transform("vec", lambda x: x * F.col(weight) / F.col("__w")))
-        from quarry.functions.arrays import vector_sum
-        return j.groupBy(doc).agg(vector_sum("vec").alias("vec"))
-    return j.groupBy(doc).agg(vector_mean("vec").alias("vec"))
+    w = F.sum(weight) if weight else F.count(F.lit(1))
+    counts = tokens.groupBy(doc, "word").agg(w.cast("double").alias("__n"))      # a word meets its vector once a document
+    j = counts.join(vectors.select("word", "vec"), "word")
+    tot = j.groupBy(doc).agg(F.sum("__n").alias("__w"))
+    j = j.join(tot, doc).withColumn("vec", F.transform("vec", lambda x: x * F.col("__n") / F.col("__w")))
+    return j.groupBy(doc).agg(vector_sum("vec").alias("vec"))
 
 
 def tfidf_weights(tokens: DataFrame, doc: str = "doc_id") -> DataFrame:

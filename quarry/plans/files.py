@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.operators import graph as gr
-from quarry.operators import relational as rel
 from quarry.plans import fixtures as fx
+from quarry.plans.graphs import DEG5, E5, HETERO_SQL, WALKS_SQL, typed_graph, walks
 from quarry.plans.registry import register
 from quarry.session import scratch_path
 from quarry.sources import files
@@ -31,12 +31,10 @@ def q_read_delimited(spark, d):
 def q_read_edge_list(spark, d):
     p = _path(spark, "edges-large")
     e = fx.large_graph_edges(spark, d)
-    (e.select(F.concat_ws(" ", F.col("src").cast("string"), F.col("dst").cast("string")).alias("value"))
-     .coalesce(1).write.mode("overwrite").text(p + "-body"))
-    # large format: a count line first, then space-separated pairs (the header option skips it)
-    n = e.count()
-    head = spark.createDataFrame([(f"{n}",)], "value string")
-    head.unionByName(spark.read.text(p + "-body")).coalesce(1).write.mode("overwrite").text(p)
+    # large format: space-separated pairs in as many files as there are tasks, and a count line in one of them
+    head = e.agg(F.count(F.lit(1)).cast("string").alias("value"))
+    body = e.select(F.concat_ws(" ", F.col("src").cast("string"), F.col("dst").cast("string")).alias("value"))
+    head.unionByName(body).write.mode("overwrite").text(p)
     edges, _ = files.read_edge_list(spark, p, large=True)
     return edges
 
@@ -104,36 +102,34 @@ def q_read_vectors_text(spark, d):
     return back.select("word", F.size("vec").alias("dim"), (F.lit(n) - F.col("count") + 1).alias("rank"))
 
 
-@register("write_result_csv", "2.1")
+@register("write_result_csv", "2.1", E5 + ", " + DEG5 + " SELECT degree, count(*) AS count FROM deg GROUP BY degree")
 def q_write_result_csv(spark, d):
     p = _path(spark, "degree-csv")
     files.write_result_csv(gr.degree_distribution(fx.large_graph_edges(spark, d)), p)
     return spark.read.option("header", True).schema("degree long, count long").csv(p)
 
 
-@register("write_graph_files", "2.1")
+@register("write_graph_files", "2.1", HETERO_SQL + " SELECT a AS src, b AS dst FROM und UNION SELECT b, a FROM und")
 def q_write_graph_files(spark, d):
-    from quarry.plans.graphs import typed_graph
     nodes, edges = typed_graph(spark, d)
     p = _path(spark, "graph")
     files.write_graph_files(nodes, edges, p)
     return files.read_adjacency_list(spark, p + "/adjlist")
 
 
-@register("write_walk_corpus", "2.1")
+@register("write_walk_corpus", "2.1", WALKS_SQL + " SELECT list(CAST(node AS VARCHAR) ORDER BY step) AS walk FROM w GROUP BY walk_id")
 def q_write_walk_corpus(spark, d):
-    from quarry.plans.graphs import ALPHA, WALK_LENGTH, WALKS_PER_NODE
-    walks = gr.random_walks(fx.large_graph_edges(spark, d), WALKS_PER_NODE, WALK_LENGTH, alpha=ALPHA, seed=42)
     p = _path(spark, "walks")
-    files.write_walk_corpus(walks, p)
+    files.write_walk_corpus(walks(spark, d), p)
     return files.read_walk_corpus(spark, p)
 
 
-@register("file_inventory", "2.1")
+@register("file_inventory", "2.1", "SELECT 'source=' || source AS folder, CAST(sum(octet_length(encode(text)) + 1) AS BIGINT) AS n_bytes FROM documents GROUP BY source")
 def q_file_inventory(spark, d):
+    """Documents written by source, one text line a document; the files' lengths by folder."""
     p = _path(spark, "by-source")
     table(spark, d, "documents").select("source", "text").write.mode("overwrite").partitionBy("source").text(p)
-    return files.file_inventory(spark, p, "*.txt")
+    return files.file_inventory(spark, p, "*.txt").groupBy("folder").agg(F.sum("length").alias("n_bytes"))
 
 
 @register("read_tagged_tokens", "2.1", (
@@ -152,5 +148,3 @@ def q_read_tagged_tokens(spark, d):
     t = tagged_tokens(c)
     return t.select("conv_id", "turn", F.size("tokens").alias("n_tokens"), F.get("tokens", 0).alias("first_token"))
 
-
-del rel

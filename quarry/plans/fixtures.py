@@ -187,10 +187,9 @@ MEMBERSHIP_SQL = "SELECT vec_id AS id, CAST(floor(vec_id / 10) AS BIGINT) AS com
 # ---------------------------------------------------------------- FIX-8 regression rows
 
 def regression_rows(spark, d):
-    """x = embedding as doubles, y = label; role = query (id % 10 = 0) / train (id % 10 in 1, 2) / other."""
+    """x = embedding as doubles, y = label; role = query (id % 10 = 0) or train."""
     e = table(spark, d, "embeddings")
-    role = (F.when(F.col("vec_id") % 10 == 0, F.lit("query"))
-            .when(F.col("vec_id") % 10 <= 2, F.lit("train")).otherwise(F.lit("other")))
+    role = F.when(F.col("vec_id") % 10 == 0, F.lit("query")).otherwise(F.lit("train"))
     return e.select(F.col("vec_id").alias("row_id"), as_double_array("embedding").alias("x"),
                     F.col("label").cast("double").alias("y"), role.alias("role"))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quarry.functions.hashing import mix_hash_sql, uniform01_sql
 from quarry.operators import graph as gr
 from quarry.operators import hetero
 from quarry.operators import relational as rel
@@ -161,7 +162,7 @@ def _spread_sql():
         f"m AS ({fx.MEMBERSHIP_SQL})",
         "seeds AS (SELECT min(id) AS seed FROM m GROUP BY community)",
         "p(seed, id, d) AS (SELECT seed, seed, 0 FROM seeds UNION SELECT p.seed, e.dst, p.d + 1 FROM p JOIN e "
-        "ON e.src = p.id WHERE p.d < 15)",
+        "ON e.src = p.id WHERE p.d < 60)",
         "r AS (SELECT seed, id, min(d) AS step FROM p GROUP BY seed, id)",
         "per AS (SELECT step, sum(CASE WHEN m.community = ms.community THEN 1 ELSE 0 END) AS ni, "
         "sum(CASE WHEN m.community <> ms.community THEN 1 ELSE 0 END) AS no FROM r JOIN m ON r.id = m.id "
@@ -176,7 +177,7 @@ def q_spread_coverage(spark, d):
     m = fx.base_membership(spark, d)
     seeds = m.groupBy("community").agg(F.min("id").alias("seed")).select("seed")
     e = rel.symmetric_edges(fx.attributed_edges(spark, d), drop_self_loops=False)
-    return gr.spread_coverage(e, seeds, m, steps=15)
+    return gr.spread_coverage(e, seeds, m)
 
 
 # ------------------------------------------------------------------ typed graph (FIX-6) and walks
@@ -203,12 +204,15 @@ def _hetero_sql():
             "UNION ALL SELECT 'node:' || u, 'node:' || m || '_' || CAST(star AS VARCHAR) FROM r WHERE m IN (SELECT m FROM m)")
 
 
-@register("heterogeneous_graph", "2.7", _hetero_sql() + " SELECT a AS src, b AS dst FROM und UNION SELECT b, a FROM und")
+HETERO_SQL = _hetero_sql()
+
+
+@register("heterogeneous_graph", "2.7", HETERO_SQL + " SELECT a AS src, b AS dst FROM und UNION SELECT b, a FROM und")
 def q_heterogeneous_graph(spark, d):
     return typed_graph(spark, d)[1]
 
 
-@register("heterogeneous_nodes", "2.7", _hetero_sql() + (
+@register("heterogeneous_nodes", "2.7", HETERO_SQL + (
     " SELECT type, count(*) AS n_nodes FROM (SELECT DISTINCT * FROM ("
     "SELECT 'node:' || u AS id, u AS name, 'user' AS type FROM r UNION ALL SELECT 'node:' || m, m, 'movie' FROM m "
     "UNION ALL SELECT 'node:' || director, director, 'director' FROM di UNION ALL SELECT 'node:' || actor, actor, 'actor' FROM ac "
@@ -219,9 +223,23 @@ def q_heterogeneous_nodes(spark, d):
     return typed_graph(spark, d)[0].groupBy("type").agg(F.count(F.lit(1)).alias("n_nodes"))
 
 
-WALKS_PER_NODE, WALK_LENGTH, ALPHA = 2, 10, 0.1
+WALKS_PER_NODE, WALK_LENGTH, ALPHA, WALK_SEED = 10, 40, 0.1, 42
+_RESTART = uniform01_sql("w.walk_id", "w.step + 1", "'restart'", seed=WALK_SEED)
+_PICK = mix_hash_sql("w.walk_id", "w.step + 1", "'pick'", seed=WALK_SEED)
+WALKS_SQL = "WITH RECURSIVE " + ",\n".join([
+    f"e0 AS ({fx.LARGE_GRAPH_SQL})",
+    "e AS (SELECT src, dst FROM e0 UNION SELECT dst, src FROM e0)",
+    "nb AS (SELECT src AS node, dst AS nbr, row_number() OVER (PARTITION BY src ORDER BY dst) - 1 AS idx, count(*) OVER (PARTITION BY src) AS deg FROM e)",
+    "dg AS (SELECT DISTINCT node, deg FROM nb)",
+    f"w AS (SELECT node * {WALKS_PER_NODE} + r AS walk_id, node AS start, 0 AS step, node FROM dg, range({WALKS_PER_NODE}) t(r) "
+    f"UNION ALL SELECT w.walk_id, w.start, w.step + 1, CASE WHEN {_RESTART} < {ALPHA} THEN w.start ELSE nb.nbr END FROM w "
+    f"JOIN dg ON dg.node = w.node JOIN nb ON nb.node = w.node AND nb.idx = {_PICK} % dg.deg WHERE w.step < {WALK_LENGTH - 1})"])
+
+
+def walks(spark, d):
+    return gr.random_walks(large(spark, d), WALKS_PER_NODE, WALK_LENGTH, alpha=ALPHA, seed=WALK_SEED)
 
 
-@register("random_walks", "2.7")
+@register("random_walks", "2.7", WALKS_SQL + " SELECT walk_id, start, step, node FROM w")
 def q_random_walks(spark, d):
-    return gr.random_walks(large(spark, d), WALKS_PER_NODE, WALK_LENGTH, alpha=ALPHA, seed=42)
+    return walks(spark, d)

@@ -14,22 +14,31 @@ from quarry.streaming import lexicon as sl
 _n = [0]
 
 
+FILES = 5
+
+
 def _stream_dir(spark, d):
-    """Write the documents' text into a fresh stream directory as several files."""
+    """Write the documents' text into a fresh stream directory, about ``FILES`` files whatever the number of tasks."""
     _n[0] += 1
     base = scratch_path(spark, f"stream-{_n[0]}")
-    table(spark, d, "documents").select(F.col("text").alias("value")).repartition(5, F.col("value")) \
-        .write.mode("overwrite").text(f"{base}/in")
+    docs = table(spark, d, "documents").select(F.col("text").alias("value"))
+    docs.write.option("maxRecordsPerFile", max(1, docs.count() // FILES)).mode("overwrite").text(f"{base}/in")
     return base
 
 
+def _lexicon(spark, d, quality, base):
+    """The lexicon written once, not computed anew in every micro-batch."""
+    path = f"{base}/lexicon-{quality}"
+    lexicon(spark, d, quality).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def _run(spark, d, which):
     base = _stream_dir(spark, d)
     stream = text_stream_source(spark, f"{base}/in", max_files_per_trigger=1)
-    pos, neg = lexicon(spark, d, 1), lexicon(spark, d, 0)
-    if which == "batches":
-        return sl.stream_lexicon_counts(spark, stream, pos, neg, f"{base}/out", f"{base}/ckpt")
-    return sl.stream_running_totals(spark, stream, pos, neg, f"{base}/out", f"{base}/ckpt")
+    pos, neg = (_lexicon(spark, d, q, base) for q in (1, 0))
+    run = sl.stream_lexicon_counts if which == "batches" else sl.stream_running_totals
+    return run(spark, stream, pos, neg, f"{base}/out", f"{base}/ckpt")
 
 
 WORDS_SQL = (f", w AS (SELECT unnest(list_filter(regexp_split_to_array(text, '{NW}'), lambda t: t <> '')) AS word FROM documents), "
@@ -50,9 +59,12 @@ def q_stream_running_totals(spark, d):
     return _run(spark, d, "totals").select("type", "total")
 
 
-@register("stream_count_series", "2.11")
+@register("stream_count_series", "2.11", LEX_CTE + WORDS_SQL +
+          "SELECT count(*) FILTER (type = 'positive') AS positive, count(*) FILTER (type = 'negative') AS negative FROM c")
 def q_stream_count_series(spark, d):
-    return sl.stream_count_series(_run(spark, d, "batches"))
+    """The series summed over its batches (which texts share a batch depends on the files)."""
+    series = sl.stream_count_series(_run(spark, d, "batches"))
+    return series.agg(F.sum("positive").alias("positive"), F.sum("negative").alias("negative"))
 
 
 @register("text_stream_source", "2.1", "SELECT unnest(string_split(text, chr(10))) AS value FROM documents")

@@ -165,14 +165,13 @@ def _scaled_sql():
     base = fx.with_sql(x=fx.LINEITEM_XY_SQL,
                        s="SELECT min(x1) AS lo1, max(x1) AS hi1, min(x2) AS lo2, max(x2) AS hi2 FROM x WHERE l_orderkey % 4 <> 0")
     return base + (" SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, (x1 - lo1) / nullif(hi1 - lo1, 0) AS x1, "
-                   "(x2 - lo2) / nullif(hi2 - lo2, 0) AS x2 FROM x, s WHERE l_orderkey % 4 = 0")
+                   "(x2 - lo2) / nullif(hi2 - lo2, 0) AS x2 FROM x, s")
 
 
 @register("min_max_scale", "2.2", _scaled_sql())
 def q_min_max_scale(spark, d):
     x = fx.lineitem_xy(spark, d).drop("y")
-    train, test = x.filter(F.col("l_orderkey") % 4 != 0), x.filter(F.col("l_orderkey") % 4 == 0)
-    return clean.min_max_scale(train, test, ["x1", "x2"])
+    return clean.min_max_scale(x.filter(F.col("l_orderkey") % 4 != 0), x, ["x1", "x2"])   # both parts, by the training range
 
 
 @register("zscore_vector", "2.2",
@@ -266,6 +265,15 @@ def q_group_means(spark, d):
     return agg.group_means(recoded_auctions(spark, d), "priority", "competitive")
 
 
+@register("group_means_all", "2.4", RECODED_CTE + " " + " UNION ALL ".join(
+    f"SELECT '{c}' AS category, {c} AS level, avg(competitive) AS mean_competitive, count(*) AS n FROM r GROUP BY {c}" for c in ("priority", "segment")))
+def q_group_means_all(spark, d):
+    """Means for every categorical column, one scan: a row is counted once a column."""
+    r = recoded_auctions(spark, d)
+    long = r.select("competitive", F.explode(F.array(*[F.struct(F.lit(c).alias("category"), F.col(c).alias("level")) for c in ("priority", "segment")])).alias("c"))
+    return long.groupBy("c.category", "c.level").agg(F.avg("competitive").alias("mean_competitive"), F.count(F.lit(1)).alias("n"))
+
+
 # ------------------------------------------------------------------ join / argmax over the merged quizzes
 
 @register("inner_join_suffix", "2.3", MERGED_CTE + " SELECT * FROM m")
@@ -284,7 +292,6 @@ def q_argmax_id(spark, d):
 # ------------------------------------------------------------------ image manifest (FIX-14 label rows)
 
 N_CLASSES = 6
-NON_DEFECT_PER_CLASS = 80
 
 
 def _label_rows(spark, d):
@@ -311,10 +318,10 @@ def _listing(spark, d):
     return img.unionByName(mask).unionByName(lab)
 
 
-def image_manifest(labels, listing, n_classes=N_CLASSES, per_class=NON_DEFECT_PER_CLASS, seed=7):
+def image_manifest(labels, listing, n_classes=N_CLASSES, per_class=None, seed=7):
     """Image / mask pairs: the given mask for defect rows, ``<stem>_label.PNG`` otherwise; only pairs whose
-    two files exist; every defect row and at most ``per_class * n_classes`` non-defect rows (seeded
-    hash order stands in for the shuffle)."""
+    two files exist.  With ``per_class``, a documented bound on training rows, at most ``per_class * n_classes``
+    non-defect rows are taken (in seeded hash order); by default all are."""
     base = F.concat(F.lit("Class"), F.col("class_no").cast("string"))
     rows = labels.select(
         F.concat(base, F.lit("/"), F.col("file")).alias("image_path"),
@@ -326,7 +333,9 @@ def image_manifest(labels, listing, n_classes=N_CLASSES, per_class=NON_DEFECT_PE
     rows = (rows.join(files.withColumnRenamed("path", "image_path"), "image_path", "left_semi")
             .join(files.withColumnRenamed("path", "mask_path"), "mask_path", "left_semi"))
     defects = rows.filter(F.col("defect") == 1)
-    others = rows.filter(F.col("defect") == 0).orderBy("__u", "p_partkey").limit(per_class * n_classes)
+    others = rows.filter(F.col("defect") == 0)
+    if per_class is not None:
+        others = others.orderBy("__u", "p_partkey").limit(per_class * n_classes)
     return defects.unionByName(others).select("image_path", "mask_path", "defect")
 
 
@@ -343,8 +352,7 @@ def _manifest_sql():
         "CASE WHEN defect = 1 THEN base || '/Label/img' || CAST(p_partkey AS VARCHAR) || '_mask.png' "
         "ELSE base || '/Label/img' || CAST(p_partkey AS VARCHAR) || '_label.PNG' END AS mask_path, defect, u, p_partkey FROM lr), "
         "ok AS (SELECT * FROM r WHERE image_path IN (SELECT path FROM files) AND mask_path IN (SELECT path FROM files)) "
-        "SELECT image_path, mask_path, defect FROM ok WHERE defect = 1 "
-        "UNION ALL SELECT image_path, mask_path, defect FROM (SELECT * FROM ok WHERE defect = 0 ORDER BY u, p_partkey LIMIT 480)")
+        "SELECT image_path, mask_path, defect FROM ok")
 
 
 @register("image_manifest", "2.2", _manifest_sql())

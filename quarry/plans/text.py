@@ -16,7 +16,6 @@ WS = "[ \\t\\n\\x0B\\f\\r]+"
 NW = "[^\\p{L}\\p{N}_]+"
 MIN_COUNT = 5
 SAMPLE = 1e-3
-LEXICON_SIZE = 200
 STOP_SQL = "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in STOP_WORDS) + "]"
 
 
@@ -173,30 +172,33 @@ def q_set_difference(spark, d):
     return tm.remove_stop_words(t).distinct()       # broadcast anti-join on the word, then distinct
 
 
-@register("context_pairs", "2.3", LBASE + (
-    ", t AS (SELECT doc_id, CAST(generate_subscripts(tokens, 1) AS INTEGER) AS pos, unnest(tokens) AS word FROM lt) "
-    "SELECT a.word, b.word AS context, count(*) AS n FROM t a JOIN t b ON a.doc_id = b.doc_id "
-    "AND b.pos BETWEEN a.pos - 2 AND a.pos + 2 AND b.pos <> a.pos GROUP BY 1, 2"))
+@register("context_pairs", "2.3", BASE + (
+    " SELECT a.word, b.word AS context, count(*) AS n FROM ct a CROSS JOIN (VALUES (-2), (-1), (1), (2)) o(o) "
+    "JOIN ct b ON a.doc_id = b.doc_id AND b.pos = a.pos + o.o GROUP BY 1, 2"))
 def q_context_pairs(spark, d):
-    t = tm.doc_tokens(labelled_tokens(spark, d))
-    return rel.context_pairs(t, 2).groupBy("word", "context").agg(F.count(F.lit(1)).alias("n"))
+    return rel.context_pairs(corpus_tokens(spark, d), 2).groupBy("word", "context").agg(F.count(F.lit(1)).alias("n"))
 
 
 # ------------------------------------------------------------------ lexicons (FIX-11) and classification
 
 def lexicon(spark, d, quality):
-    docs = fx.labelled_docs(spark, d).filter(F.col("label") == quality)
-    toks = docs.select(F.explode(split_nonword("text")).alias("word"))
-    return (toks.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-            .orderBy(F.col("n").desc(), F.col("word")).limit(LEXICON_SIZE).select("word"))
+    """Every word whose share is larger in documents of this quality than in those of the other."""
+    toks = fx.labelled_docs(spark, d).select("label", F.explode(split_nonword("text")).alias("word"))
+    by = toks.groupBy("word").agg(F.count_if(F.col("label") == 1).alias("n1"), F.count_if(F.col("label") == 0).alias("n0"))
+    totals = by.agg(F.sum("n1").alias("t1"), F.sum("n0").alias("t0"))      # one row
+    mine, other = F.col("n1") * F.col("t0"), F.col("n0") * F.col("t1")
+    return by.crossJoin(F.broadcast(totals)).filter(mine > other if quality else mine < other).select("word")
+
+
+LEXW_SQL = (f"SELECT word, count(*) FILTER (label = 1) AS n1, count(*) FILTER (label = 0) AS n0 FROM (SELECT label, "
+            f"unnest(list_filter(regexp_split_to_array(text, '{NW}'), lambda t: t <> '')) AS word FROM ld) GROUP BY word")
 
 
 def lexicon_sql(q):
-    return (f"SELECT word FROM (SELECT unnest(list_filter(regexp_split_to_array(text, '{NW}'), lambda t: t <> '')) AS word "
-            f"FROM ld WHERE label = {q}) GROUP BY word ORDER BY count(*) DESC, word LIMIT {LEXICON_SIZE}")
+    return f"SELECT word FROM lexw, (SELECT sum(n1) AS t1, sum(n0) AS t0 FROM lexw) WHERE n1 * t0 {'>' if q else '<'} n0 * t1"
 
 
-LEX_CTE = fx.with_sql(ld=fx.LABELLED_DOCS_SQL, pos=lexicon_sql(1), neg=lexicon_sql(0))
+LEX_CTE = fx.with_sql(ld=fx.LABELLED_DOCS_SQL, lexw=LEXW_SQL, pos=lexicon_sql(1), neg=lexicon_sql(0))
 
 
 def classified_tokens(spark, d):

@@ -14,8 +14,10 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     b = SparkSession.builder.appName(app_name)
     if master:
         b = b.master(master)
-    parts = shuffle_partitions or int(os.environ.get("QUARRY_SHUFFLE_PARTITIONS", "8"))
-    b = (b.config("spark.sql.shuffle.partitions", str(parts))
+    parts = shuffle_partitions or os.environ.get("QUARRY_SHUFFLE_PARTITIONS") or (8 if master and master.startswith("local") else None)
+    if parts:   # a cluster's own setting stays
+        b = b.config("spark.sql.shuffle.partitions", str(parts))
+    b = (b.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")

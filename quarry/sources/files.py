@@ -26,12 +26,12 @@ def scratch_text(spark: SparkSession, name: str, lines: DataFrame) -> str:
 
 
 def file_inventory(spark: SparkSession, directory: str, glob: str = "*", pattern: str | None = None) -> DataFrame:
-    """File names under ``directory`` matching ``glob`` (sorted); with ``pattern``, only the first name
+    """Folder, name and length of the files under ``directory`` matching ``glob``; with ``pattern``, only the first name
     that matches the regex (or no row).  Only file metadata is read — the content column is pruned."""
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
-             .load(directory).select(F.element_at(F.split("path", "/"), -1).alias("name"), "length"))
+             .load(directory).select(F.element_at(F.split("path", "/"), -2).alias("folder"), F.element_at(F.split("path", "/"), -1).alias("name"), "length"))
     if pattern is None:
-        return files.select("name", "length")
+        return files.select("folder", "name", "length")
     return files.filter(F.col("name").rlike(pattern)).agg(F.min("name").alias("name"))
 
 
@@ -49,11 +49,22 @@ def write_delimited(df: DataFrame, path: str, sep: str = ",", header: bool = Fal
     df.write.mode("overwrite").option("sep", sep).option("header", header).csv(path)
 
 
-def read_edge_list(spark: SparkSession, path: str, large: bool = False, id_type: str = "long") -> tuple[DataFrame, DataFrame]:
-    """``id1<delim>id2`` lines → ``(edges(src, dst), vertices(id))``.  ``large`` files start with a
-    count line and are space-separated; otherwise comma-separated."""
-    e = (spark.read.schema(f"src {id_type}, dst {id_type}").option("sep", " " if large else ",")
-         .option("header", large).csv(path)).filter(F.col("src").isNotNull() & F.col("dst").isNotNull())
+def read_edge_list(spark: SparkSession, path: str, large: bool = False, id_type: str = "long",
+                   bad_lines: str = "raise") -> tuple[DataFrame, DataFrame]:
+    """``id1<delim>id2`` lines → ``(edges(src, dst), vertices(id))``.  ``large`` files are space-separated and have a
+    count line, known by its shape (one field) in whichever part file it stands; otherwise comma-separated.  Blank
+    lines are skipped; any other line raises, or with ``bad_lines="drop"`` is left out."""
+    p = F.split(F.trim("value"), " +" if large else " *, *")
+    src, dst = F.get(p, 0).try_cast(id_type), F.get(p, 1).try_cast(id_type)
+    good = (F.size(p) == 2) & src.isNotNull() & dst.isNotNull()
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    if large:
+        lines = lines.filter(F.size(p) != 1)
+    if bad_lines == "drop":
+        lines = lines.filter(good)
+    else:
+        src = F.when(good, src).otherwise(F.raise_error(F.concat(F.lit("not an edge: "), F.substring("value", 1, 80))).cast(id_type))
+    e = lines.select(src.alias("src"), dst.alias("dst"))
     v = e.select(F.col("src").alias("id")).unionByName(e.select(F.col("dst").alias("id"))).distinct()
     return e, v
 

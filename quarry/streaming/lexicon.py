@@ -3,8 +3,8 @@ and as running totals.
 
 The reference uses 10-second processing-time batches over a message bus with keyed running state;
 here the source is the file-backed text stream (same one-column ``value`` contract), lexicons are
-joined as static DataFrames (stream-static broadcast join), per-batch counts go through
-``foreachBatch`` into an append-only table (idempotent per batch id), and running totals are a
+joined as static DataFrames (Spark broadcasts them if they are small enough), per-batch counts go through
+``foreachBatch`` into one directory per batch id, overwritten if a batch is run again, and running totals are a
 stateful ``groupBy().count()`` in complete mode (two keys, so the state stays tiny).  Every query has
 a checkpoint location on shared storage, so a restarted driver resumes where it stopped.
 """
@@ -20,25 +20,26 @@ from quarry.operators.textmine import classify_lexicon
 def classified_words(stream: DataFrame, positive: DataFrame, negative: DataFrame) -> DataFrame:
     """Streaming words with their class; oov words dropped."""
     words = stream.select(F.explode(split_nonword("value")).alias("word"))
-    c = classify_lexicon(words, F.broadcast(positive), F.broadcast(negative))
+    c = classify_lexicon(words, positive, negative)
     return c.filter(F.col("type") != "oov")
 
 
 def stream_lexicon_counts(spark: SparkSession, stream: DataFrame, positive: DataFrame, negative: DataFrame,
                           sink_path: str, checkpoint: str, trigger: dict | None = None, timeout: float | None = None):
-    """Per micro-batch ``(batch_id, type, count)`` appended to a Parquet table at ``sink_path``."""
+    """Per micro-batch ``(batch_id, type, count)`` in a Parquet table at ``sink_path``; a batch that is run again
+    replaces its own rows."""
     words = classified_words(stream, positive, negative)
 
     def write_batch(df: DataFrame, batch_id: int):
-        (df.groupBy("type").agg(F.count(F.lit(1)).alias("count")).withColumn("batch_id", F.lit(batch_id).cast("long"))
-         .write.mode("append").partitionBy("batch_id").parquet(sink_path))
+        (df.groupBy("type").agg(F.count(F.lit(1)).alias("count"))
+         .write.mode("overwrite").parquet(f"{sink_path}/batch_id={batch_id}"))
 
     q = (words.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
          .trigger(**(trigger or {"availableNow": True})).start())
     q.awaitTermination(timeout)
     if timeout is not None:
         q.stop()
-    return spark.read.parquet(sink_path)
+    return spark.read.schema("type string, count long, batch_id long").parquet(sink_path)
 
 
 def stream_running_totals(spark: SparkSession, stream: DataFrame, positive: DataFrame, negative: DataFrame,
