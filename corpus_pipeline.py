@@ -40,7 +40,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of the best segmentation of each text, its score, and the others of the N best."""
-    out = piece_lattice.encode_pieces(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    out = piece_lattice.encode_pieces(docs, public_tokenizers.path("piece_bpe_32k.model"), keep=["doc_id", "lang", "source"])
     return out.select("doc_id", "lang", "source", "pieces.*")
 
 

@@ -21,18 +21,22 @@ import heapq
 import math
 import re
 import zlib
+from array import array
 from bisect import insort
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.llm.common import text_column
 
 UNIT = 1_000_000
-CACHE = 1 << 19
+CACHE = 1 << 18
 _UNITS = re.compile(r" *[^\W_]+| *(?:[^\w ]|_)+| +")
 
 
@@ -61,6 +65,7 @@ class Pieces:
         # pairs of characters that a piece joins across two units; such units stay together
         self.joins = {a[-1] + b[0] for p in piece.values() for u in [_UNITS.findall(p)] for a, b in zip(u, u[1:])}
         self.known: dict[str, tuple] = {}
+        self.older: dict[str, tuple] = {}
 
     @classmethod
     def open(cls, path: str, n: int) -> "Pieces":
@@ -84,13 +89,13 @@ class Pieces:
                 into[i + 1].append((i, self.byte_cost * len(raw), tuple(self.byte_id[b] for b in raw)))
         return into
 
-    def n_best(self, unit: str) -> list[tuple[int, tuple[int, ...]]]:
-        """The N cheapest (cost, ids), cheapest first."""
+    def n_best(self, unit: str, n: int) -> list[tuple[int, tuple[int, ...]]]:
+        """The ``n`` cheapest (cost, ids), cheapest first."""
         into = self.lattice(unit)
         ahead = [0] * len(into)  # forward Viterbi: cheapest cost from the begin
         for j in range(1, len(into)):
             ahead[j] = min([ahead[i] + c for i, c, _ in into[j]])
-        out, room, order = [], self.n, 1
+        out, room, order = [], n, 1
         queue: list[tuple] = [(ahead[-1], 0, len(unit), 0, None)]
         while queue and room:
             total, _, j, behind, path = queue.pop(0)
@@ -124,11 +129,56 @@ class Pieces:
             return whole
         return units
 
+    def best(self, unit: str) -> tuple[int, tuple[int, ...], int]:
+        """Cost and ids of the cheapest segmentation, and how much more the second one costs (-1: there is none).
+
+        The second one leaves the first, seen from the end, at some place by another piece; before that it is the
+        cheapest: the first two results of the backward search, without a queue."""
+        begins, n = self.begins, len(unit)
+        into: list[list[tuple[int, int, object]]] = [[] for _ in range(n + 1)]
+        ahead = [0] * (n + 1)
+        for i in range(n):
+            if i:
+                if not into[i]:
+                    continue
+                ahead[i] = min(into[i])[0]
+            before = ahead[i]
+            for j in range(i + 1, n + 1):
+                piece = unit[i:j]
+                if piece not in begins:
+                    break
+                if got := begins[piece]:
+                    into[j].append((before + got[0], i, got[1]))
+            if unit[i] not in self.cost:
+                raw = unit[i].encode("utf-8", "surrogatepass")
+                into[i + 1].append((before + self.byte_cost * len(raw), i, tuple(self.byte_id[b] for b in raw)))
+        j, path, gap = n, [], -1
+        cost = min(into[n])[0]
+        while j:
+            edges = into[j]
+            first = min(edges)
+            if len(edges) > 1:
+                edges.remove(first)
+                more = min(edges)[0] - first[0]
+                if gap < 0 or more < gap:
+                    gap = more
+            path.append(first[2])
+            j = first[1]
+        return cost, tuple(k for x in reversed(path) for k in (x if isinstance(x, tuple) else (x,))), gap
+
     def _learn(self, units) -> None:
+        """Cost, ids, distance to the second choice and number of ids of each unit.  Units of the last generation of
+        the cache move on to the new one, so frequent ones stay."""
         for u in units:
-            best = self.n_best(u)
-            cost, ids = best[0]
-            self.known[u] = (cost, np.array(ids, dtype=np.int32).tobytes(), best[1][0] - cost if len(best) > 1 else -1, len(ids), tuple(best))
+            if (old := self.older.get(u)) is None:
+                cost, ids, gap = self.best(u)
+                old = cost, array("i", ids).tobytes(), gap, len(ids)
+            self.known[u] = old
+
+    def choices(self, unit: str) -> list[tuple[int, tuple[int, ...]]]:
+        """The N best of a unit, that of ``best`` first."""
+        cost, ids, *_ = self.best(unit)
+        return [(cost, ids), *(x for x in self.n_best(unit, self.n) if x[1] != ids)][:self.n]
 
     def segment(self, text: str | None) -> tuple[int, np.ndarray, list[tuple[int, list[tuple[int, int, tuple[int, ...]]]]]]:
         """Cost and ids of the best segmentation of a text, and the others of the N best: cost and edits to the best
@@ -137,9 +187,9 @@ class Pieces:
         if not units:
             return 0, np.empty(0, np.int32), []
         if len(self.known) > CACHE:
-            self.known.clear()
+            self.older, self.known = self.known, {}
         self._learn(set(units).difference(self.known))
-        costs, ids, second, sizes, best = zip(*map(self.known.__getitem__, units))
+        costs, ids, second, sizes = zip(*map(self.known.__getitem__, units))
         cost, whole = sum(costs), np.frombuffer(b"".join(ids), dtype=np.int32)
         # a deviation outside the N - 1 units with the cheapest second choice can't be among the N best
         second = np.array(second, dtype=np.int64)
@@ -149,6 +199,7 @@ class Pieces:
         few = np.sort(able[np.argsort(second[able], kind="stable")[:self.n - 1]])
         start = dict(zip(few.tolist(), (np.cumsum(sizes) - sizes)[few].tolist()))
         ways: list[tuple[int, tuple[tuple[int, int], ...]]] = [(0, ())]
+        best = {u: self.choices(units[u]) for u in start}
         for u in start:
             ways = heapq.nsmallest(self.n, [(extra + c - costs[u], path + ((u, k),) if k else path) for extra, path in ways for k, (c, _) in enumerate(best[u])])
         return cost, whole, [(cost + extra, [(start[u], sizes[u], best[u][k][1]) for u, k in path]) for extra, path in ways[1:]]
@@ -168,26 +219,44 @@ def apply_edits(ids: list[int], edits) -> list[int]:
     return out + list(ids[at:])
 
 
-_RESULT = "ids array<int>, ids_crc32 long, score double, others array<struct<score:double,edits:array<struct<place:int,drop:int,put:array<int>>>>>, round_trip boolean"
-
-
-def encode_pieces(df: DataFrame, path: str, text: str = "text", n: int = 4, name: str = "pieces") -> DataFrame:
-    """``df`` with a column ``name``: ids of the best segmentation, their crc32 (as little-endian 32-bit integers), its score (log probability), the ``others`` of the N
-    best as edits to it, and whether decoding the ids gave the text back.
-
-    Null text counts as empty, with no ids, score 0 and no others.  Equal costs come in the order the search finds them,
-    which depends on the text alone.  Each row is by itself: repeated rows give equal results; a column called ``name``
-    is replaced.  Empty table: no rows."""
-
-    @F.pandas_udf(_RESULT)
-    def segment(texts: pd.Series) -> pd.DataFrame:
-        pieces, rows = Pieces.open(path, n), []
-        for t in texts:
-            cost, ids, others = pieces.segment(t)
-            rows.append((ids, zlib.crc32(ids.tobytes()), -cost / UNIT, [(-c / UNIT, e) for c, e in others], pieces.decode(ids.tolist()) == t))
-        return pd.DataFrame(rows, columns=["ids", "ids_crc32", "score", "others", "round_trip"])
-
-    return df.withColumn(name, segment(text_column(df, text)))
+_RESULT = ("ids array<int>, ids_crc32 bigint, score double, "
+           "others array<struct<score:double,edits:array<struct<place:int,drop:int,put:array<int>>>>>, round_trip boolean")
+_OTHERS = pa.list_(pa.struct([("score", pa.float64()), ("edits", pa.list_(pa.struct([("place", pa.int32()), ("drop", pa.int32()), ("put", pa.list_(pa.int32()))])))]))
+SLICE = 256
+
+
+def _segmented(pieces: Pieces, texts: list[str]) -> pa.StructArray:
+    costs, ids, others = zip(*map(pieces.segment, texts))
+    size = np.cumsum([0, *map(len, ids)])
+    lists = pa.ListArray.from_arrays(pa.array(size, pa.int32()), pa.array(np.concatenate(ids), pa.int32()))
+    rest = pa.array([[{"score": -c / UNIT, "edits": [{"place": p, "drop": d, "put": put} for p, d, put in e]} for c, e in o] for o in others], _OTHERS)
+    same = [pieces.decode(x.tolist()) == t for x, t in zip(ids, texts, strict=True)]
+    return pa.StructArray.from_arrays([lists, pa.array([zlib.crc32(x.tobytes()) for x in ids], pa.int64()), pa.array([-c / UNIT for c in costs], pa.float64()), rest, pa.array(same)],
+                                      ["ids", "ids_crc32", "score", "others", "round_trip"])
+
+
+def encode_pieces(df: DataFrame, path: str, text: str = "text", n: int = 4, name: str = "pieces", keep: list[str] | None = None) -> DataFrame:
+    """``df`` with a column ``name``: ids of the best segmentation, their crc32 (as little-endian 32-bit integers), its
+    score (log probability), the ``others`` of the N best as edits to it, and whether decoding the ids gave the text back.
+
+    Null text counts as empty, with no ids, score 0 and no others.  Equal costs come in an order that depends on the
+    text alone.  Each row is by itself: repeated rows give equal results; a column called ``name`` is replaced.  ``keep``
+    names the columns to carry along (all by default).  Empty table: no rows."""
+    rest = [c for c in (df.columns if keep is None else keep) if c != name]
+    whole = "__text"
+    while whole in rest:
+        whole += "_"
+
+    def segment(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = Pieces.open(path, n)
+        for batch in batches:
+            for i in range(0, batch.num_rows, SLICE):
+                part = batch.slice(i, SLICE)
+                done = _segmented(pieces, part.column(len(rest)).to_pylist())
+                yield pa.RecordBatch.from_arrays([*part.columns[:len(rest)], done], [*rest, name])
+
+    schema = T.StructType([*(df.schema[c] for c in rest), T.StructField(name, T.StructType.fromDDL(_RESULT))])
+    return df.select(*rest, text_column(df, text).alias(whole)).mapInArrow(segment, schema)
 
 
 def decode_pieces(df: DataFrame, path: str, ids: str = "ids", name: str = "text") -> DataFrame:

@@ -48,8 +48,7 @@ def op3(spark, sf_dir):
 
 @_query("op4_piece_lattice")
 def op4(spark, sf_dir, model: str = "piece_bpe_32k.model"):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = piece_lattice.encode_pieces(docs, public_tokenizers.path(model))
+    out = piece_lattice.encode_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path(model), keep=["doc_id"])
     return out.select("doc_id", F.size("pieces.ids").cast("long").alias("n_ids"), "pieces.ids_crc32", "pieces.score",
                       F.transform("pieces.others", lambda o: o["score"]).alias("other_scores"), "pieces.round_trip")
 
@@ -77,8 +76,8 @@ def op7(spark, sf_dir):
 
 
 @_query("op8_columnar_topk", """
-WITH v AS (SELECT vec_id, list_transform(embedding, x -> floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
-           WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
       FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)

@@ -70,11 +70,29 @@ def test_viterbi_of_whole_text_equals_units():
     rnd = random.Random(0)
     for _ in range(30):
         text = "".join(rnd.choice(["the ", "tion", "é", "  ", "1", "2", "x².", "²", ", ", "\n", "ß", "word", "_x", "🙂"]) for _ in range(12))
-        whole = p.n_best(" " + text)
+        whole = p.n_best(" " + text, 4)
         cost, _, others = p.segment(text)
         assert [cost, *(c for c, _ in others)] == [c for c, _ in whole]
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="ab .é東", min_size=1, max_size=9))
+def test_best_and_gap(text):
+    p = small(2)
+    cost, ids, gap = p.best(" " + text)
+    paths = every_path(p, text)
+    assert cost == paths[0][0] and (cost, ids) in paths and gap == (paths[1][0] - cost if len(paths) > 1 else -1)
+
+
+def test_small_cache_changes_nothing(monkeypatch):
+    rnd = random.Random(3)
+    texts = [" ".join(rnd.choice("ab") * rnd.randrange(1, 9) for _ in range(20)) for _ in range(60)]
+    want = [[x.tolist() if hasattr(x, "tolist") else x for x in small(4).segment(t)] for t in texts]
+    monkeypatch.setattr(pl, "CACHE", 3)
+    p = small(4)
+    assert [[x.tolist() if hasattr(x, "tolist") else x for x in p.segment(t)] for t in texts] == want
+
+
 @pytest.mark.parametrize("n", [1, 4])
 def test_documents(spark, odd_docs, no_docs, n):
     got = pl.encode_pieces(odd_docs, PATH, n=n).select("doc_id", "text", "name", "pieces.*").collect()
