@@ -51,11 +51,15 @@ class Coder:
         self.ids, self.freq = ids.astype(np.uint32), freqs.astype(np.uint64)
         self.first = np.concatenate(([0], np.cumsum(freqs)[:-1])).astype(np.uint64) if len(freqs) else np.zeros(0, np.uint64)
         self._slots: np.ndarray | None = None
+        top = int(ids.max(initial=0))
+        self._place = np.zeros(top + 1, dtype=np.int32) if top < 1 << 24 else None
+        if self._place is not None:
+            self._place[ids] = np.arange(len(ids))
 
     def encode(self, ids: np.ndarray, mark_tokens: int) -> tuple[bytes, list[tuple[int, int, bytes]]]:
         """Coded words and checkpoints (token, word, states), the first at token 0."""
         n, k, bits, word = len(ids), LANES, _U(self.bits), _U(32)
-        at = np.searchsorted(self.ids, ids)
+        at = np.searchsorted(self.ids, ids) if self._place is None else self._place[ids]
         freq, first = self.freq[at], self.first[at]
         states = np.full(k, 1 << LOW, dtype=np.uint64)
         limit = freq << (_U(LOW + 32) - bits)  # a state from here on gives out a word first
@@ -86,29 +90,22 @@ class Coder:
         stop = np.append(start[1:], n)
         ptr = np.array([m[1] for m in marks], dtype=np.int64)
         x = np.stack([np.frombuffer(m[2], dtype="<u8") for m in marks]).astype(np.uint64)
-        out, lane = np.empty(n, dtype=np.uint32), np.arange(k)
-        for s in range(0, int((stop - start).max(initial=0)), k):
-            live = np.flatnonzero(start + s < stop)  # segments but the last are equally long
-            whole = bool((start[live] + s + k <= stop[live]).all())
+        longest = int((stop - start).max(initial=0))
+        out, lane = np.empty((len(start), -(-longest // k) * k), dtype=np.uint32), np.arange(k)
+        for s in range(0, longest, k):
+            live = slice(None) if s + k <= (stop - start).min() else np.flatnonzero(start + s < stop)
             y = x[live]
             slot = y & mask
             sym = self._slots[slot]
             y = self.freq[sym] * (y >> bits) + slot - self.first[sym]
-            to = start[live][:, None] + s + lane
-            here = np.True_ if whole else to < stop[live][:, None]
-            need = (y < low) & here
-            if need.any():
-                rank = np.cumsum(need, axis=1)
-                got = stream[(ptr[live][:, None] + rank - 1)[need]]
-                y[need] = (y[need] << word) | got
-                ptr[live] += rank[:, -1]
-            if whole:
-                out[to] = self.ids[sym]
-                x[live] = y
-            else:
-                out[to[here]] = self.ids[sym[here]]
-                x[live] = np.where(here, y, x[live])
-        return out
+            out[live, s:s + k] = self.ids[sym]
+            here = None if isinstance(live, slice) else lane < (stop - start)[live][:, None] - s  # lanes with an id
+            need = y < low if here is None else (y < low) & here
+            rank = np.cumsum(need, axis=1)
+            y[need] = (y[need] << word) | stream[(ptr[live][:, None] + rank - 1)[need]]
+            ptr[live] += rank[:, -1]
+            x[live] = y if here is None else np.where(here, y, x[live])
+        return np.concatenate([row[:m] for row, m in zip(out, (stop - start).tolist(), strict=True)])
 
 
 def _le32(ids: np.ndarray) -> bytes:
