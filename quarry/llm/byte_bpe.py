@@ -57,7 +57,8 @@ class Words:
         known, model, letters, other = self.known, self.tokenizer.model.tokenize, _LETTERS.fullmatch, []
         for p in new:
             if letters(p):
-                known[p] = array("I", [t.id for t in model(p.encode().decode("latin-1").translate(self.shown))]).tobytes()
+                shown = p.replace(" ", self.shown[32]) if p.isascii() else p.encode().decode("latin-1").translate(self.shown)
+                known[p] = array("I", [t.id for t in model(shown)]).tobytes()
             else:
                 other.append(p)
         for i in range(0, len(other), 2000):

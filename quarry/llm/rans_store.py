@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import FILE, POS, scratch_dir, text_column, with_row_key
 
-LANES, LOW = 512, 31
+LANES, LOW = 1024, 31
 _U = np.uint64
 BLOCK_SCHEMA = "part int, block long, n_tokens long, crc32 long, words binary, marks array<struct<token:bigint,word:bigint,states:binary>>, doc_ids array<bigint>, doc_tokens array<bigint>"
 
@@ -113,7 +113,7 @@ def _le32(ids: np.ndarray) -> bytes:
 
 
 def write_ids(docs: DataFrame, tokenize: Callable[[list[str]], list[np.ndarray]], path: str, doc_id: str = "doc_id", text: str = "text", max_id: int = 65535,
-              bits: int = 20, block_tokens: int = 1 << 18, mark_tokens: int = 1 << 16) -> None:
+              bits: int = 20, block_tokens: int = 1 << 18, mark_tokens: int = 1 << 17) -> None:
     """Tokenizes ``docs`` and writes their ids to ``path`` in ascending doc_id order (null last; rows of one doc_id by
     their place).  ``tokenize`` maps texts to id arrays, ids up to ``max_id``.
 

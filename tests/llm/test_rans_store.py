@@ -21,15 +21,15 @@ def coder_for(ids, bits=16):
     return rs.Coder(every, rs.scaled(n, bits))
 
 
-@pytest.mark.parametrize("n", [1, 5, 511, 512, 513, 1030, 20000])
+@pytest.mark.parametrize("n", [1, 5, 1023, 1024, 1025, 2100, 20000])
 @pytest.mark.parametrize("kind", ["one", "two", "flat", "steep"])
 def test_round_trip(n, kind):
     rng = np.random.default_rng(n)
     ids = {"one": np.full(n, 7), "two": rng.integers(0, 2, n) * 50000, "flat": rng.integers(0, 60000, n), "steep": np.minimum(rng.geometric(0.02, n), 400)}[kind].astype(np.uint32)
     c = coder_for(ids)
-    words, marks = c.encode(ids, 1024)
+    words, marks = c.encode(ids, 2048)
     assert (c.decode(words, marks, n) == ids).all()
-    assert [m[0] for m in marks] == list(range(0, n, 1024))
+    assert [m[0] for m in marks] == list(range(0, n, 2048))
     for i, m in enumerate(marks):  # each checkpoint alone
         stop = marks[i + 1][0] if i + 1 < len(marks) else n
         shifted = [(0, m[1], m[2])]
@@ -40,7 +40,7 @@ def test_size_is_near_the_entropy():
     ids = np.minimum(np.random.default_rng(0).geometric(0.01, 200000), 1500).astype(np.uint32)
     p = np.unique(ids, return_counts=True)[1] / len(ids)
     words, marks = coder_for(ids).encode(ids, 1 << 16)
-    assert len(words) * 8 < 1.01 * len(ids) * -(p @ np.log2(p)) + 64 * rs.LANES
+    assert len(words) * 8 < 1.02 * len(ids) * -(p @ np.log2(p)) + 64 * rs.LANES
 
 
 def test_scaled_sums():
@@ -70,7 +70,7 @@ def store(df, path, **options):
     rs.write_ids(df, lambda texts: Words.open(PATH, 2).encode(texts), path, **options)
 
 
-@pytest.mark.parametrize("options", [{}, {"block_tokens": 40, "mark_tokens": 512}])
+@pytest.mark.parametrize("options", [{}, {"block_tokens": 40, "mark_tokens": 1024}])
 def test_files(spark, odd_docs, options):
     path = scratch_dir(spark, "rans-test")
     store(odd_docs, path, **options)
