@@ -36,7 +36,9 @@ BREAKS = frozenset("address article aside blockquote body br dd div dl dt fields
 SILENT = frozenset("script style noscript template iframe object svg textarea".split())
 #: Attributes that link, by element.
 LINKS = {"a": "href", "area": "href", "link": "href", "img": "src", "script": "src", "iframe": "src", "source": "src", "form": "action"}
-_NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+#: A tag without < or > in its values, closed quotes: all but odd tags.
+_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)(?:[^<>"']|"[^"<>]*"|'[^'<>]*')*+>""")
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 _SPACES = re.compile(r"[ \t\r\f\v]+")
 
@@ -67,7 +69,10 @@ def page_parts(page: str) -> tuple[str, str, list[tuple[str, str]]]:
             end = page.find("-->", begin + 4)
             at = n if end < 0 else end + 3
             continue
-        name = _NAME.match(page, begin)
+        name = _TAG.match(page, begin)
+        whole = name is not None
+        if not whole:
+            name = _NAME.match(page, begin)
         if not name:
             if page.startswith(("<!", "<?"), begin):
                 at = _tag_end(page, begin)
@@ -75,10 +80,11 @@ def page_parts(page: str) -> tuple[str, str, list[tuple[str, str]]]:
                 out.append("<")
                 at = begin + 1
             continue
-        tag, opens = name[1].lower(), page[begin + 1] != "/"
-        at = _tag_end(page, begin)
+        opens = not name[1]
+        tag = name[2].lower()
+        at = name.end() if whole else _tag_end(page, begin)
         if opens and tag in LINKS:
-            for m in _ATTRIBUTE.finditer(page, name.end(), at):
+            for m in _ATTRIBUTE.finditer(page, name.end(2), at):
                 if m[1].lower() == LINKS[tag]:
                     links.append((tag, html.unescape(next(g for g in m.groups()[1:] if g is not None))))
         if opens and (tag in SILENT or tag == "title"):
@@ -113,7 +119,7 @@ def record_text(block: Column | None = None) -> Column:
 def write_warc(records: DataFrame, path: str, records_per_file: int = 50_000) -> None:
     """Writes records whose blocks are UTF-8 text."""
     value = records.select(F.concat(record_text(), F.lit("\r\n\r")).alias("value"))  # the last line feed is the line's end
-    value.write.option("lineSep", "\n").option("compression", "gzip").option("maxRecordsPerFile", records_per_file).text(path)
+    value.write.option("lineSep", "\n").option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").option("maxRecordsPerFile", records_per_file).text(path)
 
 
 def parse_records(content: bytes) -> Iterator[tuple[dict[str, str], list[str], bytes]]:
