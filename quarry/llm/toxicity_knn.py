@@ -1,12 +1,17 @@
 """Toxicity scores from the nearest labelled examples by exact TF-IDF cosine over a block-max inverted index.
 
-At most ``max_examples`` labelled documents (those with the smallest hash) are the examples, and the ``n_terms`` words
-that tell their labels apart best (chi-square) are the vocabulary; document frequencies of these words are counted over
-all documents.  Example vectors are sorted and packed in blocks of ``BLOCK``; for each word and block the index keeps
-the largest weight.  The sum of a document's weights times these maxima bounds its cosine with every example of a
-block, so blocks are opened from the highest bound on and the search ends, exactly, when the next bound is below the
-k-th best cosine.  Neighbours vote with weight 1 / (0.1 + distance), pulled to the base rate, and the vote is calibrated
-by a logistic curve fitted on examples that vote without themselves.  Only the text is an input of a score.
+At most ``max_examples`` labelled documents (those with the smallest hash) are the examples, and every word of theirs is
+indexed.  Document frequencies are counted over all documents, for all words.  A word weighs its TF-IDF times its
+association with the label (the phi coefficient among the examples) plus ``FLOOR``, so no word is left out; a document's
+norm covers all its words, also those that no example holds.  Example vectors are sorted and dealt to blocks of
+``BLOCK``; a word's postings lie block by block, each with its largest weight.  The sum of a document's weights times
+these maxima bounds its cosine with every example of a block, so blocks are opened from the highest bound on and the
+search ends, exactly, when the next bound is below the k-th best cosine.  Neighbours vote with weight 1 / (0.1 +
+distance), pulled to the base rate, and the vote is calibrated by a logistic curve fitted on examples that vote without
+themselves.  Only the text is an input of a score.
+
+A word in no example doesn't change the order of the neighbours, only the norm: it leaves the search as a row, meets its
+document frequency in a join, and the sum of its squares scales the cosines before the vote.
 """
 from __future__ import annotations
 
@@ -18,9 +23,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import materialize, text_column
+from quarry.llm.common import FILE, POS, keep_rows, materialize, text_column, with_row_key
 
-BLOCK, PULL, CALIBRATION = 128, 0.5, 4000
+BLOCK, PULL, CALIBRATION, FLOOR = 128, 0.5, 4000, 0.01
 _WORD = re.compile(r"\w+")
 
 
@@ -31,9 +36,14 @@ def words(text: str | None) -> list[str]:
 @dataclass
 class Index:
     vocab: dict[str, int]
-    idf: np.ndarray
-    blocks: np.ndarray  # block, term, example: weights
-    block_max: np.ndarray  # term, block
+    idf: np.ndarray  # weight of each word: idf, in fit times its association with the label
+    n_blocks: int
+    first: np.ndarray  # first entry of each word; an entry is a word's postings in one block
+    block: np.ndarray  # block of each entry
+    most: np.ndarray  # largest weight of each entry
+    begin: np.ndarray  # first posting of each entry
+    places: np.ndarray  # place and weight of each posting
+    held: np.ndarray
     ids: np.ndarray  # doc_id of each place, -1 for none
     labels: np.ndarray
     prior: float  # base rate among the examples
@@ -41,25 +51,76 @@ class Index:
     curve: tuple[float, float] = (1.0, 0.0)
     k: int = 25
 
+    @property
+    def blocks(self) -> np.ndarray:
+        """Dense copy (block, term, example) of the weights, for small vocabularies."""
+        out = np.zeros((self.n_blocks, len(self.idf), BLOCK))
+        entry = np.repeat(np.arange(len(self.block)), np.diff(self.begin))
+        term = np.repeat(np.arange(len(self.idf)), np.diff(self.first))
+        out[self.block[entry], term[entry], self.places % BLOCK] = self.held
+        return out
+
+    @property
+    def block_max(self) -> np.ndarray:
+        """Dense copy (term, block) of the maxima, for small vocabularies."""
+        return self.blocks.max(axis=2).T if self.n_blocks else np.zeros((len(self.idf), 0))
+
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         return unit(term_counts(text, self.vocab), self.idf)
 
+    def bounds(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Upper bound of the cosine with any example of each block."""
+        e, n = _ranges(self.first[terms], self.first[terms + 1])
+        return np.bincount(self.block[e], np.repeat(weights, n) * self.most[e], self.n_blocks) * (1 + 1e-12)
+
     def neighbours(self, terms: np.ndarray, weights: np.ndarray, bound: np.ndarray, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Places and cosines of the k nearest examples with a cosine above 0: highest first, ties to the lower place."""
         at, cos = np.empty(0, np.int64), np.empty(0)
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or len(cos) == self.k and bound[b] < cos[-1] - 1e-12:
+        entries, n = _ranges(self.first[terms], self.first[terms + 1])
+        share, order, done, step = np.repeat(weights, n), np.argsort(-bound, kind="stable"), 0, 4
+        while done < len(order):
+            least = cos[-1] - 1e-12 if len(cos) == self.k else 0.0
+            part = order[done:done + step]
+            part = part[(bound[part] > 0) & (bound[part] >= least)]
+            if not len(part):
                 break
-            c = weights @ self.blocks[b][terms]
-            here = np.flatnonzero(c > max(0.0, cos[-1] - 1e-12 if len(cos) == self.k else 0.0))
-            place = b * BLOCK + here
-            if skip >= 0:
-                here, place = here[place != skip], place[place != skip]
-            at, cos = np.concatenate((at, place)), np.concatenate((cos, c[here]))
+            if done and 4 * np.count_nonzero(bound >= least) > self.n_blocks:  # many blocks: whole posting lists are faster
+                at, cos, step = at[:0], cos[:0], len(order)
+                p, n = _ranges(self.begin[self.first[terms]], self.begin[self.first[terms + 1]])
+                c = np.bincount(self.places[p], np.repeat(weights, n) * self.held[p], self.n_blocks * BLOCK)
+            else:
+                opened = np.zeros(self.n_blocks, dtype=bool)
+                opened[part] = True
+                mine = opened[self.block[entries]]
+                p, n = _ranges(self.begin[entries[mine]], self.begin[entries[mine] + 1])
+                c = np.bincount(self.places[p], np.repeat(share[mine], n) * self.held[p], self.n_blocks * BLOCK)
+            place = np.flatnonzero(c > max(0.0, least))
+            place = place[place != skip]
+            at, cos = np.concatenate((at, place)), np.concatenate((cos, c[place]))
+            if len(at) > 4 * self.k:  # what is below the k-th can't come back; ties stay
+                stays = cos >= np.partition(cos, -self.k)[-self.k] - 1e-11
+                at, cos = at[stays], cos[stays]
             o = np.lexsort((at, -np.round(cos, 12)))[:self.k]
-            at, cos = at[o], cos[o]
+            at, cos, done, step = at[o], cos[o], done + step, step * 4
         return at, cos
 
+    def search(self, text: str | None) -> tuple[list[int], list[float], float, list[tuple[str, int]]]:
+        """Places and cosines of the nearest examples by the vocabulary's words alone, the square of these words' norm,
+        and the text's other words with their counts (none where nothing is near)."""
+        known, other = {}, {}
+        for w in words(text):
+            i = self.vocab.get(w)
+            if i is None:
+                other[w] = other.get(w, 0) + 1
+            else:
+                known[i] = known.get(i, 0) + 1
+        terms, weights = unit(known, self.idf)
+        if not len(terms):
+            return [], [], 0.0, []
+        at, cos = self.neighbours(terms, weights, self.bounds(terms, weights))
+        raw = (1 + np.log([known[t] for t in terms.tolist()])) * self.idf[terms]
+        return at.tolist(), cos.tolist(), float(raw @ raw), list(other.items()) if len(at) else []
+
     def vote(self, at: np.ndarray, cos: np.ndarray) -> float:
         if not len(at):
             return self.blank
@@ -71,21 +132,17 @@ class Index:
         v = min(max(vote, 1e-6), 1 - 1e-6)
         return float(1 / (1 + np.exp(-np.clip(a * np.log(v / (1 - v)) + b, -30, 30))))
 
-    def score(self, texts) -> list[tuple[float, list[int], list[float]]]:
+    def judge(self, at: np.ndarray, cos: np.ndarray) -> tuple[float, list[int], list[float]]:
         """Score and evidence (doc_ids and cosines of the nearest examples that carry the winning label)."""
-        out, vectors = [], [self.vector(t) for t in texts]
-        for i in range(0, len(vectors), 256):
-            part = vectors[i:i + 256]
-            q = np.zeros((len(part), len(self.idf)))
-            for j, (t, w) in enumerate(part):
-                q[j, t] = w
-            bounds = q @ self.block_max * (1 + 1e-12)
-            for j, (t, w) in enumerate(part):
-                at, cos = self.neighbours(t, w, bounds[j]) if len(t) else (np.empty(0, np.int64), np.empty(0))
-                s = self.calibrated(self.vote(at, cos)) if len(at) else self.blank
-                mine = self.labels[at] == (s >= 0.5)
-                out.append((s, self.ids[at][mine][:3].tolist(), cos[mine][:3].round(6).tolist()))
-        return out
+        s = self.calibrated(self.vote(at, cos)) if len(at) else self.blank
+        mine = self.labels[at] == (s >= 0.5)
+        return s, self.ids[at][mine][:3].tolist(), cos[mine][:3].round(6).tolist()
+
+
+def _ranges(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of all ranges one after another, and the length of each range."""
+    n = (end - begin).astype(np.int64)
+    return np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum()), n
 
 
 def term_counts(text: str | None, vocab: dict[str, int]) -> dict[int, int]:
@@ -109,23 +166,27 @@ def build_index(vocab: dict[str, int], idf: np.ndarray, counts: list[dict[int, i
     """Index over the examples that hold vocabulary words; calibration over the first ``CALIBRATION`` of them in hash
     order (each votes without itself)."""
     prior = float(np.mean(labels)) if len(labels) else 0.0
-    idx = Index(vocab, idf, np.zeros((0, len(idf), BLOCK)), np.zeros((len(idf), 0)), np.empty(0, np.int64), np.empty(0), prior, prior, k=k)
     made = [(*unit(tf, idf), i, y) for tf, i, y in zip(counts, ids, labels, strict=True)]
     blank = [y for t, _, _, y in made if not len(t)]
-    idx.blank = (sum(blank) + prior) / (len(blank) + 1)
     held = [m for m in made if len(m[0])]
     order = sorted(range(len(held)), key=lambda j: (held[j][0][np.argsort(-held[j][1], kind="stable")[:4]].tolist(), held[j][2]))
     n = -(-len(held) // BLOCK)
-    idx.blocks, idx.ids, idx.labels = np.zeros((n, len(idf), BLOCK)), np.full(n * BLOCK, -1, np.int64), np.zeros(n * BLOCK)
-    place = {}
+    at, truth = np.full(n * BLOCK, -1, np.int64), np.zeros(n * BLOCK)
     for p, j in enumerate(order):
-        t, w, i, y = held[j]
-        idx.blocks[p // BLOCK, t, p % BLOCK] = w
-        idx.ids[p], idx.labels[p], place[j] = i, y, p
-    idx.block_max = idx.blocks.max(axis=2).T if n else np.zeros((len(idf), 0))
+        at[p], truth[p] = held[j][2:]
+    place = {j: p for p, j in enumerate(order)}
+    term = np.concatenate([np.empty(0, np.int64), *[held[j][0] for j in order]])
+    weight = np.concatenate([np.empty(0), *[held[j][1] for j in order]])
+    places = np.repeat(np.arange(len(order)), [len(held[j][0]) for j in order])
+    o = np.argsort(term, kind="stable")  # by word, then place
+    term, weight, places = term[o], weight[o], places[o]
+    begin = np.flatnonzero(np.diff(term * max(n, 1) + places // BLOCK, prepend=-1))
+    idx = Index(vocab, idf, n, np.searchsorted(term[begin], np.arange(len(idf) + 1)), places[begin] // BLOCK,
+                np.maximum.reduceat(weight, begin) if len(begin) else np.empty(0), np.append(begin, len(term)), places, weight,
+                at, truth, prior, (sum(blank) + prior) / (len(blank) + 1), k=k)
     votes, y = [], []
     for j, (t, w, _, label) in enumerate(held[:CALIBRATION]):
-        votes.append(idx.vote(*idx.neighbours(t, w, (w @ idx.block_max[t]) * (1 + 1e-12), skip=place[j])))
+        votes.append(idx.vote(*idx.neighbours(t, w, idx.bounds(t, w), skip=place[j])))
         y.append(label)
     if len(set(y)) == 2:
         idx.curve = _logistic(np.array(votes), np.array(y, dtype=float))
@@ -145,9 +206,11 @@ def _logistic(votes: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(max(beta[0], 1e-3)), float(beta[1])
 
 
-def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", max_examples: int = 8192, n_terms: int = 256, k: int = 25) -> Index:
+def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", max_examples: int = 8192, k: int = 25) -> tuple[Index, DataFrame]:
     """Learns from rows of ``labels`` whose crc32(doc_id as text) mod 5 isn't 0 and whose label is 0 or 1; a doc_id
-    with both labels counts as 1, a doc_id of several documents by its smallest text.  No such rows: score 0 for all."""
+    with both labels counts as 1, a doc_id of several documents by its smallest text.  No such rows: score 0 for all.
+
+    Also returns the weight of each word of ``docs`` that holds for words in no example (w, idf)."""
     spark = docs.sparkSession
     lab = (labels.select(F.col(doc_id).cast("long").alias("i"), F.col(label).cast("int").alias("y")).filter("i IS NOT NULL AND y IN (0, 1)")
            .filter(F.crc32(F.col("i").cast("string")) % 5 != 0).groupBy("i").agg(F.max("y").alias("y")))
@@ -157,63 +220,96 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     picked = docs.select(F.col(doc_id).cast("long").alias("i"), text_column(docs, text).alias("t")).join(F.broadcast(chosen), "i")
     picked = materialize(picked.groupBy("i", "y").agg(F.min("t").alias("t")), "toxic-examples")
 
+    rows = picked.orderBy(F.xxhash64("i"), "i").toArrow()  # at most max_examples rows, learnt from on the driver
+    if not rows.num_rows:
+        return build_index({}, np.zeros(0), [], [], [], k), spark.createDataFrame([], "w string, idf double")
+    total, seen = docs.count(), materialize(_frequencies(docs, text), "toxic-words")
+    vocab: dict[str, int] = {}
+    counts, y = [], np.array(rows["y"].to_pylist())
+    for t in rows["t"]:
+        tf: dict[int, int] = {}
+        for w in words(t.as_py()):
+            j = vocab.setdefault(w, len(vocab))
+            tf[j] = tf.get(j, 0) + 1
+        counts.append(tf)
+
     @F.pandas_udf("array<string>")
     def distinct_words(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: sorted(set(words(t))))
 
-    n, pos = picked.agg(F.count(F.lit(1)), F.coalesce(F.sum("y"), F.lit(0))).first()
-    if not n:
-        return build_index({}, np.zeros(0), [], [], [], k)
-    a, df = F.col("a").cast("double"), F.col("df").cast("double")
-    spread = df * (n - df) * F.lit(float(max(pos * (n - pos), 1)))  # chi-square of the 2 x 2 table of word and label
-    terms = (picked.select("y", F.explode(distinct_words("t")).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("df"), F.sum("y").alias("a"))
-             .filter("df >= 3").withColumn("chi", n * F.pow(a * n - df * pos, 2) / spread).orderBy(F.desc("chi"), "w").limit(n_terms).select("w").collect())
-    vocab = {r.w: j for j, r in enumerate(terms)}
-    shared = spark.sparkContext.broadcast(vocab)
-
-    @F.pandas_udf("array<int>")
-    def held(texts: pd.Series) -> pd.Series:
-        v = shared.value
-        return texts.map(lambda t: [v[w] for w in v.keys() & set(words(t))])
-
-    counts = docs.select(F.explode(held(text_column(docs, text))).alias("j")).groupBy("j").count().collect()  # one row a word
-    total, seen = docs.count(), np.zeros(len(vocab))
-    for r in counts:
-        seen[r.j] = r["count"]
-
-    @F.pandas_udf("array<array<int>>")
-    def counted(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: [list(x) for x in sorted(term_counts(t, shared.value).items())])
-
-    # at most max_examples rows of at most n_terms counts, learnt from on the driver
-    rows = picked.select("i", "y", counted("t").alias("tf")).orderBy(F.xxhash64("i"), "i").collect()
-    return build_index(vocab, np.log((1 + total) / (1 + seen)) + 1, [dict(r.tf) for r in rows], [r.i for r in rows], [r.y for r in rows], k)
+    here = picked.select(F.explode(distinct_words("t")).alias("w")).distinct()
+    found = seen.join(here, "w").toArrow()  # the words of the examples
+    df, n, pos, near, toxic = np.zeros(len(vocab)), len(y), int(y.sum()), np.zeros(len(vocab)), np.zeros(len(vocab))
+    df[[vocab[w] for w in found["w"].to_pylist()]] = found["df"].to_numpy()
+    for tf, label in zip(counts, y, strict=True):
+        j = list(tf)
+        near[j] += 1
+        toxic[j] += label
+    spread = near * (n - near) * max(pos * (n - pos), 1)  # phi coefficient of the 2 x 2 table of word and label
+    phi = np.abs(toxic * n - near * pos) / np.sqrt(np.maximum(spread, 1.0))
+    index = build_index(vocab, (np.log((1 + total) / (1 + df)) + 1) * (phi + FLOOR), counts, rows["i"].to_pylist(), y.tolist(), k)
+    return index, seen.select("w", ((F.log((1 + F.lit(total)) / (1 + F.col("df"))) + 1) * FLOOR).alias("idf"))
+
+
+def _frequencies(docs: DataFrame, text: str) -> DataFrame:
+    """Documents that hold each word (w, df), counted in each partition before the shuffle."""
+    def counted(batches):
+        seen: dict[str, int] = {}
+        for b in batches:
+            for t in b["t"]:
+                for w in set(words(t)):
+                    seen[w] = seen.get(w, 0) + 1
+            if len(seen) > 400_000:
+                yield pd.DataFrame({"w": list(seen), "n": list(seen.values())})
+                seen = {}
+        yield pd.DataFrame({"w": list(seen), "n": list(seen.values())}).astype({"w": object, "n": "int64"})
+
+    return docs.select(text_column(docs, text).alias("t")).mapInPandas(counted, "w string, n long").groupBy("w").agg(F.sum("n").alias("df"))
+
+
+def scored(docs: DataFrame, keep: dict, index: Index, weights: DataFrame, text: str = "text") -> DataFrame:
+    """The columns ``keep`` (name: column) of each row, and ``s``: score, evidence, cosines."""
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(index)
 
+    @F.pandas_udf("at array<int>, cos array<double>, square double, other array<struct<w:string,n:int>>")
+    def search(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([shared.value.search(t) for t in texts], columns=["at", "cos", "square", "other"])
 
-def score_column(docs: DataFrame, index: Index, text: str = "text"):
-    shared = docs.sparkSession.sparkContext.broadcast(index)
+    found = docs.select(*[c.alias(name) for name, c in keep.items()], search(text_column(docs, text)).alias("f"))
+    found = materialize(found.select(F.monotonically_increasing_id().alias("rid"), *keep, "f.*"), "toxic-near")
+    others = found.select("rid", F.explode("other").alias("o")).select("rid", "o.w", "o.n").join(weights, "w")
+    others = others.groupBy("rid").agg(F.sum(F.pow((1 + F.log("n")) * F.col("idf"), 2)).alias("rest"))
+    small = spark.sparkContext.broadcast(Index({}, np.zeros(0), 0, *[np.empty(0)] * 6, index.ids, index.labels, index.prior, index.blank, index.curve, index.k))
 
     @F.pandas_udf("score double, evidence array<long>, cosines array<double>")
-    def scores(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame(shared.value.score(texts), columns=["score", "evidence", "cosines"])
+    def judge(at: pd.Series, cos: pd.Series, scale: pd.Series) -> pd.DataFrame:
+        out = [small.value.judge(np.asarray(a, dtype=np.int64), np.asarray(c, dtype=float) * x) for a, c, x in zip(at, cos, scale, strict=True)]
+        return pd.DataFrame(out, columns=["score", "evidence", "cosines"])
 
-    return scores(text_column(docs, text))
+    rest = F.coalesce("rest", F.lit(0.0))
+    scale = F.when(F.col("square") > 0, F.sqrt(F.col("square") / (F.col("square") + rest))).otherwise(1.0)
+    return found.join(others, "rid", "left").select(*keep, judge("at", "cos", scale).alias("s"))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted (1 if score >= 0.5), evidence (doc_ids of the nearest
     examples that carry the predicted label) and their cosines.
 
-    Null and empty texts, and texts without a word of the vocabulary, get the smoothed base rate of examples without
-    one.  held_out is false for a null doc_id.  Rows that repeat are scored each; other columns are not read.  Empty
+    Null and empty texts, and texts without a word of the examples, get the smoothed base rate of examples without
+    words.  held_out is false for a null doc_id.  Rows that repeat are scored each; other columns are not read.  Empty
     tables: no rows without documents, score 0 without labels."""
-    index = fit(docs, labels, doc_id, text, **options)
     i = F.col(doc_id)
-    out = docs.select(i.alias("doc_id"), F.coalesce(F.crc32(i.cast("string")) % 5 == 0, F.lit(False)).alias("held_out"), score_column(docs, index, text).alias("s"))
+    held_out = F.coalesce(F.crc32(i.cast("string")) % 5 == 0, F.lit(False))
+    out = scored(docs, {"doc_id": i, "held_out": held_out}, *fit(docs, labels, doc_id, text, **options), text)
     return out.select("doc_id", "held_out", "s.score", (F.col("s.score") >= 0.5).cast("int").alias("predicted"), "s.evidence", "s.cosines")
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs`` without the rows that are predicted toxic, all columns kept."""
-    index = fit(docs, labels, doc_id, text, **options)
-    return docs.filter(score_column(docs, index, text)["score"] < 0.5)
+    plain = [f"c{j}" for j in range(len(docs.columns))]  # the key's names may be columns of docs
+    keyed = with_row_key(docs.toDF(*plain))
+    text = plain[docs.columns.index(text)]
+    index, weights = fit(keyed.withColumnRenamed(plain[docs.columns.index(doc_id)], doc_id), labels, doc_id, text, **options)
+    toxic = scored(keyed, {FILE: keyed[FILE], POS: keyed[POS]}, index, weights, text).filter("s.score >= 0.5")
+    return keep_rows(keyed, toxic).toDF(*docs.columns)

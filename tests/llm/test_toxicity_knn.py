@@ -67,3 +67,39 @@ def test_odd_tables(spark, odd_docs, no_docs):
     assert tk.toxicity(no_docs, labels).count() == 0 and set(tk.drop_toxic(odd_docs, labels).columns) == set(odd_docs.columns)
     none = tk.toxicity(odd_docs, labels.limit(0))
     assert none.filter((F.col("score") == 0) & (F.col("predicted") == 0)).count() == len(odd_rows())
+
+
+def test_cosines_cover_every_word(spark):
+    """More label words than 256, and long texts whose words no example holds: cosines are those of the whole texts."""
+    rnd = random.Random(4)
+    rude = [f"r{i}" for i in range(400)]
+    data = [(i, " ".join([f"w{rnd.randrange(3000)}" for _ in range(30)] + ([rnd.choice(rude)] * 2 if i % 4 == 0 else [])), int(i % 4 == 0)) for i in range(700)]
+    extra = [(5000 + i, " ".join([f"new{rnd.randrange(500)}" for _ in range(200)] + [rnd.choice(rude)])) for i in range(30)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in data] + extra, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in data], "doc_id long, toxic int")
+    texts = dict([(i, t) for i, t, _ in data] + extra)
+    train = [(i, y) for i, _, y in data if zlib.crc32(str(i).encode()) % 5]
+    n, pos, df, near, toxic = len(train), sum(y for _, y in train), {}, {}, {}
+    for t in texts.values():
+        for w in set(tk.words(t)):
+            df[w] = df.get(w, 0) + 1
+    for i, y in train:
+        for w in set(tk.words(texts[i])):
+            near[w], toxic[w] = near.get(w, 0) + 1, toxic.get(w, 0) + y
+
+    def vector(t):
+        tf = {w: tk.words(t).count(w) for w in set(tk.words(t))}
+        phi = {w: abs(toxic[w] * n - near[w] * pos) / np.sqrt(max(near[w] * (n - near[w]) * pos * (n - pos), 1)) if w in near else 0 for w in tf}
+        v = {w: (1 + np.log(c)) * (np.log((1 + len(texts)) / (1 + df[w])) + 1) * (phi[w] + tk.FLOOR) for w, c in tf.items()}
+        norm = np.sqrt(sum(x * x for x in v.values()))
+        return {w: x / norm for w, x in v.items()}
+
+    vectors = {i: vector(t) for i, t in texts.items()}
+    got = tk.toxicity(docs, labels).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        a = vectors[r.doc_id]
+        best = sorted((sum(x * vectors[i].get(w, 0) for w, x in a.items()), y) for i, y in train)[:-26:-1]
+        want = [c for c, y in best if c > 0 and y == r.predicted][:3]
+        assert np.allclose(r.cosines, want, atol=2e-6), (r, want)
+    assert all(r.cosines[0] < 0.99 for r in got if r.doc_id >= 5000 and r.cosines)
