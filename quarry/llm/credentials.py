@@ -55,9 +55,9 @@ def _joined(spans: Column) -> Column:
         ":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def scan_secrets(df: DataFrame, doc_id: str = "doc_id", text: str = "text", scope: int = 200) -> DataFrame:
+def scan_secrets(df: DataFrame, doc_id: str = "doc_id", text: str = "text", scope: int = 200, gaps: bool = False) -> DataFrame:
     """One row per input row: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_linked and ``links`` (each linked
-    weak candidate with the nearest part that completes it).
+    weak candidate with the nearest part that completes it).  ``gaps``: see ``link_parts``.
 
     Null text counts as empty; texts without findings have counts 0, the hash of the empty string and empty spans.
     Rows are independent: repeated rows and repeated doc_ids each get their row.  Other columns are not read."""
@@ -70,7 +70,7 @@ def scan_secrets(df: DataFrame, doc_id: str = "doc_id", text: str = "text", scop
         F.monotonically_increasing_id().alias("rid"), "doc_id", _spans(F.col("a"), 0, lambda m: m["size"] >= 12).alias("assign"), "access", "hex",
         F.concat(_spans(F.col("a"), 3, lambda m: (m["size"] >= 6) & (m["size"] < 12)), _spans(F.col("bare"), 3, every)).alias("weak"), "endpoint"), "secrets")
     spans = found.filter((F.size("weak") + F.size("endpoint") > 0)).select("rid", F.explode(F.concat("assign", "access", "hex", "weak", "endpoint")).alias("s"))
-    linked = materialize(link_parts(spans.select("rid", "s.start", "s.kind", "s.end").distinct(), scope), "secret-links")
+    linked = materialize(link_parts(spans.select("rid", "s.start", "s.kind", "s.end").distinct(), scope, gaps), "secret-links")
     linked = linked.groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("start", "kind", "end", "partner_start", "partner_kind"))).alias("links"))
     base_spans = F.concat("assign", "access", "hex")
     out = found.join(linked, "rid", "left").withColumn("links", F.coalesce("links", F.array().cast("array<struct<start:int,kind:int,end:int,partner_start:int,partner_kind:int>>")))
@@ -80,13 +80,24 @@ def scan_secrets(df: DataFrame, doc_id: str = "doc_id", text: str = "text", scop
                       F.size("links").cast("long").alias("n_linked"), "links")
 
 
-def link_parts(spans: DataFrame, scope: int) -> DataFrame:
-    """``spans``: rid, start, kind, end.  The weak candidates whose scope holds a complementary part, with the nearest."""
+def link_parts(spans: DataFrame, scope: int, gaps: bool = False) -> DataFrame:
+    """``spans``: rid, start, kind, end.  The weak candidates whose scope holds a complementary part, with the nearest.
+
+    Distances are those of the starts, or with ``gaps`` from the end of the earlier part to the start of the later one
+    (0 where they touch or overlap), whatever the parts' lengths."""
     near = Window.partitionBy("rid").orderBy("start")
     before, after = near.rangeBetween(-scope, 0), near.rangeBetween(0, scope)
+    begun = near.rangeBetween(Window.unboundedPreceding, 0)
+    ahead = Window.partitionBy("rid").orderBy(F.desc("start")).rangeBetween(Window.unboundedPreceding, 0)
 
     def nearest(kinds: list[int]) -> Column:
-        here = F.when(F.col("kind").isin(kinds), F.struct("start", "kind"))
+        mine = F.col("kind").isin(kinds)
+        if gaps:  # of the parts that begin before or here the largest end, of those from here on the first start
+            b, a = F.max(F.when(mine, F.struct("end", "start", "kind"))).over(begun), F.min(F.when(mine, F.struct("start", "kind"))).over(ahead)
+            to_b, to_a = F.when(b.isNotNull(), F.greatest(F.col("start") - b["end"], F.lit(0))), F.when(a.isNotNull(), F.greatest(a["start"] - F.col("end"), F.lit(0)))
+            b, a = F.when(to_b <= scope, F.struct(b["start"].alias("start"), b["kind"].alias("kind"))), F.when(to_a <= scope, a)
+            return F.when(a.isNull() | (b.isNotNull() & (to_b <= to_a)), b).otherwise(a)
+        here = F.when(mine, F.struct("start", "kind"))
         b, a = F.max(here).over(before), F.min(here).over(after)
         return F.when(a.isNull() | (F.col("start") - b["start"] <= a["start"] - F.col("start")), b).otherwise(a)
 

@@ -62,7 +62,7 @@ def op6(spark, sf_dir):
 
 @_query("op10_credential_linking")
 def op10(spark, sf_dir):
-    return credentials.scan_secrets(table(spark, sf_dir, "documents")).drop("links")
+    return credentials.scan_secrets(table(spark, sf_dir, "documents"), gaps=True).drop("links")
 
 
 @_query("op5_simhash_trie")

@@ -70,3 +70,22 @@ def test_odd_rows_and_dense_text(spark, odd_docs, no_docs):
     dense = spark.range(1).select("id", F.repeat(F.lit("password: hunter22 host: a.example.com "), 3000).alias("text"))
     r = cr.scan_secrets(dense.withColumnRenamed("id", "doc_id")).collect()[0]
     assert r.n_linked == 6000
+
+
+def linked_by_gap(text, scope=200):
+    parts, out = every_part(text), []
+    for s, k, e in parts:
+        near = {x[1] for x in parts if max(s - x[2], x[0] - e, 0) <= scope}
+        if k == 3 and near & {1, 4} or k == 4 and near & {0, 1, 2, 3}:
+            out.append((s, k, e))
+    return out
+
+
+def test_long_parts_do_not_count_as_distance(spark):
+    long = ["token=" + "a" * 300 + " host: db.example.com", "https://a.example.com/" + "p" * 400 + " password: hunter22", "f" * 500 + " https://db.example.com/x",
+            "token=" + "a" * 300 + " z" * 150 + " host: db.example.com"]
+    rows = [(i, t) for i, t in enumerate(long + texts())]
+    got = {r.doc_id: r for r in cr.scan_secrets(spark.createDataFrame(rows, "doc_id long, text string"), gaps=True).collect()}
+    assert [got[i].n_linked for i in range(4)] == [1, 2, 1, 0]
+    for i, t in rows:
+        assert got[i].spans == join(base(t) + linked_by_gap(t)), t
