@@ -3,7 +3,8 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Scores in a block: 16 MB of doubles, so a block with a copy and an index of it stays below 64 MB.
 CELLS = 1 << 21
@@ -23,3 +24,28 @@ def block_grid(spark: SparkSession, n_left: int, n_right: int, left_block: int |
         else:
             right *= 2
     return left, right
+
+
+def block_id(key: Column, n: int) -> Column:
+    """The block of a row: a hash dealt to n blocks, as int."""
+    return F.pmod(key, F.lit(n).cast("long")).cast("int")
+
+
+def every_block(n: int) -> Column:
+    """A row for each of the other side's n blocks; int, as ``block_id``."""
+    return F.explode(F.sequence(F.lit(0).cast("int"), F.lit(n - 1).cast("int")))
+
+
+def block_pairs(left: DataFrame, right: DataFrame, keys: list[str], score, schema: str) -> DataFrame:
+    """``score(key, left block, right block)`` for each pair of blocks.  A cogroup doesn't align the types of its keys, and
+    an int and a long of the same value hash to different partitions, so the types must be the same on both sides."""
+    kinds = [[side.schema[k].dataType.simpleString() for k in keys] for side in (left, right)]
+    if kinds[0] != kinds[1]:
+        raise TypeError(f"block keys {keys} differ in type: {kinds[0]} and {kinds[1]}")
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(score, schema=schema)
+
+
+def all_met(met: Column, n: int) -> Column:
+    """``met``, or an error where a row met another number of rows of the other side than there are."""
+    message = F.concat(F.lit(f"a row met another number of rows than the {n} of the other side: "), met.cast("string"))
+    return F.when(met == n, met).otherwise(F.raise_error(message).cast("long"))

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from quarry.functions.arrays import zscore
 from quarry.functions.hashing import mix_hash, uniform01
 from quarry.functions.stats import chi2_sf, t_sf_two_sided
-from quarry.operators.blocks import block_grid
+from quarry.operators.blocks import all_met, block_grid, block_id, block_pairs, every_block
 from quarry.operators.sequence import dense_index
 
 
@@ -32,13 +32,12 @@ def kernel_sums(queries: DataFrame, train: DataFrame, weight: float = 2.0, q_blo
     Each row is z-scored once; r is then dot(z_q, z_i) / n.  Query blocks are cogrouped with training
     blocks and numpy reduces each block pair to per-query partial sums, which a grouped sum adds up —
     every pair is evaluated (the estimator needs all of them) but none is materialised as a row."""
-    qb, tb = block_grid(queries.sparkSession, queries.count(), train.count(), q_block, t_block)
+    n_train = train.count()
+    qb, tb = block_grid(queries.sparkSession, queries.count(), n_train, q_block, t_block)
     qz = (queries.select(F.col("row_id").alias("qid"), zscore("x").alias("z"))
-          .withColumn("qblk", F.pmod(mix_hash("qid"), F.lit(qb)))
-          .withColumn("tblk", F.explode(F.sequence(F.lit(0), F.lit(tb - 1)))))
+          .withColumns({"qblk": block_id(mix_hash("qid"), qb), "tblk": every_block(tb)}))
     tz = (train.select("row_id", zscore("x").alias("z"), "y")
-          .withColumn("tblk", F.pmod(mix_hash("row_id"), F.lit(tb)))
-          .withColumn("qblk", F.explode(F.sequence(F.lit(0), F.lit(qb - 1)))))
+          .withColumns({"tblk": block_id(mix_hash("row_id"), tb), "qblk": every_block(qb)}))
 
     def block(key, qp: pd.DataFrame, tp: pd.DataFrame) -> pd.DataFrame:
         if qp.empty or tp.empty:
@@ -51,9 +50,8 @@ def kernel_sums(queries: DataFrame, train: DataFrame, weight: float = 2.0, q_blo
         return pd.DataFrame({"qid": qp["qid"].to_numpy(), "n_pairs": np.full(len(qp), len(tp), dtype=np.int64),
                              "num": E @ y, "den": E.sum(axis=1)})
 
-    parts = (qz.groupBy("qblk", "tblk").cogroup(tz.groupBy("qblk", "tblk"))
-             .applyInPandas(block, schema="qid long, n_pairs long, num double, den double"))
-    return parts.groupBy("qid").agg(F.sum("n_pairs").alias("n_pairs"), F.sum("num").alias("num"), F.sum("den").alias("den"))
+    parts = block_pairs(qz, tz, ["qblk", "tblk"], block, "qid long, n_pairs long, num double, den double")
+    return parts.groupBy("qid").agg(all_met(F.sum("n_pairs"), n_train).alias("n_pairs"), F.sum("num").alias("num"), F.sum("den").alias("den"))
 
 
 def kernel_regression(queries: DataFrame, train: DataFrame, weight: float = 2.0) -> DataFrame:

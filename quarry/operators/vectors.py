@@ -9,11 +9,11 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.arrays import cosine, dot, l2_normalize, norm, vector_mean, vector_sum
-from quarry.operators.blocks import block_grid
+from quarry.operators.blocks import all_met, block_grid, block_id, block_pairs, every_block
 
 
 def normalize_vectors(vectors: DataFrame) -> DataFrame:
@@ -64,51 +64,51 @@ def _blocked_topk(queries: DataFrame, items: DataFrame, k: int, mode: str, q_blo
                   i_block: int | None = None) -> DataFrame:
     """queries(qid, pos array<array<double>>, neg array<array<double>>, q array<double>, excl array<string>);
     items(word, u array<double>).  Returns ``(qid, word, score, rank)`` for the top k per query."""
-    qb, ib = block_grid(queries.sparkSession, queries.count(), items.count(), q_block, i_block)
-    qrows = (queries.withColumn("qblk", F.pmod(F.xxhash64("qid"), F.lit(qb)))
-             .withColumn("iblk", F.explode(F.sequence(F.lit(0), F.lit(ib - 1)))))
-    irows = (items.withColumn("iblk", F.pmod(F.xxhash64("word"), F.lit(ib)))
-             .withColumn("qblk", F.explode(F.sequence(F.lit(0), F.lit(qb - 1)))))
+    n_items = items.count()
+    qb, ib = block_grid(queries.sparkSession, queries.count(), n_items, q_block, i_block)
+    qrows = queries.withColumns({"qblk": block_id(F.xxhash64("qid"), qb), "iblk": every_block(ib)})
+    irows = items.withColumns({"iblk": block_id(F.xxhash64("word"), ib), "qblk": every_block(qb)})
 
     def score(key, qp: pd.DataFrame, ip: pd.DataFrame) -> pd.DataFrame:
-        cols = {"qid": pd.Series([], dtype="int64"), "word": pd.Series([], dtype="object"),
-                "score": pd.Series([], dtype="float64")}
         if qp.empty or ip.empty:
-            return pd.DataFrame(cols)
+            return pd.DataFrame({"qid": pd.Series([], dtype="int64"), "met": pd.Series([], dtype="int64"), "top": pd.Series([], dtype="object")})
         ip = ip.sort_values("word", kind="stable")
         words = ip["word"].to_numpy()
-        col_of = {w: i for i, w in enumerate(words)}
         U = np.stack(ip["u"].to_numpy()).astype(np.float64)
-        out = []
         if mode == "cosine":
-            Q = np.stack(qp["q"].to_numpy()).astype(np.float64)
-            S = Q @ U.T
+            S = np.stack(qp["q"].to_numpy()).astype(np.float64) @ U.T
         else:
-            S = np.empty((len(qp), len(words)))
-            for r, (pos, neg) in enumerate(zip(qp["pos"], qp["neg"])):
-                P = np.stack(pos).astype(np.float64) if len(pos) else np.zeros((0, U.shape[1]))
-                N = np.stack(neg).astype(np.float64) if len(neg) else np.zeros((0, U.shape[1]))
-                num = np.prod((1 + P @ U.T) / 2, axis=0) if len(P) else np.ones(len(words))
-                den = np.prod((1 + N @ U.T) / 2, axis=0) if len(N) else np.ones(len(words))
-                S[r] = num / (den + 1e-6)
+            S = _term_products(qp["pos"], U) / (_term_products(qp["neg"], U) + 1e-6)
+        index = pd.Index(words)
         for r, excl in enumerate(qp["excl"]):
-            for w in (excl if excl is not None else []):
-                c = col_of.get(w)
-                if c is not None:
-                    S[r, c] = -np.inf
+            c = index.get_indexer(np.asarray([] if excl is None else excl, dtype=object))
+            S[r, c[c >= 0]] = -np.inf
         kk = min(k, len(words))
-        idx = np.argpartition(-S, kk - 1, axis=1)[:, :kk]
-        qids = qp["qid"].to_numpy()
-        for r in range(len(qp)):
-            for c in idx[r]:
-                if np.isfinite(S[r, c]):
-                    out.append((int(qids[r]), words[c], float(S[r, c])))
-        return pd.DataFrame(out, columns=["qid", "word", "score"]) if out else pd.DataFrame(cols)
-
-    res = (qrows.groupBy("qblk", "iblk").cogroup(irows.groupBy("qblk", "iblk"))
-           .applyInPandas(score, schema="qid long, word string, score double"))
-    w = Window.partitionBy("qid").orderBy(F.col("score").desc(), F.col("word"))
-    return res.withColumn("rank", F.row_number().over(w).cast("long")).filter(F.col("rank") <= k)
+        kept = np.partition(S, len(words) - kk, axis=1)[:, len(words) - kk]          # ties with the last stay in
+        rows, cols = np.nonzero((S >= kept[:, None]) & np.isfinite(S))
+        order = np.lexsort((cols, -S[rows, cols], rows))                             # words ascend: ties to the smaller
+        rows, cols = rows[order], cols[order]
+        first = np.searchsorted(rows, np.arange(len(qp) + 1))
+        top = [[(words[c], S[r, c]) for c in cols[first[r]:min(first[r] + kk, first[r + 1])]] for r in range(len(qp))]
+        return pd.DataFrame({"qid": qp["qid"].to_numpy(), "met": np.full(len(qp), len(words), dtype=np.int64), "top": top})
+
+    res = block_pairs(qrows, irows, ["qblk", "iblk"], score, "qid long, met long, top array<struct<word:string,score:double>>")
+    met = res.groupBy("qid").agg(all_met(F.sum("met"), n_items).alias("met"), F.flatten(F.collect_list("top")).alias("top"))   # k rows a block
+    best = F.slice(F.sort_array(F.transform("top", lambda t: F.struct((-t["score"]).alias("neg"), t["word"].alias("word")))), 1, k)
+    return (met.filter(F.col("met") > 0).select("qid", F.posexplode(best).alias("rank", "t"))
+            .select("qid", "t.word", (-F.col("t.neg")).alias("score"), (F.col("rank") + 1).cast("long").alias("rank")))
+
+
+def _term_products(terms: pd.Series, U: np.ndarray) -> np.ndarray:
+    """Per query (a list of vectors) and item: the product of (1 + cosine) / 2 over the query's vectors; 1 without any."""
+    n = np.array([0 if t is None else len(t) for t in terms])
+    out = np.ones((len(n), len(U)))
+    have = np.flatnonzero(n)
+    if len(have):
+        P = np.stack([v for t in terms if t is not None for v in t]).astype(np.float64)
+        starts = np.concatenate([[0], np.cumsum(n[have])[:-1]])
+        out[have] = np.multiply.reduceat((1 + P @ U.T) / 2, starts, axis=0)
+    return out
 
 
 def nearest_neighbors(vectors: DataFrame, terms: DataFrame, topn: int = 10) -> DataFrame:
@@ -146,7 +146,7 @@ def analogy_accuracy(vectors: DataFrame, questions: DataFrame, restrict_vocab: i
              .unionByName(q.select("qid", F.col("c").alias("word"), F.lit(1.0).alias("weight")))
              .unionByName(q.select("qid", F.col("a").alias("word"), F.lit(-1.0).alias("weight"))))
     best = nearest_neighbors(ok, terms, 1).select("qid", F.col("word").alias("predicted"))
-    res = q.join(best, "qid", "left").withColumn("correct", (F.col("predicted") == F.col("expected")).cast("int"))
+    res = q.join(best, "qid", "left").withColumn("correct", F.col("predicted").eqNullSafe(F.col("expected")).cast("int"))   # no answer: incorrect
     per = res.groupBy("section").agg(F.sum("correct").cast("long").alias("correct"),
                                      F.sum(1 - F.col("correct")).cast("long").alias("incorrect"))
     tot = per.agg(F.lit("total").alias("section"), F.sum("correct").cast("long").alias("correct"),
