@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import block_naming, columnar_topk, credentials, gear_chunks, mixing, piece_lattice, rans_store, simhash_trie, toxicity_knn, warc_derivatives
+from quarry.llm import block_naming, columnar_topk, credentials, gear_chunks, mixing, piece_lattice, rans_store, shard_lloyd, simhash_trie, toxicity_knn, warc_derivatives
 from quarry.llm.byte_bpe import Words
 from quarry.llm.common import scratch_dir
 from quarry.sources.tables import table
@@ -95,3 +95,8 @@ def op9(spark, sf_dir):
     return out.select(warc_derivatives.header("X-Page-Id").cast("long").alias("page_id"), "type", "record_id", "refers_to", "target_uri", "date", "block_digest", "digest_ok",
                       warc_derivatives.header("X-Source-Payload-Digest").alias("source_digest"), F.octet_length("block").cast("long").alias("n_bytes"),
                       F.when(F.col("type") == "metadata", F.get_json_object(text, "$.title")).alias("title"))
+
+
+@_query("op12_shard_lloyd", shard_lloyd.lloyd_sql())
+def op12(spark, sf_dir):
+    return shard_lloyd.cluster_digests(*shard_lloyd.lloyd(table(spark, sf_dir, "embeddings")))
