@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import block_naming, columnar_topk, credentials, gear_chunks, mixing, piece_lattice, rans_store, shard_lloyd, simhash_trie, toxicity_knn, warc_derivatives
+from quarry.llm import block_lstm, block_naming, columnar_topk, credentials, gear_chunks, gram_variants, mixing, piece_lattice, rans_store, shard_lloyd, simhash_trie, toxicity_knn, warc_derivatives
 from quarry.llm.byte_bpe import Words
 from quarry.llm.common import scratch_dir
 from quarry.sources.tables import table
@@ -100,3 +100,13 @@ def op9(spark, sf_dir):
 @_query("op12_shard_lloyd", shard_lloyd.lloyd_sql())
 def op12(spark, sf_dir):
     return shard_lloyd.cluster_digests(*shard_lloyd.lloyd(table(spark, sf_dir, "embeddings")))
+
+
+@_query("op11_gram_variants", gram_variants.VARIANTS_SQL)
+def op11(spark, sf_dir):
+    return gram_variants.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+@_query("op13_block_lstm")
+def op13(spark, sf_dir):
+    return block_lstm.extract_main_text(table(spark, sf_dir, "pages"))
