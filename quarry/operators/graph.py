@@ -5,15 +5,18 @@ Iterative operators cut lineage with reliable ``checkpoint()`` (directory from
 """
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.hashing import mix_hash, uniform01
+from quarry.operators.bfs import levels, one_bit, set_bits, source_bits
+from quarry.operators.biconnected import articulation_points  # noqa: F401
 from quarry.operators.components import star_components
 from quarry.operators.relational import edge_endpoints, symmetric_edges
-from quarry.session import ensure_checkpoint_dir
+from quarry.session import Scratch, ensure_checkpoint_dir
 
 
 def _checkpoint(df: DataFrame) -> DataFrame:
@@ -93,90 +96,76 @@ def component_count(components: DataFrame) -> DataFrame:
     return components.agg(F.count_distinct("component").alias("n_components"))
 
 
-def articulation_points(edges: DataFrame, vertices: DataFrame | None = None) -> DataFrame:
-    """1 for a vertex whose removal leaves more components than the whole graph has, else 0.
-
-    A vertex of degree 0 or 1 never qualifies.  For each vertex c of degree >= 2, its component
-    without c is labelled (all removals in one keyed job, key = removed vertex); c is an
-    articulation point iff its neighbours end up in at least two different labels."""
-    sym = symmetric_edges(edges, drop_self_loops=True)
-    nodes = vertices.select("id") if vertices is not None else edge_endpoints(edges)
-    deg = sym.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("deg"))
-    comp = connected_components(edges, nodes)
-    cand = deg.filter(F.col("deg") >= 2).join(comp, "id").select(F.col("id").alias("rem"), F.col("component"))
-    # vertices of the candidate's component, minus the candidate itself
-    knodes = (cand.join(comp, "component").filter(F.col("id") != F.col("rem")).select("rem", "id"))
-    # edges of the candidate's component not touching the candidate (join on component, not a cross product)
-    ecomp = sym.join(comp.select(F.col("id").alias("src"), "component"), "src")
-    kedges = (ecomp.join(cand, "component").filter((F.col("src") != F.col("rem")) & (F.col("dst") != F.col("rem")))
-              .select("rem", "src", "dst"))
-    labels = keyed_components(kedges, knodes, key="rem")
-    nbr = sym.select(F.col("src").alias("rem"), F.col("dst").alias("id")).join(cand.select("rem"), "rem", "left_semi")
-    pieces = (nbr.join(labels, ["rem", "id"]).groupBy("rem")
-              .agg(F.count_distinct("component").alias("pieces")))
-    return (nodes.join(pieces.withColumnRenamed("rem", "id"), "id", "left")
-            .select("id", F.when(F.col("pieces") >= 2, 1).otherwise(0).alias("articulation")))
-
-
 # ------------------------------------------------------------------ distances
 
 def shortest_path_lengths(edges: DataFrame, landmarks: DataFrame, max_levels: int | None = None) -> DataFrame:
-    """Hop counts ``(id, landmark, distance)`` from every vertex to every landmark along edge
-    direction; 0 to itself; unreachable pairs absent.  Breadth-first from all landmarks at once over
-    reversed edges, until a level finds nothing new (or ``max_levels``).  A level is a table of its own, joined with
-    the edges; a vertex can come back from any earlier level, so the levels are read together, not rewritten."""
-    rev = _checkpoint(edges.select(F.col("dst").alias("node"), F.col("src").alias("nxt")).distinct())   # once
-    frontier = landmarks.select(F.col("id").alias("landmark"), F.col("id").alias("node")).distinct()
-    frontier = _checkpoint(frontier)
-    levels = [frontier.withColumn("distance", F.lit(0))]
-    while max_levels is None or len(levels) <= max_levels:
-        seen = reduce(DataFrame.unionByName, [x.select("landmark", "node") for x in levels])
-        frontier = _checkpoint(frontier.join(rev, "node").select("landmark", F.col("nxt").alias("node")).distinct()
-                               .join(seen, ["landmark", "node"], "left_anti"))
-        if frontier.isEmpty():
-            break
-        levels.append(frontier.withColumn("distance", F.lit(len(levels))))
-    visited = reduce(DataFrame.unionByName, levels)
-    return visited.select(F.col("node").alias("id"), "landmark", "distance")
+    """Hop counts ``(id, landmark, distance)`` from every vertex to every landmark along edge direction; 0 to itself;
+    unreachable pairs absent.  Breadth-first over reversed edges, 64 landmarks a row (``bfs``), until a level finds nothing
+    new (or ``max_levels``); a pair becomes a row only in the result."""
+    scratch = Scratch(edges.sparkSession, "distances")
+    sources = source_bits(landmarks, scratch)
+    found = [front.select("node", "word", "fresh", F.lit(d).alias("distance"))
+             for d, _, front in levels(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")), sources, scratch, max_levels)]
+    scratch.finish("sources", "level-0", *(f"front-{d}" for d in range(len(found))))
+    if not found:
+        return landmarks.select("id", F.col("id").alias("landmark"), F.lit(0).alias("distance")).limit(0)
+    pairs = reduce(DataFrame.unionByName, found).select(F.col("node").alias("id"), "word", F.explode(set_bits("fresh")).alias("bit"), "distance")
+    return pairs.join(sources.withColumnRenamed("id", "landmark"), ["word", "bit"]).select("id", "landmark", "distance")
 
 
 def closeness_centrality(edges: DataFrame, vertices: DataFrame | None = None) -> DataFrame:
-    """Per landmark (every vertex): 1 / Σ distance to it; unreachable ignored; Σ = 0 → Infinity."""
-    nodes = vertices.select("id") if vertices is not None else edge_endpoints(edges)
-    d = shortest_path_lengths(edges, nodes)
-    return (d.groupBy(F.col("landmark").alias("id")).agg(F.sum("distance").cast("double").alias("__s"))
-            .select("id", F.when(F.col("__s") == 0, F.lit(float("inf"))).otherwise(F.pow("__s", -1.0))
-                    .alias("closeness")))
+    """Per landmark (every vertex): 1 / Σ distance to it; unreachable ignored; Σ = 0 → Infinity.  The sources whose
+    paths end at a vertex are bits of its rows; a level adds its number times the count of new bits, so there is no row
+    for a pair of vertices."""
+    nodes = (vertices.select("id") if vertices is not None else edge_endpoints(edges)).distinct()
+    scratch, last = Scratch(edges.sparkSession, "closeness"), None
+    sources = source_bits(edge_endpoints(edges).unionByName(nodes), scratch)
+    for _, last, _ in levels(edges, sources, scratch):
+        pass
+    if last is None:
+        return nodes.select("id", F.lit(float("inf")).alias("closeness"))
+    total = last.groupBy(F.col("node").alias("id")).agg(F.sum("total").cast("double").alias("__s"))
+    near = nodes.join(total, "id").select("id", F.when(F.col("__s") == 0, F.lit(float("inf"))).otherwise(F.pow("__s", -1.0)).alias("closeness"))
+    near = scratch.write(near, "result")
+    scratch.finish("result")
+    return near
 
 
 def spread_coverage(edges: DataFrame, seeds: DataFrame, membership: DataFrame, steps: int | None = None) -> DataFrame:
     """Deterministic spread (transmission probability 1) from each seed vertex along edge direction,
     until nothing new is reached (or ``steps`` steps).  Per step: vertices reached so far (summed over seeds), split into inside
     and outside the seed's own community, and the reached fraction of all (seed, vertex) pairs.
-    ``seeds(seed)``; ``membership(id, community)``."""
-    fwd = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
-    reach = shortest_path_lengths(fwd, seeds.select(F.col("seed").alias("id")), max_levels=steps)
+    ``seeds(seed)``; ``membership(id, community)``.  Seeds are bits (``bfs``); a community's seeds are a mask of each word."""
+    scratch = Scratch(edges.sparkSession, "spread")
     m = membership.select("id", "community")
-    r = (reach.join(m, "id")
-         .join(m.select(F.col("id").alias("landmark"), F.col("community").alias("seed_comm")), "landmark")
-         .select("distance", (F.col("community") == F.col("seed_comm")).alias("inside")))
-    per = r.groupBy(F.col("distance").alias("step")).agg(
-        F.sum(F.when(F.col("inside"), 1).otherwise(0)).alias("new_inside"),
-        F.sum(F.when(~F.col("inside"), 1).otherwise(0)).alias("new_outside"))
+    sources = source_bits(seeds.select(F.col("seed").alias("id")), scratch)
+    masks = scratch.write(sources.join(m, "id").groupBy("word", "community").agg(F.bit_or(one_bit("bit")).alias("own")), "masks")
+    known = masks.groupBy("word").agg(F.bit_or("own").alias("known"))       # seeds that are members of a community
+    home = m.select(F.col("id").alias("node"), "community")
+    fronts = [front.select("node", "word", "fresh", F.lit(d).alias("step")) for d, _, front in levels(edges, sources, scratch, steps)]
+    if not fronts:
+        return m.select(F.lit(0).alias("step"), F.lit(0).cast("long").alias("reached_inside"), F.lit(0).cast("long").alias("reached_outside"), F.lit(0.0).alias("reached_fraction")).limit(0)
+    fresh = reduce(DataFrame.unionByName, fronts).join(home, "node", "left").join(known, "word", "left").join(masks, ["word", "community"], "left")
+    zero = F.lit(0).cast("long")
+    inside = F.bit_count(F.col("fresh").bitwiseAND(F.coalesce("own", zero)))
+    both = F.when(F.col("community").isNull(), 0).otherwise(F.bit_count(F.col("fresh").bitwiseAND(F.coalesce("known", zero))))
+    per = fresh.groupBy("step").agg(F.sum(inside).alias("new_inside"), F.sum(both - inside).alias("new_outside"))
     denom = seeds.agg(F.count(F.lit(1)).alias("__s")).crossJoin(m.agg(F.count(F.lit(1)).alias("__v")))
-    from pyspark.sql import Window
     w = Window.orderBy("step").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # ``per`` has one row a step, so the un-partitioned running sum is over a tiny table
-    return (per.crossJoin(denom)
+    # one row a step, so the un-partitioned running sum is over a tiny table
+    out = scratch.write(per.crossJoin(denom)
             .select("step", F.sum("new_inside").over(w).cast("long").alias("reached_inside"),
                     F.sum("new_outside").over(w).cast("long").alias("reached_outside"),
                     ((F.sum("new_inside").over(w) + F.sum("new_outside").over(w)) / (F.col("__s") * F.col("__v")))
-                    .alias("reached_fraction")))
+                    .alias("reached_fraction")), "result")
+    scratch.finish("result")
+    return out
 
 
 # ------------------------------------------------------------------ random walks
 
-STEPS_PER_CHECKPOINT = 8
+#: Rows of the neighbour table in a bucket, about.
+NEIGHBOURS_PER_BUCKET = 4_000_000
 
 
 def neighbour_index(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -199,26 +188,37 @@ def random_walks(edges: DataFrame, walks_per_node: int, walk_length: int, alpha:
     """``(walk_id, start, step, node)``: ``walks_per_node`` walks of ``walk_length`` nodes from every
     node; the next node is uniform over the neighbours; with probability alpha the walk jumps back to
     its start node; a walk stops at a dead end.  Draws are seeded hashes of (walk, step), so the same
-    seed gives the same walks.  Each step is one pair of equi-joins on (node) and (node, idx); a walker carries its path,
-    at most ``walk_length`` nodes, and walkers are checkpointed every few steps (plan size stays bounded)."""
+    seed gives the same walks.
+
+    The neighbour table is bucketed by (node, idx) once and carries each neighbour's degree, so a step is one equi-join in
+    which only the walkers move, and a hub's neighbours lie in many buckets.  A walker is a row of fixed size: each step's
+    positions are a table of their own, and these tables are the result."""
     idx, deg = neighbour_index(edges)
     nodes = edge_endpoints(edges)
-    spark = edges.sparkSession
-    reps = spark.range(walks_per_node).select(F.col("id").alias("rep"))
-    walk_id = (F.col("id") * walks_per_node + F.col("rep")) if _is_numeric(nodes) else \
-        F.concat_ws("#", F.col("id").cast("string"), F.col("rep").cast("string"))
-    cur = nodes.crossJoin(F.broadcast(reps)).select(walk_id.alias("walk_id"), F.col("id").alias("start"),
-                                                    F.col("id").alias("node"), F.array("id").alias("path"))
-    for step in range(1, walk_length):
-        restart = uniform01("walk_id", F.lit(step), F.lit("restart"), seed=seed) < alpha
-        pick = F.pmod(mix_hash("walk_id", F.lit(step), F.lit("pick"), seed=seed), F.col("deg"))
-        moved = (cur.join(deg, "node", "left").withColumn("idx", pick).join(idx, ["node", "idx"], "left")
-                 .withColumn("node", F.when(F.col("deg").isNotNull(), F.when(restart, F.col("start")).otherwise(F.col("nbr")))))
-        cur = moved.select("walk_id", "start", "node", F.when(F.col("node").isNull(), F.col("path"))
-                           .otherwise(F.concat("path", F.array("node"))).alias("path"))
-        if step % STEPS_PER_CHECKPOINT == 0:
-            cur = _checkpoint(cur)
-    return cur.select("walk_id", "start", F.posexplode("path").alias("step", "node"))
+    spark, scratch = edges.sparkSession, Scratch(edges.sparkSession, "walks")
+    links = idx.join(deg.select(F.col("node").alias("nbr"), F.col("deg").alias("nbr_deg")), "nbr").select("node", "idx", "nbr", "nbr_deg")
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-idx.count() // NEIGHBOURS_PER_BUCKET))
+    name = f"walk_links_{uuid.uuid4().hex}"
+    (links.repartition(buckets, "node", "idx").write.bucketBy(buckets, "node", "idx").option("path", f"{scratch.base}/links").format("parquet").saveAsTable(name))
+    scratch.tables.add("links")
+    try:
+        table = spark.table(name)
+        reps = spark.range(walks_per_node).select(F.col("id").alias("rep"))
+        walk_id = (F.col("id") * walks_per_node + F.col("rep")) if _is_numeric(nodes) else \
+            F.concat_ws("#", F.col("id").cast("string"), F.col("rep").cast("string"))
+        start = nodes.join(deg.withColumnRenamed("node", "id"), "id", "left").crossJoin(F.broadcast(reps))
+        at = scratch.write(start.select(walk_id.alias("walk_id"), F.col("id").alias("start"), F.col("deg").alias("start_deg"), F.col("id").alias("node"), "deg"), "steps/step=0")
+        for step in range(1, walk_length):
+            restart = uniform01("walk_id", F.lit(step), F.lit("restart"), seed=seed) < alpha
+            pick = F.pmod(mix_hash("walk_id", F.lit(step), F.lit("pick"), seed=seed), F.col("deg"))
+            moved = at.filter("deg > 0").withColumn("idx", pick).join(table, ["node", "idx"])
+            at = scratch.write(moved.select("walk_id", "start", "start_deg", F.when(restart, F.col("start")).otherwise(F.col("nbr")).alias("node"),
+                                            F.when(restart, F.col("start_deg")).otherwise(F.col("nbr_deg")).alias("deg")), f"steps/step={step}")
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    scratch.drop("links")
+    schema = at.select("walk_id", "start", "node").withColumn("step", F.lit(0)).schema
+    return spark.read.schema(schema).parquet(f"{scratch.base}/steps").select("walk_id", "start", "step", "node")
 
 
 def _is_numeric(df: DataFrame) -> bool:

@@ -9,6 +9,7 @@ residuals) are column expressions with the small inverse matrix inlined as liter
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -60,6 +61,24 @@ def kernel_regression(queries: DataFrame, train: DataFrame, weight: float = 2.0)
     return s.select("qid", (F.col("num") / F.col("den")).alias("prediction"))
 
 
+def kernel_horizons(queries: DataFrame, train: DataFrame, horizons: list[int], weight: float = 2.0) -> DataFrame:
+    """``(qid, h<n> for each horizon n)``: the kernel estimate from the last n steps of the vectors, for each horizon."""
+    out = None
+    for n in horizons:
+        q, t = (side.withColumn("x", F.slice("x", -n, n)) for side in (queries, train))
+        one = kernel_regression(q, t, weight).withColumnRenamed("prediction", f"h{n}")
+        out = one if out is None else out.join(one, "qid")
+    return out
+
+
+def horizon_regression(estimates: DataFrame, horizons: list[int], target: str, fit_rows, test_rows) -> tuple[LinearFit, DataFrame]:
+    """Least squares of the target on the estimates of all horizons over the rows where ``fit_rows`` holds; the fit, and
+    (actual, predicted) for those where ``test_rows`` does."""
+    cols = [f"h{n}" for n in horizons]
+    fit = ols_fit(estimates.filter(fit_rows), cols, target)
+    return fit, estimates.filter(test_rows).select(F.col(target).alias("actual"), fit.fitted().alias("predicted"))
+
+
 # ------------------------------------------------------------------ least squares
 
 class LinearFit:
@@ -158,37 +177,64 @@ def ridge_closed_form(df: DataFrame, xcols: list[str], ycol: str, lam: float) ->
     return np.linalg.solve(A + lam * np.eye(d), b)
 
 
+def _batch_maps(stats: DataFrame, d: int, lam: float, lr: float) -> tuple[np.ndarray, np.ndarray, int]:
+    """``stats(batch, n, xx d*d, xy d, yy)`` of all batches -> what an epoch does to u = (w, 1): the map T with u' = T u, the
+    form L with sum of the batches' losses = u' L u (each loss at the weights before its step), the number of batches.
+
+    A step is affine in w and its loss a quadratic form, so steps compose: (T2 T1, L1 + T1' L2 T1).  Each partition
+    composes its run of batches in order, the driver those of the partitions: (d + 1)^2 numbers each."""
+    def compose(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        T, L, n, first = np.eye(d + 1), np.zeros((d + 1, d + 1)), 0, None
+        for part in parts:
+            for batch, size, xx, xy, yy in part[["batch", "n", "xx", "xy", "yy"]].itertuples(index=False, name=None):
+                first = batch if first is None else first
+                A, c = np.array(xx, dtype=float).reshape(d, d) / size, np.array(xy, dtype=float) / size
+                step, loss = np.eye(d + 1), np.zeros((d + 1, d + 1))
+                step[:d, :d] -= lr * (A + lam * np.eye(d))
+                step[:d, d] = lr * c
+                loss[:d, :d], loss[:d, d], loss[d, :d], loss[d, d] = A + lam * np.eye(d), -c, -c, yy / size
+                L, T, n = L + T.T @ loss @ T, step @ T, n + 1
+        if n:
+            yield pd.DataFrame({"first": [first], "steps": [n], "t": [T.ravel()], "l": [L.ravel()]})
+
+    runs = stats.repartitionByRange("batch").sortWithinPartitions("batch").mapInPandas(compose, "first long, steps long, t array<double>, l array<double>")
+    T, L, n = np.eye(d + 1), np.zeros((d + 1, d + 1)), 0
+    for row in sorted(runs.collect(), key=lambda r: r["first"]):
+        t, l = (np.array(row[k]).reshape(d + 1, d + 1) for k in ("t", "l"))
+        L, T, n = L + T.T @ l @ T, t @ T, n + row["steps"]
+    return T, L, n
+
+
 def ridge_sgd(df: DataFrame, xcols: list[str], ycol: str, lam: float = 0.0, lr: float = 0.01, epochs: int = 100,
-              batches: int = 1, eps: float = 1e-9, seed: int = 3, key: str = "row_id"):
+              batches: int = 1, eps: float = 1e-9, seed: int = 3, key: str = "row_id", batch_size: int | None = None):
     """Mini-batch gradient descent on MSE + λ‖W‖² (bias penalised too) with the gradient
     ``Xᵀe/b + λW`` (e = prediction − target; half the derivative of that loss, kept as specified).
-    Batches are a seeded hash of the row key; the start is zero.  Stops when the mean epoch loss
-    changes by less than ``eps`` or after ``epochs``.  Returns (weights [w.., b], loss history)."""
+    Rows come in seeded-hash order; batches are ``batches`` hash classes or, with ``batch_size``, runs of that many rows (the last
+    may be shorter), the same in every epoch; the start is zero.  Stops when the mean epoch loss
+    changes by less than ``eps`` or after ``epochs``.  Returns (weights [w.., b], loss history).
+
+    The batches' cross-products are one aggregation, and an epoch's steps compose into one affine map (``_batch_maps``),
+    so there is one pass over the data whatever the number of batches and epochs."""
     d = len(xcols) + 1
-    w = np.zeros(d)
     cols = [F.col(c) for c in xcols] + [F.lit(1.0)]
-    data = df.select(*[c.alias(f"x{i}") for i, c in enumerate(cols)], F.col(ycol).alias("y"),
-                     F.pmod(mix_hash(key, seed=seed), F.lit(batches)).alias("batch")).cache()
-    history, prev = [], None
-    for epoch in range(epochs):
-        losses = []
-        for b in range(batches):
-            pred = sum(F.lit(float(w[i])) * F.col(f"x{i}") for i in range(d))
-            e = pred - F.col("y")
-            r = data.filter(F.col("batch") == b).agg(F.count(F.lit(1)).alias("n"), F.avg(e * e).alias("mse"),
-                                                      *[F.sum(e * F.col(f"x{i}")).alias(f"g{i}") for i in range(d)]).first()
-            if not r["n"]:
-                continue
-            losses.append(r["mse"] + lam * float(w @ w))
-            g = np.array([r[f"g{i}"] for i in range(d)]) / r["n"] + lam * w
-            w = w - lr * g
-        mean_loss = float(np.mean(losses))
+    data = df.select(*[c.alias(f"x{i}") for i, c in enumerate(cols)], F.col(ycol).alias("y"), F.col(key).alias("__key"), mix_hash(key, seed=seed).alias("__h"))
+    if batch_size:
+        data = dense_index(data, ["__h", "__key"], "__at").withColumn("batch", F.floor(F.col("__at") / batch_size).cast("long"))
+    else:
+        data = data.withColumn("batch", F.pmod(F.col("__h"), F.lit(batches)))
+    size = F.count(F.lit(1))
+    stats = data.groupBy("batch").agg(size.alias("n"), F.array(*[F.sum(F.col(f"x{i}") * F.col(f"x{j}")) for i in range(d) for j in range(d)]).alias("xx"),
+                                      F.array(*[F.sum(F.col(f"x{i}") * F.col("y")) for i in range(d)]).alias("xy"), F.sum(F.col("y") * F.col("y")).alias("yy"))
+    T, L, n = _batch_maps(stats, d, lam, lr)
+    u, history, prev = np.append(np.zeros(d), 1.0), [], None
+    for epoch in range(epochs if n else 0):
+        mean_loss = float(u @ L @ u) / n
+        u = T @ u
         history.append((epoch, mean_loss))
         if prev is not None and abs(prev - mean_loss) < eps:
             break
         prev = mean_loss
-    data.unpersist()
-    return w, history
+    return u[:d], history
 
 
 # ------------------------------------------------------------------ diagnostics
@@ -288,20 +334,32 @@ def moment_tests(res: DataFrame) -> DataFrame:
                     (F.col("n") * (F.col("m4") / F.col("m2") ** 2 - 3) ** 2 / 24).alias("kurtosis_stat"))
 
 
-def linear_assumption_test(res: DataFrame) -> DataFrame:
-    """Global test of linear-model assumptions: skewness and kurtosis (moment statistics), a link
-    statistic (score of the squared centred fitted values) and a heteroscedasticity statistic (score of
-    the row order), each χ²₁, and their sum χ²₄ with p-values."""
+def linear_assumption_test(res: DataFrame, xcols: list[str], order: list[str]) -> DataFrame:
+    """Global test of linear-model assumptions (Peña and Slate 2006): skewness, kurtosis, link function,
+    heteroscedasticity, each χ²₁, and their sum χ²₄; ``(test, value, df, p_value)``.
+
+    With R = residual / σ̂, σ̂² = RSS / n: the link statistic is (Σ v R)² over what is left of Σ v² after v = (fitted −
+    mean)² is projected on the intercept and the predictors; the heteroscedasticity statistic is (Σ (i − ī) R²)² /
+    (2 Σ (i − ī)²) with i the row's number in ``order`` (a total order)."""
     mom = moment_tests(res).first()
-    st = res.agg(F.count(F.lit(1)).alias("n"), F.avg("fitted").alias("mf"), F.var_pop("residual").alias("v")).first()
-    n, mf, v = st["n"], st["mf"], st["v"]
-    f2 = (F.col("fitted") - F.lit(mf)) ** 2
-    lk = res.agg((F.sum(F.col("residual") * f2) ** 2 / (F.lit(v) * F.sum(f2 * f2))).alias("s")).first()["s"]
-    hs = res.agg((F.sum((F.col("residual") ** 2 - F.lit(v)) * (F.col("fitted") - F.lit(mf))) ** 2
-                  / (F.lit(2 * v * v) * F.sum((F.col("fitted") - F.lit(mf)) ** 2))).alias("s")).first()["s"]
-    stats = {"skewness": mom["skewness_stat"], "kurtosis": mom["kurtosis_stat"], "link_function": lk,
-             "heteroscedasticity": hs}
-    rows = [(k, float(s), 1, chi2_sf(float(s), 1)) for k, s in stats.items()]
+    cols = list(dict.fromkeys([*order, *xcols, "fitted", "residual"]))
+    st = res.agg(F.count(F.lit(1)).alias("n"), F.avg("fitted").alias("mf"), F.avg(F.col("residual") ** 2).alias("s2"),
+                 *[F.avg(c).alias(f"m{i}") for i, c in enumerate(xcols)]).first()
+    n, s2 = st["n"], st["s2"]
+    v, at = (F.col("fitted") - F.lit(st["mf"])) ** 2, F.col("__i") + 1 - (n + 1) / 2
+    x = [F.col(c) - F.lit(float(st[f"m{i}"])) for i, c in enumerate(xcols)]
+    sums = [F.sum(v * F.col("residual")).alias("vr"), F.sum(v).alias("v"), F.sum(v * v).alias("vv"), F.sum(at * F.col("residual") ** 2).alias("ir"),
+            *[F.sum(v * x[i]).alias(f"vx{i}") for i in range(len(x))],
+            *[F.sum(x[i] * x[j]).alias(f"xx{i}_{j}") for i in range(len(x)) for j in range(i, len(x))]]
+    t = dense_index(res.select(*cols), order, "__i").agg(*sums).first()
+    sxx, vx = np.zeros((len(x), len(x))), np.array([t[f"vx{i}"] for i in range(len(x))])
+    for i in range(len(x)):
+        for j in range(i, len(x)):
+            sxx[i, j] = sxx[j, i] = t[f"xx{i}_{j}"]
+    left = t["vv"] - t["v"] ** 2 / n - float(vx @ np.linalg.solve(sxx, vx))
+    stats = {"skewness": mom["skewness_stat"], "kurtosis": mom["kurtosis_stat"], "link_function": t["vr"] ** 2 / s2 / left,
+             "heteroscedasticity": (t["ir"] / s2) ** 2 / (2 * n * (n * n - 1) / 12)}
+    rows = [(k, float(x), 1, chi2_sf(float(x), 1)) for k, x in stats.items()]
     tot = float(sum(stats.values()))
     rows.append(("global", tot, 4, chi2_sf(tot, 4)))
     return res.sparkSession.createDataFrame(rows, "test string, value double, df int, p_value double")
@@ -326,3 +384,24 @@ def deviance_test(reduced, full) -> tuple[float, float, float, float, float]:
     return (sr.residualDegreeOfFreedom, sr.deviance, sf.residualDegreeOfFreedom, sf.deviance, chi2_sf(d_dev, d_df))
 
 
+def glm_predict(model, df: DataFrame, feature_cols: list[str], label: str, threshold: float = 0.5) -> DataFrame:
+    """(actual, predicted 0/1) of a fitted GLM on rows it needn't have seen: the logistic curve of its linear predictor
+    against the threshold."""
+    eta = F.lit(float(model.intercept))
+    for c, b in zip(feature_cols, model.coefficients):
+        eta = eta + F.lit(float(b)) * F.col(c)
+    return df.select(F.col(label).cast("int").alias("actual"), F.when(1 / (1 + F.exp(-eta)) >= threshold, 1).otherwise(0).alias("predicted"))
+
+
+def glm_holdout(train: DataFrame, test: DataFrame, models: dict[str, list[str]], label: str) -> DataFrame:
+    """``(model, residual_df, deviance, aic, statistics of the held-out predictions)`` for each named set of predictors,
+    fitted on ``train`` and judged on ``test``."""
+    from quarry.operators.aggregate import classification_report
+    out = None
+    for name, cols in models.items():
+        m = logistic_glm(train, cols, label)
+        s = m.summary
+        one = classification_report(glm_predict(m, test, cols, label)).select(
+            F.lit(name).alias("model"), F.lit(int(s.residualDegreeOfFreedom)).alias("residual_df"), F.lit(float(s.deviance)).alias("deviance"), F.lit(float(s.aic)).alias("aic"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out

@@ -4,6 +4,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.operators.hot_join import lookup_join
+
 
 def inner_join_suffix(left: DataFrame, right: DataFrame, on: list[str], suffixes=("_x", "_y")) -> DataFrame:
     """Inner equi-join; non-key columns present on both sides get the suffixes."""
@@ -38,8 +40,10 @@ def anti_join_seen(candidates: DataFrame, seen: DataFrame, keys: list[str]) -> D
     return candidates.join(seen.select(*keys).distinct(), keys, "left_anti")
 
 
-def semi_join_vocabulary(tokens: DataFrame, vocab: DataFrame, key: str = "word") -> DataFrame:
-    return tokens.join(vocab.select(key), key, "left_semi")
+def semi_join_vocabulary(tokens: DataFrame, vocab: DataFrame, key: str = "word", counts: str | None = "count") -> DataFrame:
+    """Tokens whose word is in the vocabulary; the heaviest words by broadcast (``counts``: their column in ``vocab``)."""
+    hot = counts if counts in vocab.columns else None
+    return lookup_join(tokens, vocab.select(key, *([hot] if hot else [])), key, "left_semi", counts=hot)
 
 
 def subgraph(edges: DataFrame, nodes: DataFrame, node_col: str = "id") -> DataFrame:
@@ -56,17 +60,58 @@ def remove_vertex_edges(edges: DataFrame, removed: DataFrame, node_col: str = "i
             .join(r, F.col("dst") == F.col("__n"), "left_anti"))
 
 
-def context_pairs(tokens: DataFrame, window: int, doc="doc_id", pos="pos", word="word") -> DataFrame:
-    """(word, context) pairs within ±window positions inside a document, self excluded.
-
-    Written as an equi-join on (doc, pos + offset) over the 2·window offsets, so each side is
-    hash-partitioned by document and no range join / nested loop is needed."""
-    spark = tokens.sparkSession
-    offsets = spark.createDataFrame([(o,) for o in range(-window, window + 1) if o != 0], "offset int")
-    left = tokens.select(F.col(doc).alias("doc"), F.col(pos).alias("pos"), F.col(word).alias("word"))
-    right = tokens.select(F.col(doc).alias("doc"), F.col(pos).alias("cpos"), F.col(word).alias("context"))
-    shifted = left.crossJoin(F.broadcast(offsets)).withColumn("cpos", F.col("pos") + F.col("offset"))
-    return shifted.join(right, ["doc", "cpos"]).select("doc", "pos", "cpos", "word", "context")
+def _pair_pieces(pieces: DataFrame, window: int, piece: int) -> DataFrame:
+    """``pieces(doc, start, t)``: the tokens of a piece from position ``start`` on with up to ``window`` tokens that follow
+    it.  (doc, pos, cpos, word, context) with pos < cpos, pos inside the piece."""
+    def shifted(o: int):
+        n = F.greatest(F.least(F.lit(piece), F.size("t") - o), F.lit(0))
+        return F.struct(F.lit(o).alias("o"), F.arrays_zip(F.slice("t", F.lit(1), n).alias("word"), F.slice("t", F.lit(1 + o), n).alias("context")).alias("z"))
+
+    by_offset = pieces.select("doc", "start", F.explode(F.array(*[shifted(o) for o in range(1, window + 1)])).alias("s"))
+    pairs = by_offset.select("doc", "start", F.col("s.o").alias("o"), F.posexplode("s.z").alias("i", "z"))
+    at = (F.col("start") + F.col("i")).cast("int")
+    return pairs.select("doc", at.alias("pos"), (at + F.col("o")).alias("cpos"), "z.word", "z.context")
+
+
+def forward_context_pairs(docs: DataFrame, window: int, doc="doc_id", tokens="tokens", piece: int = 1024) -> DataFrame:
+    """(doc, pos, cpos, word, context) for token arrays, each pair of positions pos < cpos <= pos + window once.  A
+    document is cut into pieces of ``piece`` tokens, each with the ``window`` tokens that follow it, so a row stays small
+    whatever the document's length, and pairs come from slices of a piece: no join and no shuffle."""
+    t = F.col(tokens)
+    starts = F.when(F.size(t) > 0, F.sequence(F.lit(0), F.size(t) - 1, F.lit(piece)))
+    cut = F.transform(starts, lambda s: F.struct(s.alias("start"), F.slice(t, s + 1, F.lit(piece + window)).alias("t")))
+    pieces = docs.select(F.col(doc).alias("doc"), F.explode(cut).alias("p")).select("doc", "p.start", "p.t")
+    return _pair_pieces(pieces, window, piece)
+
+
+def context_pairs(tokens: DataFrame, window: int, doc="doc_id", pos="pos", word="word", piece: int = 1024) -> DataFrame:
+    """(word, context) pairs within ±window positions inside a document, self excluded, for token rows (positions from 0
+    on without gaps).  A token goes to the piece of ``piece`` positions that holds it, and also to the piece before if
+    that one's windows reach it; a piece is gathered into one array and gives its pairs there."""
+    p = F.col(pos).cast("long")
+    own = F.floor(p / piece)
+    to = F.array_distinct(F.array(own, F.greatest(F.floor((p - window) / piece), F.lit(0))))
+    if window > piece:
+        raise ValueError("a window must fit into a piece")
+    rows = tokens.select(F.col(doc).alias("doc"), p.alias("pos"), F.col(word).alias("word"), F.explode(to).alias("piece"))
+    pieces = (rows.groupBy("doc", "piece").agg(F.sort_array(F.collect_list(F.struct("pos", "word"))).alias("a"))
+              .select("doc", (F.col("piece") * piece).alias("start"), F.transform("a", lambda x: x["word"]).alias("t")))
+    return both_directions(_pair_pieces(pieces, window, piece))
+
+
+def both_directions(pairs: DataFrame) -> DataFrame:
+    """Each forward pair and its mirror image."""
+    same = F.struct("pos", "cpos", "word", "context")
+    turned = F.struct(F.col("cpos").alias("pos"), F.col("pos").alias("cpos"), F.col("context").alias("word"), F.col("word").alias("context"))
+    return pairs.select("doc", F.explode(F.array(same, turned)).alias("p")).select("doc", "p.*")
+
+
+def context_pair_counts(docs: DataFrame, window: int, doc="doc_id", tokens="tokens") -> DataFrame:
+    """(word, context, n) over all documents: forward pairs are counted once, then each count is added in both
+    directions."""
+    forward = forward_context_pairs(docs, window, doc, tokens).groupBy("word", "context").agg(F.count(F.lit(1)).alias("n"))
+    turned = F.array(F.struct("word", "context"), F.struct(F.col("context").alias("word"), F.col("word").alias("context")))
+    return forward.select("n", F.explode(turned).alias("p")).groupBy("p.word", "p.context").agg(F.sum("n").alias("n"))
 
 
 def symmetric_edges(edges: DataFrame, drop_self_loops: bool = True) -> DataFrame:

@@ -1,7 +1,7 @@
 """Order-dependent helpers that stay distributed: exact prefix sums and dense global numbering.
 
-Neither uses an un-partitioned window over the whole input: prefix sums go through per-bucket totals
-(a small table) and a bounded window inside each bucket; numbering sorts globally (range
+Neither uses an un-partitioned window over the input: prefix sums are a tree of bucket totals, each level with windows of
+bounded size; numbering sorts globally (range
 partitioning splits heavy keys) and numbers rows from per-partition positions plus partition offsets (all JVM-side).
 """
 from __future__ import annotations
@@ -13,16 +13,22 @@ from pyspark.sql import functions as F
 def exclusive_prefix_sum(df: DataFrame, order_col: str, value_col: str, out: str = "offset",
                          bucket_width: int = 4096) -> DataFrame:
     """Adds ``out`` = sum of ``value_col`` over rows with a smaller ``order_col`` (an integer key,
-    unique per row).  Buckets of ``bucket_width`` consecutive keys hold at most that many rows."""
-    b = df.withColumn("__bkt", F.floor(F.col(order_col) / bucket_width))
-    totals = b.groupBy("__bkt").agg(F.sum(value_col).alias("__bt"))
-    wb = Window.orderBy("__bkt").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per bucket: this window sees (max key / bucket_width) rows, not the input
-    totals = totals.withColumn("__boff", F.coalesce(F.sum("__bt").over(wb), F.lit(0)))
-    wi = Window.partitionBy("__bkt").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
-    return (b.join(totals.select("__bkt", "__boff"), "__bkt")
-            .withColumn(out, F.col("__boff") + F.coalesce(F.sum(value_col).over(wi), F.lit(0)))
-            .drop("__bkt", "__boff"))
+    unique per row).  Buckets of ``bucket_width`` consecutive keys hold at most that many rows; the offsets of buckets are
+    prefix sums of their totals, found in the same way, so no window sees more than ``bucket_width`` rows at any level."""
+    low, high = df.agg(F.min(order_col), F.max(order_col)).first()
+    return _prefix_level(df, order_col, value_col, out, bucket_width, low or 0, high or 0, 0)
+
+
+def _prefix_level(df: DataFrame, order_col: str, value_col: str, out: str, width: int, low: int, high: int, level: int) -> DataFrame:
+    bkt, key, total, off = (f"__{name}{level}" for name in ("bkt", "key", "total", "off"))
+    inner = Window.partitionBy(bkt).orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
+    inside = F.coalesce(F.sum(value_col).over(inner), F.lit(0))
+    b = df.withColumn(bkt, F.floor((F.col(order_col) - F.lit(low)) / width))
+    if high - low < width:
+        return b.withColumn(out, inside).drop(bkt)
+    totals = b.groupBy(F.col(bkt).alias(key)).agg(F.sum(value_col).alias(total))
+    offsets = _prefix_level(totals, key, total, off, width, 0, (high - low) // width, level + 1)
+    return b.join(offsets.select(F.col(key).alias(bkt), off), bkt).withColumn(out, F.col(off) + inside).drop(bkt, off)
 
 
 def dense_index(df: DataFrame, order: list, out: str = "idx") -> DataFrame:

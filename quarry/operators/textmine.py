@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.hashing import uniform01
 from quarry.functions.text import STOP_WORDS, split_whitespace
+from quarry.operators.hot_join import lookup_join
 from quarry.operators.sequence import dense_index, exclusive_prefix_sum
 
 
@@ -18,12 +19,12 @@ def doc_tokens(docs: DataFrame, tokens_col: str = "tokens", doc: str = "doc_id")
 
 def line_sentences(docs: DataFrame, text: str = "text", doc: str = "doc_id", labelled: bool = False) -> DataFrame:
     """One line = one sentence of whitespace tokens.  Lines are numbered across the whole corpus in
-    (doc, line) order with an exact distributed prefix sum of per-document line counts; the labelled
-    form adds the tag ``SENT_<line no>``."""
-    lines = docs.select(doc, F.posexplode(F.split(F.col(text), "\n")).alias("line_in_doc", "line"))
-    per_doc = lines.groupBy(doc).agg(F.count(F.lit(1)).alias("__n"))
-    offs = exclusive_prefix_sum(per_doc, doc, "__n", "__off")
-    out = (lines.join(offs.select(doc, "__off"), doc)
+    (doc, line) order with an exact distributed prefix sum of per-document line counts (``doc``: unique integers); a text
+    meets its offset whole, before it is cut into lines.  The labelled form adds the tag ``SENT_<line no>``."""
+    lines = F.split(F.col(text), "\n")
+    per_doc = docs.select(doc, F.when(F.col(text).isNull(), 0).otherwise(F.size(lines)).cast("long").alias("__n"))
+    offs = exclusive_prefix_sum(per_doc, doc, "__n", "__off").select(doc, "__off")
+    out = (docs.join(offs, doc).select(doc, "__off", F.posexplode(lines).alias("line_in_doc", "line"))
            .select((F.col("__off") + F.col("line_in_doc")).alias("line_no"), doc,
                    split_whitespace("line").alias("tokens")))
     if labelled:
@@ -33,14 +34,20 @@ def line_sentences(docs: DataFrame, text: str = "text", doc: str = "doc_id", lab
 
 def token_chunks(docs: DataFrame, text: str = "text", doc: str = "doc_id", max_len: int = 1000) -> DataFrame:
     """The whole corpus as one token stream (documents in id order) cut into sentences of ``max_len``
-    tokens: ``(chunk, tokens)``.  Each chunk gathers at most ``max_len`` tokens."""
-    toks = docs.select(doc, F.posexplode(split_whitespace(text)).alias("pos", "word"))
-    per_doc = toks.groupBy(doc).agg(F.count(F.lit(1)).alias("__n"))
-    offs = exclusive_prefix_sum(per_doc, doc, "__n", "__off")
-    g = toks.join(offs.select(doc, "__off"), doc).withColumn("gpos", F.col("__off") + F.col("pos"))
-    return (g.groupBy(F.floor(F.col("gpos") / max_len).alias("chunk"))
-            .agg(F.sort_array(F.collect_list(F.struct("gpos", "word"))).alias("__s"))
-            .select("chunk", F.transform("__s", lambda s: s["word"]).alias("tokens")))
+    tokens: ``(chunk, tokens)``.  A document is cut where chunks end and its pieces, not its tokens, are shuffled; each
+    chunk gathers at most ``max_len`` tokens."""
+    t = docs.select(doc, split_whitespace(text).alias("t")).filter(F.size("t") > 0)
+    offs = exclusive_prefix_sum(t.select(doc, F.size("t").cast("long").alias("__n")), doc, "__n", "__off").select(doc, "__off")
+    off, n, size = F.col("__off"), F.size("t").cast("long"), F.lit(max_len).cast("long")
+    chunks = F.sequence(F.floor(off / size), F.floor((off + n - 1) / size))
+
+    def piece(c):
+        start = F.greatest(c * size - off, F.lit(0).cast("long"))
+        return F.struct(c.alias("chunk"), (off + start).alias("gpos"), F.slice("t", (start + 1).cast("int"), (F.least((c + 1) * size - off, n) - start).cast("int")).alias("part"))
+
+    pieces = t.join(offs, doc).select(F.explode(F.transform(chunks, piece)).alias("p"))
+    return (pieces.groupBy(F.col("p.chunk").alias("chunk")).agg(F.sort_array(F.collect_list(F.struct("p.gpos", "p.part"))).alias("__s"))
+            .select("chunk", F.flatten(F.transform("__s", lambda s: s["part"])).alias("tokens")))
 
 
 def tagged_tokens(docs: DataFrame, tokens_col: str = "tokens") -> DataFrame:
@@ -56,6 +63,15 @@ def tagged_tokens(docs: DataFrame, tokens_col: str = "tokens") -> DataFrame:
     return out.filter(F.size(tokens_col) > 0)
 
 
+def labeled_tagged_tokens(lines: DataFrame, file: str = "file", line_no: str = "line_no", text: str = "line") -> DataFrame:
+    """The labelled form of ``tagged_tokens`` over the lines of files: ``(file, line_no, tokens, tags)`` with the one tag
+    ``<file>_SENT_<line_no>``; lines are numbered from 0 within their file, and those left without tokens are dropped (their
+    numbers stay unused)."""
+    sentences = lines.select(F.col(file).alias("file"), F.col(line_no).alias("line_no"), split_whitespace(text).alias("tokens"))
+    tag = F.concat(F.col("file"), F.lit("_SENT_"), F.col("line_no").cast("string"))
+    return tagged_tokens(sentences).select("file", "line_no", "tokens", F.array(tag).alias("tags"))
+
+
 # ------------------------------------------------------------------ vocabulary
 
 def vocabulary(tokens: DataFrame, min_count: int = 5, word: str = "word") -> DataFrame:
@@ -75,7 +91,8 @@ def subsample_probability(vocab: DataFrame, sample: float = 1e-3) -> DataFrame:
 
 def subsample_tokens(tokens: DataFrame, probs: DataFrame, seed: int = 1, doc: str = "doc_id") -> DataFrame:
     """Drop tokens at random by their keep-probability; the draw is a hash of (doc, pos, seed)."""
-    return (tokens.join(probs.select("word", "keep_prob"), "word")
+    hot = "count" if "count" in probs.columns else None
+    return (lookup_join(tokens, probs.select("word", "keep_prob", *([hot] if hot else [])), "word", counts=hot).drop(*([hot] if hot else []))
             .filter(uniform01(doc, "pos", seed=seed) <= F.col("keep_prob")).drop("keep_prob"))
 
 

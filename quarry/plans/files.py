@@ -148,3 +148,19 @@ def q_read_tagged_tokens(spark, d):
     t = tagged_tokens(c)
     return t.select("conv_id", "turn", F.size("tokens").alias("n_tokens"), F.get("tokens", 0).alias("first_token"))
 
+
+@register("read_labeled_tagged_tokens", "2.1", (
+    "SELECT 'conv' || conv_id || '_SENT_' || turn AS tag, CAST(len(w) AS INTEGER) AS n_tokens, w[len(w)] AS last_token FROM (SELECT conv_id, turn, "
+    "list_filter(list_transform(list_filter(regexp_split_to_array(text, '[ \\t\\n\\x0B\\f\\r]+'), lambda t: t <> ''), "
+    "lambda t: CASE WHEN regexp_matches(t || '/' || upper(role), '^[^/]*/[^/]*$') AND "
+    "regexp_matches(substr(upper(role), 1, 2), '^\\p{L}+$') THEN lower(split_part(t || '/' || upper(role), '/', 1)) || '/' || "
+    "substr(upper(role), 1, 2) END), lambda x: x IS NOT NULL) AS w FROM conversations) WHERE len(w) > 0"))
+def q_read_labeled_tagged_tokens(spark, d):
+    """Each conversation a file, each turn one of its lines."""
+    from quarry.functions.text import split_whitespace
+    from quarry.operators.textmine import labeled_tagged_tokens
+    words = F.transform(split_whitespace("text"), lambda t: F.concat(t, F.lit("/"), F.upper(F.col("role"))))
+    lines = table(spark, d, "conversations").select(F.concat(F.lit("conv"), F.col("conv_id").cast("string")).alias("file"),
+                                                    F.col("turn").alias("line_no"), F.array_join(words, " ").alias("line"))
+    t = labeled_tagged_tokens(lines)
+    return t.select(F.get("tags", 0).alias("tag"), F.size("tokens").alias("n_tokens"), F.element_at("tokens", -1).alias("last_token"))

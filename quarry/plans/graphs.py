@@ -162,7 +162,7 @@ def _spread_sql():
         f"m AS ({fx.MEMBERSHIP_SQL})",
         "seeds AS (SELECT min(id) AS seed FROM m GROUP BY community)",
         "p(seed, id, d) AS (SELECT seed, seed, 0 FROM seeds UNION SELECT p.seed, e.dst, p.d + 1 FROM p JOIN e "
-        "ON e.src = p.id WHERE p.d < 60)",
+        "ON e.src = p.id WHERE p.d <= (SELECT count(*) FROM m))",
         "r AS (SELECT seed, id, min(d) AS step FROM p GROUP BY seed, id)",
         "per AS (SELECT step, sum(CASE WHEN m.community = ms.community THEN 1 ELSE 0 END) AS ni, "
         "sum(CASE WHEN m.community <> ms.community THEN 1 ELSE 0 END) AS no FROM r JOIN m ON r.id = m.id "

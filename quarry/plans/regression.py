@@ -152,9 +152,26 @@ def q_linear_assumption_moments(spark, d):
     return rg.moment_tests(residuals(spark, d))
 
 
-@register("linear_assumption_test", "2.10")
+_ASSUMPTIONS = LM + (
+    ", t AS (SELECT residual, (fitted - my) ^ 2 AS v, x1 - m1 AS d1, x2 - m2 AS d2, f.rss / f.n AS sg, "
+    "row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, residual) - (f.n + 1) / 2.0 AS i FROM r0, f), "
+    "a AS (SELECT count(*)::DOUBLE AS n, avg(residual ^ 2) AS q2, avg(residual ^ 3) AS q3, avg(residual ^ 4) AS q4, sum(v * residual) ^ 2 / any_value(sg) AS vr, "
+    "sum(v * v) - sum(v) ^ 2 / count(*) AS vv, sum(v * d1) AS v1, sum(v * d2) AS v2, sum(d1 * d1) AS e11, sum(d1 * d2) AS e12, sum(d2 * d2) AS e22, "
+    "(sum(i * residual ^ 2) / any_value(sg)) ^ 2 AS ir FROM t), "
+    "w AS (SELECT n * (q3 / q2 ^ 1.5) ^ 2 / 6 AS sk, n * (q4 / q2 ^ 2 - 3) ^ 2 / 24 AS ku, "
+    "vr / (vv - (e22 * v1 * v1 - 2 * e12 * v1 * v2 + e11 * v2 * v2) / (e11 * e22 - e12 * e12)) AS li, ir / (n * (n * n - 1) / 6) AS he FROM a) "
+    "SELECT 'skewness' AS test, sk AS value, 1 AS df FROM w UNION ALL SELECT 'kurtosis', ku, 1 FROM w UNION ALL SELECT 'link_function', li, 1 FROM w "
+    "UNION ALL SELECT 'heteroscedasticity', he, 1 FROM w UNION ALL SELECT 'global', sk + ku + li + he, 4 FROM w")
+
+
+@register("linear_assumption_test", "2.10", _ASSUMPTIONS)
 def q_linear_assumption_test(spark, d):
-    return rg.linear_assumption_test(residuals(spark, d))
+    return rg.linear_assumption_test(residuals(spark, d), X, KEY + ["residual"]).drop("p_value")
+
+
+@register("linear_assumption_pvalues", "2.10")
+def q_linear_assumption_pvalues(spark, d):
+    return rg.linear_assumption_test(residuals(spark, d), X, KEY + ["residual"])
 
 
 # ------------------------------------------------------------------ ridge
@@ -173,7 +190,20 @@ def q_ridge_closed_form(spark, d):
     return spark.createDataFrame([(float(w[0]), float(w[1]))], "w double, b double")
 
 
-@register("ridge_sgd", "2.10")
+#: Full-batch descent from zero: the sums are those of one step, so a step is a row of the recursion; the last epoch is the
+#: first whose loss differs by less than eps.
+_DESCENT = fx.with_sql(
+    x="SELECT l_quantity / 50 AS x, l_extendedprice / 100000 AS y FROM lineitem",
+    a="SELECT avg(x * x) AS xx, avg(x) AS mx, avg(x * y) AS xy, avg(y) AS my, avg(y * y) AS yy FROM x").replace("WITH", "WITH RECURSIVE", 1) + (
+    f", it(epoch, w, b, pw, pb) AS (SELECT 0, 0.0::DOUBLE, 0.0::DOUBLE, NULL::DOUBLE, NULL::DOUBLE UNION ALL "
+    f"SELECT epoch + 1, w - 0.5 * (xx * w + mx * b - xy + {LAMBDA} * w), b - 0.5 * (mx * w + b - my + {LAMBDA} * b), w, b FROM it, a WHERE epoch < 200), "
+    f"ls AS (SELECT epoch, w, b, yy - 2 * (xy * w + my * b) + xx * w * w + 2 * mx * w * b + b * b + {LAMBDA} * (w * w + b * b) AS loss FROM it, a), "
+    "df AS (SELECT epoch, loss, abs(loss - lag(loss) OVER (ORDER BY epoch)) AS change FROM ls WHERE epoch < 200), "
+    "e AS (SELECT coalesce(min(epoch), 199) AS last FROM df WHERE change < 1e-12) "
+    "SELECT df.epoch, df.loss, fin.w, fin.b FROM df, e, ls fin WHERE df.epoch <= e.last AND fin.epoch = e.last + 1")
+
+
+@register("ridge_sgd", "2.10", _DESCENT)
 def q_ridge_sgd(spark, d):
     r = ridge_rows(spark, d).withColumn("row_id", F.xxhash64(*KEY))
     w, hist = rg.ridge_sgd(r, ["x"], "y", lam=LAMBDA, lr=0.5, epochs=200, batches=1, eps=1e-12)
@@ -181,6 +211,14 @@ def q_ridge_sgd(spark, d):
                                  "epoch int, loss double, w double, b double")
 
 
+@register("ridge_sgd_minibatch", "2.10")
+def q_ridge_sgd_minibatch(spark, d):
+    """Batches of 10 rows, as the reference runs it."""
+    r = ridge_rows(spark, d).withColumn("row_id", F.concat_ws(":", *KEY))
+    w, hist = rg.ridge_sgd(r, ["x"], "y", lam=LAMBDA, lr=0.01, epochs=20, batch_size=10, eps=1e-6)
+    return spark.createDataFrame([(e, float(l), float(w[0]), float(w[1])) for e, l in hist], "epoch int, loss double, w double, b double")
+
+
 # ------------------------------------------------------------------ kernel regression (FIX-8)
 
 KR = fx.with_sql(
@@ -210,6 +248,44 @@ def q_kernel_regression(spark, d):
     return rg.kernel_regression(q, t, WEIGHT)
 
 
+HORIZONS = [16, 32, 64]
+
+
+def _horizon_sql():
+    def kernel(n):
+        return (f"z{n} AS (SELECT vec_id, y, list_transform(x, lambda v: (v - list_avg(x)) / sqrt(list_avg(list_transform(x, lambda w: (w - list_avg(x)) ^ 2)))) AS z "
+                f"FROM (SELECT vec_id, y, list_slice(x, -{n}, -1) AS x FROM e)), "
+                f"k{n} AS (SELECT q.vec_id AS qid, any_value(q.y) AS y, sum(t.y * exp({WEIGHT} * list_dot_product(q.z, t.z) / {n})) / "
+                f"sum(exp({WEIGHT} * list_dot_product(q.z, t.z) / {n})) AS h{n} FROM z{n} q, z{n} t WHERE q.vec_id % 10 = 0 AND t.vec_id % 10 <> 0 GROUP BY q.vec_id)")
+    return ("WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x, CAST(label AS DOUBLE) AS y FROM embeddings), " + ", ".join(kernel(n) for n in HORIZONS) +
+            ", h AS (SELECT k16.qid, k16.y, h16, h32, h64 FROM k16 JOIN k32 USING (qid) JOIN k64 USING (qid))")
+
+
+@register("kernel_horizons", "2.10", _horizon_sql() + " SELECT qid, h16, h32, h64 FROM h")
+def q_kernel_horizons(spark, d):
+    q, t = _kr_parts(spark, d)
+    return rg.kernel_horizons(q, t, HORIZONS, WEIGHT)
+
+
+@register("horizon_regression", "2.10", _horizon_sql() + (
+    ", c AS (SELECT covar_pop(h16, h16) AS s11, covar_pop(h16, h32) AS s12, covar_pop(h16, h64) AS s13, covar_pop(h32, h32) AS s22, covar_pop(h32, h64) AS s23, "
+    "covar_pop(h64, h64) AS s33, covar_pop(h16, y) AS y1, covar_pop(h32, y) AS y2, covar_pop(h64, y) AS y3, avg(h16) AS m1, avg(h32) AS m2, avg(h64) AS m3, avg(y) AS my "
+    "FROM h WHERE qid % 20 = 0), "
+    "i AS (SELECT *, s22 * s33 - s23 * s23 AS c11, s13 * s23 - s12 * s33 AS c12, s12 * s23 - s13 * s22 AS c13, s11 * s33 - s13 * s13 AS c22, "
+    "s12 * s13 - s11 * s23 AS c23, s11 * s22 - s12 * s12 AS c33 FROM c), "
+    "b AS (SELECT *, (c11 * y1 + c12 * y2 + c13 * y3) / (s11 * c11 + s12 * c12 + s13 * c13) AS b1, (c12 * y1 + c22 * y2 + c23 * y3) / (s11 * c11 + s12 * c12 + s13 * c13) AS b2, "
+    "(c13 * y1 + c23 * y2 + c33 * y3) / (s11 * c11 + s12 * c12 + s13 * c13) AS b3 FROM i) "
+    "SELECT b1 AS w16, b2 AS w32, b3 AS w64, my - b1 * m1 - b2 * m2 - b3 * m3 AS w0, "
+    "(SELECT avg((y - (my - b1 * m1 - b2 * m2 - b3 * m3 + b1 * h16 + b2 * h32 + b3 * h64)) ^ 2) FROM h WHERE qid % 20 <> 0) AS mse FROM b"))
+def q_horizon_regression(spark, d):
+    from quarry.operators.aggregate import mean_squared_error
+    q, t = _kr_parts(spark, d)
+    est = rg.kernel_horizons(q, t, HORIZONS, WEIGHT).join(q.select(F.col("row_id").alias("qid"), "y"), "qid").checkpoint()
+    fit, pred = rg.horizon_regression(est, HORIZONS, "y", F.col("qid") % 20 == 0, F.col("qid") % 20 != 0)
+    w = [F.lit(float(b)).alias(f"w{n}") for n, b in zip(HORIZONS, fit.coef)]
+    return mean_squared_error(pred).select(*w, F.lit(float(fit.intercept)).alias("w0"), "mse")
+
+
 # ------------------------------------------------------------------ logistic GLM (FIX-9)
 
 def _glm_data(spark, d):
@@ -233,6 +309,17 @@ def q_logistic_glm(spark, d):
     return spark.createDataFrame([(t, float(v)) for t, v in zip(terms, vals)], "term string, estimate double")
 
 
+GLM_MODELS = {"all": GLM_ALL, "one_term": ["price_k"], "reduced": ["priority_high", "priority_unknown", "price_k", "acct_bal"]}
+
+
+@register("glm_holdout", "2.10")
+def q_glm_holdout(spark, d):
+    """All terms, one term and a chosen subset, fitted on 60 % of the rows (stratified) and judged on the rest."""
+    from quarry.operators.ranking import stratified_split
+    s = stratified_split(_glm_data(spark, d), "competitive", ["o_orderkey"], 0.6, seed=1).checkpoint()
+    return rg.glm_holdout(s.filter("split = 'train'"), s.filter("split = 'test'"), GLM_MODELS, "competitive")
+
+
 @register("deviance_test", "2.10")
 def q_deviance_test(spark, d):
     data = _glm_data(spark, d).cache()

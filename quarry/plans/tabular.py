@@ -40,23 +40,27 @@ def imputed_grades(spark, d):
 IMPUTED_CTE = GRADES_CTE + f", i AS (SELECT id, user_id, quiz, \"State\", time, coalesce({GQ}, (SELECT avg({GQ}) FROM c)) AS {GQ} FROM c)"
 
 
-def quiz(spark, d, name):
+#: The two quizzes: every event type is on one of the two sides.
+FIRST_QUIZ, SECOND_QUIZ = "quiz < 'p'", "quiz >= 'p'"
+
+
+def quiz(spark, d, side):
     """One row per student (the latest attempt) of one quiz; student id = user_id."""
-    c = clean_grades(spark, d).filter(F.col("quiz") == name)
+    c = clean_grades(spark, d).filter(side)
     return (c.groupBy(F.col("user_id").alias("id"))
             .agg(F.max_by(F.struct("quiz", "time", G), "id").alias("r")).select("id", "r.*"))
 
 
-def quiz_sql(name):
+def quiz_sql(side):
     return (f"SELECT user_id AS id, quiz, time, {GQ} FROM (SELECT *, row_number() OVER (PARTITION BY user_id "
-            f"ORDER BY id DESC) AS rn FROM c WHERE quiz = '{name}') WHERE rn = 1")
+            f"ORDER BY id DESC) AS rn FROM c WHERE {side}) WHERE rn = 1")
 
 
 def merged(spark, d):
-    return inner_join_suffix(quiz(spark, d, "click"), quiz(spark, d, "view"), ["id"])
+    return inner_join_suffix(quiz(spark, d, FIRST_QUIZ), quiz(spark, d, SECOND_QUIZ), ["id"])
 
 
-MERGED_CTE = GRADES_CTE + (f", qx AS ({quiz_sql('click')}), qy AS ({quiz_sql('view')}), "
+MERGED_CTE = GRADES_CTE + (f", qx AS ({quiz_sql(FIRST_QUIZ)}), qy AS ({quiz_sql(SECOND_QUIZ)}), "
                            f"m AS (SELECT qx.id, qx.quiz AS quiz_x, qx.time AS time_x, qx.{GQ} AS \"Grade/100_x\", "
                            f"qy.quiz AS quiz_y, qy.time AS time_y, qy.{GQ} AS \"Grade/100_y\" FROM qx JOIN qy ON qx.id = qy.id)")
 

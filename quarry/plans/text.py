@@ -176,7 +176,7 @@ def q_set_difference(spark, d):
     " SELECT a.word, b.word AS context, count(*) AS n FROM ct a CROSS JOIN (VALUES (-2), (-1), (1), (2)) o(o) "
     "JOIN ct b ON a.doc_id = b.doc_id AND b.pos = a.pos + o.o GROUP BY 1, 2"))
 def q_context_pairs(spark, d):
-    return rel.context_pairs(corpus_tokens(spark, d), 2).groupBy("word", "context").agg(F.count(F.lit(1)).alias("n"))
+    return rel.context_pair_counts(corpus(spark, d), 2)
 
 
 # ------------------------------------------------------------------ lexicons (FIX-11) and classification

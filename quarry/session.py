@@ -3,8 +3,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -57,3 +58,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for intermediate tables, placed next to the checkpoint directory (shared storage)."""
     base = ensure_checkpoint_dir(spark)
     return f"{base.rstrip('/')}/quarry-tables/{name}"
+
+
+class Scratch:
+    """Tables of one run, written to a folder of its own in shared storage and read back, so that lineage ends and any
+    executor can be lost.  Superseded tables are dropped on the way, the rest when the run ends; results stay."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.base = spark, scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+        self.tables: set[str] = set()
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{self.base}/{name}")
+        self.tables.add(name)
+        return self.spark.read.schema(df.schema).parquet(f"{self.base}/{name}")
+
+    def drop(self, *names: str) -> None:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for name in self.tables.intersection(names):
+            folder = path(f"{self.base}/{name}")
+            folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+            self.tables.discard(name)
+
+    def finish(self, *results: str) -> None:
+        self.drop(*(self.tables - set(results)))
