@@ -45,6 +45,13 @@ def with_row_key(df: DataFrame) -> DataFrame:
     return df.select("*", meta["file_path"].alias(FILE), meta["row_index"].alias(POS))
 
 
+def with_plain_names(docs: DataFrame, *names: str) -> tuple:
+    """``docs`` with columns c0, c1, ... and the new names of ``names``, so that no column clashes with those added on the way;
+    ``toDF(*docs.columns)`` gives the names back."""
+    plain = [f"c{j}" for j in range(len(docs.columns))]
+    return docs.toDF(*plain), *[plain[docs.columns.index(n)] for n in names]
+
+
 def text_column(df: DataFrame, text: str) -> Column:
     """The text as a string, null as empty."""
     return F.coalesce(df[text].cast("string"), F.lit(""))

@@ -1,31 +1,39 @@
 """Toxicity scores from the nearest labelled examples by exact TF-IDF cosine over a block-max inverted index.
 
-At most ``max_examples`` labelled documents (those with the smallest hash) are the examples, and every word of theirs is
-indexed.  Document frequencies are counted over all documents, for all words.  A word weighs its TF-IDF times its
-association with the label (the phi coefficient among the examples) plus ``FLOOR``, so no word is left out; a document's
-norm covers all its words, also those that no example holds.  Example vectors are sorted and dealt to blocks of
-``BLOCK``; a word's postings lie block by block, each with its largest weight.  The sum of a document's weights times
-these maxima bounds its cosine with every example of a block, so blocks are opened from the highest bound on and the
-search ends, exactly, when the next bound is below the k-th best cosine.  Neighbours vote with weight 1 / (0.1 +
-distance), pulled to the base rate, and the vote is calibrated by a logistic curve fitted on examples that vote without
-themselves.  Only the text is an input of a score.
-
-A word in no example doesn't change the order of the neighbours, only the norm: it leaves the search as a row, meets its
-document frequency in a join, and the sum of its squares scales the cosines before the vote.
+At most ``max_examples`` labelled documents (those with the smallest hash) are the examples; the classifier with its
+vocabulary and weights is learnt from them, in one task.  A word weighs its TF-IDF, by its document frequency among the
+examples, times its association with the label (the phi coefficient) plus ``FLOOR``, so no word is left out; a word in no
+example weighs as one of frequency 0, and a document's norm covers all its words.  Example vectors are sorted and dealt to
+blocks of ``BLOCK``; a word's postings lie block by block, each with its largest weight.  The sum of a document's weights
+times these maxima bounds its cosine with every example of a block, so blocks are opened from the highest bound on and the
+search ends, exactly, when the next bound is below the k-th best cosine.  Words that a sixth of the examples hold have a
+dense matrix beside their postings: their part of the cosines of many documents is one matrix product.  Neighbours vote
+with weight 1 / (0.1 + distance), pulled to the base rate, and the vote is calibrated by a logistic curve fitted on
+examples that vote without themselves.  Only the text is an input of a score.
 """
 from __future__ import annotations
 
+import ctypes
+import gc
+import pickle
 import re
-from dataclasses import dataclass
+from collections import Counter
+from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import FILE, POS, keep_rows, materialize, text_column, with_row_key
+from quarry.llm.common import FILE, POS, keep_rows, materialize, text_column, with_plain_names, with_row_key
 
 BLOCK, PULL, CALIBRATION, FLOOR = 128, 0.5, 4000, 0.01
+#: A word is dense from this share of the examples on; documents whose dense parts are one product.
+DENSE, TOGETHER = 1 / 6, 128
+#: Bytes of the index that travel in a row.
+PIECE = 1 << 22
 _WORD = re.compile(r"\w+")
 
 
@@ -50,6 +58,9 @@ class Index:
     blank: float  # base rate among examples without any vocabulary word
     curve: tuple[float, float] = (1.0, 0.0)
     k: int = 25
+    other: float = 0.0  # weight of a word in no example
+    column: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))  # column of each word in the dense matrix, -1 for none
+    dense: np.ndarray = field(default_factory=lambda: np.empty((0, 0)))  # (dense word, place)
 
     @property
     def blocks(self) -> np.ndarray:
@@ -68,33 +79,48 @@ class Index:
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         return unit(term_counts(text, self.vocab), self.idf)
 
-    def bounds(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    def partial(self, docs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """The dense words' part of the cosines (document, place)."""
+        q = np.zeros((len(docs), len(self.dense)))
+        for row, (terms, weights) in zip(q, docs):
+            at = self.column[terms]
+            row[at[at >= 0]] = weights[at >= 0]
+        return q @ self.dense
+
+    def bounds(self, terms: np.ndarray, weights: np.ndarray, partial: np.ndarray) -> np.ndarray:
         """Upper bound of the cosine with any example of each block."""
-        e, n = _ranges(self.first[terms], self.first[terms + 1])
-        return np.bincount(self.block[e], np.repeat(weights, n) * self.most[e], self.n_blocks) * (1 + 1e-12)
+        rare = self.column[terms] < 0
+        e, n = _ranges(self.first[terms[rare]], self.first[terms[rare] + 1])
+        return (partial.reshape(-1, BLOCK).max(axis=1) + np.bincount(self.block[e], np.repeat(weights[rare], n) * self.most[e], self.n_blocks)) * (1 + 1e-12)
 
-    def neighbours(self, terms: np.ndarray, weights: np.ndarray, bound: np.ndarray, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
+    def neighbours(self, terms: np.ndarray, weights: np.ndarray, bound: np.ndarray, skip: int = -1, partial: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Places and cosines of the k nearest examples with a cosine above 0: highest first, ties to the lower place."""
+        partial = self.partial([(terms, weights)])[0] if partial is None else partial
         at, cos = np.empty(0, np.int64), np.empty(0)
-        entries, n = _ranges(self.first[terms], self.first[terms + 1])
-        share, order, done, step = np.repeat(weights, n), np.argsort(-bound, kind="stable"), 0, 4
+        rare = self.column[terms] < 0
+        terms, weights = terms[rare], weights[rare]
+        floor = float(np.partition(partial, -self.k - 1)[-self.k - 1]) - 1e-12 if len(partial) > self.k else 0.0  # the rest of a cosine isn't negative
+        order, done, step = np.argsort(-bound, kind="stable"), 0, 4
         while done < len(order):
-            least = cos[-1] - 1e-12 if len(cos) == self.k else 0.0
+            least = max(floor, cos[-1] - 1e-12) if len(cos) == self.k else floor
             part = order[done:done + step]
             part = part[(bound[part] > 0) & (bound[part] >= least)]
             if not len(part):
                 break
-            if done and 4 * np.count_nonzero(bound >= least) > self.n_blocks:  # many blocks: whole posting lists are faster
+            if 4 * np.count_nonzero(bound >= least) > self.n_blocks:  # many blocks: whole posting lists are faster
                 at, cos, step = at[:0], cos[:0], len(order)
                 p, n = _ranges(self.begin[self.first[terms]], self.begin[self.first[terms + 1]])
-                c = np.bincount(self.places[p], np.repeat(weights, n) * self.held[p], self.n_blocks * BLOCK)
+                c = np.bincount(self.places[p], np.repeat(weights, n) * self.held[p], self.n_blocks * BLOCK) + partial
+                place = np.flatnonzero((c > 0) & (c >= least))
             else:
+                entries, n = _ranges(self.first[terms], self.first[terms + 1])
                 opened = np.zeros(self.n_blocks, dtype=bool)
                 opened[part] = True
                 mine = opened[self.block[entries]]
-                p, n = _ranges(self.begin[entries[mine]], self.begin[entries[mine] + 1])
-                c = np.bincount(self.places[p], np.repeat(share[mine], n) * self.held[p], self.n_blocks * BLOCK)
-            place = np.flatnonzero(c > max(0.0, least))
+                p, m = _ranges(self.begin[entries[mine]], self.begin[entries[mine] + 1])
+                c = np.bincount(self.places[p], np.repeat(np.repeat(weights, n)[mine], m) * self.held[p], self.n_blocks * BLOCK) + partial
+                place = (part[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+                place = place[(c[place] > 0) & (c[place] >= least)]
             place = place[place != skip]
             at, cos = np.concatenate((at, place)), np.concatenate((cos, c[place]))
             if len(at) > 4 * self.k:  # what is below the k-th can't come back; ties stay
@@ -104,22 +130,25 @@ class Index:
             at, cos, done, step = at[o], cos[o], done + step, step * 4
         return at, cos
 
-    def search(self, text: str | None) -> tuple[list[int], list[float], float, list[tuple[str, int]]]:
-        """Places and cosines of the nearest examples by the vocabulary's words alone, the square of these words' norm,
-        and the text's other words with their counts (none where nothing is near)."""
-        known, other = {}, {}
-        for w in words(text):
-            i = self.vocab.get(w)
-            if i is None:
-                other[w] = other.get(w, 0) + 1
-            else:
-                known[i] = known.get(i, 0) + 1
-        terms, weights = unit(known, self.idf)
-        if not len(terms):
-            return [], [], 0.0, []
-        at, cos = self.neighbours(terms, weights, self.bounds(terms, weights))
-        raw = (1 + np.log([known[t] for t in terms.tolist()])) * self.idf[terms]
-        return at.tolist(), cos.tolist(), float(raw @ raw), list(other.items()) if len(at) else []
+    def weigh(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """Term numbers and weights of the vocabulary's words of a text; the norm is that of all its words."""
+        n = Counter(words(text))
+        terms = np.fromiter(map(self.vocab.get, n, repeat(-1)), dtype=np.int64, count=len(n))
+        count = 1 + np.log(np.fromiter(n.values(), dtype=np.float64, count=len(n)))
+        order = np.argsort(terms)
+        order, others = order[terms[order] >= 0], count[terms < 0] * self.other
+        terms = terms[order]
+        raw = count[order] * self.idf[terms]
+        return terms, raw / np.sqrt(raw @ raw + others @ others) if len(terms) else raw
+
+    def search(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Places and cosines of the nearest examples of each text."""
+        out = []
+        for lo in range(0, len(texts), TOGETHER):
+            docs = [self.weigh(t) for t in texts[lo:lo + TOGETHER]]
+            for (terms, weights), partial in zip(docs, self.partial(docs)):
+                out.append(self.neighbours(terms, weights, self.bounds(terms, weights, partial), partial=partial) if len(terms) else (terms, weights))
+        return out
 
     def vote(self, at: np.ndarray, cos: np.ndarray) -> float:
         if not len(at):
@@ -153,16 +182,17 @@ def term_counts(text: str | None, vocab: dict[str, int]) -> dict[int, int]:
     return tf
 
 
-def unit(tf: dict[int, int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted term numbers and unit-length TF-IDF weights."""
-    if not tf:
+def unit(tf: dict[int, int] | np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted term numbers and unit-length TF-IDF weights of term counts, a dict or rows (term, count)."""
+    if not len(tf):
         return np.empty(0, np.int64), np.empty(0)
-    terms = np.array(sorted(tf), dtype=np.int64)
-    w = (1 + np.log([tf[t] for t in terms])) * idf[terms]
+    pairs = np.array(list(tf.items())) if isinstance(tf, dict) else tf
+    terms, n = pairs[np.argsort(pairs[:, 0])].T.astype(np.int64)
+    w = (1 + np.log(n)) * idf[terms]
     return terms, w / np.sqrt(w @ w)
 
 
-def build_index(vocab: dict[str, int], idf: np.ndarray, counts: list[dict[int, int]], ids: list[int], labels: list[int], k: int) -> Index:
+def build_index(vocab: dict[str, int], idf: np.ndarray, counts: list[dict[int, int]] | list[np.ndarray], ids: list[int], labels: list[int], k: int) -> Index:
     """Index over the examples that hold vocabulary words; calibration over the first ``CALIBRATION`` of them in hash
     order (each votes without itself)."""
     prior = float(np.mean(labels)) if len(labels) else 0.0
@@ -181,12 +211,20 @@ def build_index(vocab: dict[str, int], idf: np.ndarray, counts: list[dict[int, i
     o = np.argsort(term, kind="stable")  # by word, then place
     term, weight, places = term[o], weight[o], places[o]
     begin = np.flatnonzero(np.diff(term * max(n, 1) + places // BLOCK, prepend=-1))
+    places = places.astype(np.int32)
     idx = Index(vocab, idf, n, np.searchsorted(term[begin], np.arange(len(idf) + 1)), places[begin] // BLOCK,
                 np.maximum.reduceat(weight, begin) if len(begin) else np.empty(0), np.append(begin, len(term)), places, weight,
                 at, truth, prior, (sum(blank) + prior) / (len(blank) + 1), k=k)
+    size = np.diff(idx.begin[idx.first]) if len(idf) else np.zeros(0, np.int64)
+    common = np.flatnonzero(size >= max(2, DENSE * len(held)))
+    idx.column, idx.dense = np.full(len(idf), -1), np.zeros((len(common), n * BLOCK))
+    idx.column[common] = np.arange(len(common))
+    in_dense = idx.column[term] >= 0
+    idx.dense[idx.column[term[in_dense]], places[in_dense]] = weight[in_dense]
     votes, y = [], []
     for j, (t, w, _, label) in enumerate(held[:CALIBRATION]):
-        votes.append(idx.vote(*idx.neighbours(t, w, idx.bounds(t, w), skip=place[j])))
+        partial = idx.partial([(t, w)])[0]
+        votes.append(idx.vote(*idx.neighbours(t, w, idx.bounds(t, w, partial), skip=place[j], partial=partial)))
         y.append(label)
     if len(set(y)) == 2:
         idx.curve = _logistic(np.array(votes), np.array(y, dtype=float))
@@ -206,12 +244,29 @@ def _logistic(votes: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(max(beta[0], 1e-3)), float(beta[1])
 
 
-def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", max_examples: int = 8192, k: int = 25) -> tuple[Index, DataFrame]:
+def learn(texts: list[str | None], ids: list[int], y: list[int], k: int) -> Index:
+    """The classifier from labelled examples; no examples: score 0 for all."""
+    vocab: dict[str, int] = {}
+    counts, labels = [], np.array(y, dtype=np.int64)
+    for t in texts:
+        tf = Counter(words(t))
+        counts.append(np.array([(vocab.setdefault(w, len(vocab)), c) for w, c in tf.items()], dtype=np.int32).reshape(-1, 2))
+    n, pos, near, toxic = len(labels), int(labels.sum()), np.zeros(len(vocab)), np.zeros(len(vocab))
+    for tf, label in zip(counts, labels, strict=True):
+        j = tf[:, 0]
+        near[j] += 1
+        toxic[j] += label
+    spread = near * (n - near) * max(pos * (n - pos), 1)  # phi coefficient of the 2 x 2 table of word and label
+    phi = np.abs(toxic * n - near * pos) / np.sqrt(np.maximum(spread, 1.0))
+    index = build_index(vocab, (np.log((1 + n) / (1 + near)) + 1) * (phi + FLOOR), counts, ids, labels.tolist(), k)
+    index.other = float((np.log(1 + n) + 1) * FLOOR)
+    return index
+
+
+def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", max_examples: int = 8192, k: int = 25) -> Index:
     """Learns from rows of ``labels`` whose crc32(doc_id as text) mod 5 isn't 0 and whose label is 0 or 1; a doc_id
     with both labels counts as 1, a doc_id of several documents by its smallest text.  No such rows: score 0 for all.
-
-    Also returns the weight of each word of ``docs`` that holds for words in no example (w, idf)."""
-    spark = docs.sparkSession
+    At most ``max_examples`` rows are learnt from, in one task."""
     lab = (labels.select(F.col(doc_id).cast("long").alias("i"), F.col(label).cast("int").alias("y")).filter("i IS NOT NULL AND y IN (0, 1)")
            .filter(F.crc32(F.col("i").cast("string")) % 5 != 0).groupBy("i").agg(F.max("y").alias("y")))
     near = docs.select(F.col(doc_id).cast("long").alias("i")).filter("i IS NOT NULL").distinct()
@@ -220,76 +275,48 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     picked = docs.select(F.col(doc_id).cast("long").alias("i"), text_column(docs, text).alias("t")).join(F.broadcast(chosen), "i")
     picked = materialize(picked.groupBy("i", "y").agg(F.min("t").alias("t")), "toxic-examples")
 
-    rows = picked.orderBy(F.xxhash64("i"), "i").toArrow()  # at most max_examples rows, learnt from on the driver
-    if not rows.num_rows:
-        return build_index({}, np.zeros(0), [], [], [], k), spark.createDataFrame([], "w string, idf double")
-    total, seen = docs.count(), materialize(_frequencies(docs, text), "toxic-words")
-    vocab: dict[str, int] = {}
-    counts, y = [], np.array(rows["y"].to_pylist())
-    for t in rows["t"]:
-        tf: dict[int, int] = {}
-        for w in words(t.as_py()):
-            j = vocab.setdefault(w, len(vocab))
-            tf[j] = tf.get(j, 0) + 1
-        counts.append(tf)
-
-    @F.pandas_udf("array<string>")
-    def distinct_words(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: sorted(set(words(t))))
-
-    here = picked.select(F.explode(distinct_words("t")).alias("w")).distinct()
-    found = seen.join(here, "w").toArrow()  # the words of the examples
-    df, n, pos, near, toxic = np.zeros(len(vocab)), len(y), int(y.sum()), np.zeros(len(vocab)), np.zeros(len(vocab))
-    df[[vocab[w] for w in found["w"].to_pylist()]] = found["df"].to_numpy()
-    for tf, label in zip(counts, y, strict=True):
-        j = list(tf)
-        near[j] += 1
-        toxic[j] += label
-    spread = near * (n - near) * max(pos * (n - pos), 1)  # phi coefficient of the 2 x 2 table of word and label
-    phi = np.abs(toxic * n - near * pos) / np.sqrt(np.maximum(spread, 1.0))
-    index = build_index(vocab, (np.log((1 + total) / (1 + df)) + 1) * (phi + FLOOR), counts, rows["i"].to_pylist(), y.tolist(), k)
-    return index, seen.select("w", ((F.log((1 + F.lit(total)) / (1 + F.col("df"))) + 1) * FLOOR).alias("idf"))
+    def learnt(parts):
+        rows = sorted(((h, i, y, t) for p in parts for h, i, y, t in zip(p["h"], p["i"], p["y"], p["t"])), key=lambda r: r[:2])
+        data = pickle.dumps(learn([t for *_, t in rows], [int(i) for _, i, _, _ in rows], [int(y) for *_, y, _ in rows], k), protocol=5)
+        del rows
+        _give_back()
+        for at in range(0, len(data), PIECE):
+            yield pd.DataFrame({"at": [at], "piece": [data[at:at + PIECE]]})
 
+    made = materialize(picked.select(F.xxhash64("i").alias("h"), "i", "y", "t").coalesce(1).mapInPandas(learnt, "at long, piece binary"), "toxic-index")
+    pieces = made.orderBy("at").toArrow()["piece"]
+    return pickle.loads(b"".join(x.as_py() for x in pieces)) if len(pieces) else learn([], [], [], k)
 
-def _frequencies(docs: DataFrame, text: str) -> DataFrame:
-    """Documents that hold each word (w, df), counted in each partition before the shuffle."""
-    def counted(batches):
-        seen: dict[str, int] = {}
-        for b in batches:
-            for t in b["t"]:
-                for w in set(words(t)):
-                    seen[w] = seen.get(w, 0) + 1
-            if len(seen) > 400_000:
-                yield pd.DataFrame({"w": list(seen), "n": list(seen.values())})
-                seen = {}
-        yield pd.DataFrame({"w": list(seen), "n": list(seen.values())}).astype({"w": object, "n": "int64"})
 
-    return docs.select(text_column(docs, text).alias("t")).mapInPandas(counted, "w string, n long").groupBy("w").agg(F.sum("n").alias("df"))
+def _give_back() -> None:
+    """Freed memory goes back to the system: a worker that has learnt is used again for scoring."""
+    gc.collect()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # another C library
+        pass
 
 
-def scored(docs: DataFrame, keep: dict, index: Index, weights: DataFrame, text: str = "text") -> DataFrame:
+def scored(docs: DataFrame, keep: dict, index: Index, text: str = "text") -> DataFrame:
     """The columns ``keep`` (name: column) of each row, and ``s``: score, evidence, cosines."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(index)
-
-    @F.pandas_udf("at array<int>, cos array<double>, square double, other array<struct<w:string,n:int>>")
-    def search(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([shared.value.search(t) for t in texts], columns=["at", "cos", "square", "other"])
+    shared = docs.sparkSession.sparkContext.broadcast(index)  # bounded by max_examples
 
-    found = docs.select(*[c.alias(name) for name, c in keep.items()], search(text_column(docs, text)).alias("f"))
-    found = materialize(found.select(F.monotonically_increasing_id().alias("rid"), *keep, "f.*"), "toxic-near")
-    others = found.select("rid", F.explode("other").alias("o")).select("rid", "o.w", "o.n").join(weights, "w")
-    others = others.groupBy("rid").agg(F.sum(F.pow((1 + F.log("n")) * F.col("idf"), 2)).alias("rest"))
-    small = spark.sparkContext.broadcast(Index({}, np.zeros(0), 0, *[np.empty(0)] * 6, index.ids, index.labels, index.prior, index.blank, index.curve, index.k))
+    rows = docs.select(*[c.alias(name) for name, c in keep.items()], text_column(docs, text).alias("__text"))
+    names = [*keep, "s"]
+    kind = pa.struct([("score", pa.float64()), ("evidence", pa.list_(pa.int64())), ("cosines", pa.list_(pa.float64()))])
 
-    @F.pandas_udf("score double, evidence array<long>, cosines array<double>")
-    def judge(at: pd.Series, cos: pd.Series, scale: pd.Series) -> pd.DataFrame:
-        out = [small.value.judge(np.asarray(a, dtype=np.int64), np.asarray(c, dtype=float) * x) for a, c, x in zip(at, cos, scale, strict=True)]
-        return pd.DataFrame(out, columns=["score", "evidence", "cosines"])
+    def judge(batches):
+        index = shared.value
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 2 * TOGETHER):
+                part = batch.slice(lo, 2 * TOGETHER)
+                texts = part.column(part.num_columns - 1).to_pylist()
+                once = list(dict.fromkeys(texts))  # copies are scored once
+                found = {t: dict(zip(kind.names, index.judge(at, cos))) for t, (at, cos) in zip(once, index.search(once))}
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array([found[t] for t in texts], kind)], names=names)
 
-    rest = F.coalesce("rest", F.lit(0.0))
-    scale = F.when(F.col("square") > 0, F.sqrt(F.col("square") / (F.col("square") + rest))).otherwise(1.0)
-    return found.join(others, "rid", "left").select(*keep, judge("at", "cos", scale).alias("s"))
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]]
+    return rows.mapInArrow(judge, ", ".join([*fields, "s struct<score:double,evidence:array<bigint>,cosines:array<double>>"]))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
@@ -301,15 +328,14 @@ def toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
     tables: no rows without documents, score 0 without labels."""
     i = F.col(doc_id)
     held_out = F.coalesce(F.crc32(i.cast("string")) % 5 == 0, F.lit(False))
-    out = scored(docs, {"doc_id": i, "held_out": held_out}, *fit(docs, labels, doc_id, text, **options), text)
+    out = scored(docs, {"doc_id": i, "held_out": held_out}, fit(docs, labels, doc_id, text, **options), text)
     return out.select("doc_id", "held_out", "s.score", (F.col("s.score") >= 0.5).cast("int").alias("predicted"), "s.evidence", "s.cosines")
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs`` without the rows that are predicted toxic, all columns kept."""
-    plain = [f"c{j}" for j in range(len(docs.columns))]  # the key's names may be columns of docs
-    keyed = with_row_key(docs.toDF(*plain))
-    text = plain[docs.columns.index(text)]
-    index, weights = fit(keyed.withColumnRenamed(plain[docs.columns.index(doc_id)], doc_id), labels, doc_id, text, **options)
-    toxic = scored(keyed, {FILE: keyed[FILE], POS: keyed[POS]}, index, weights, text).filter("s.score >= 0.5")
+    plain, i, text = with_plain_names(docs, doc_id, text)
+    keyed = with_row_key(plain)
+    index = fit(keyed.withColumnRenamed(i, doc_id), labels, doc_id, text, **options)
+    toxic = scored(keyed, {FILE: keyed[FILE], POS: keyed[POS]}, index, text).filter("s.score >= 0.5")
     return keep_rows(keyed, toxic).toDF(*docs.columns)

@@ -34,7 +34,12 @@ def test_search_is_exact():
     dense = idx.blocks.transpose(0, 2, 1).reshape(n * tk.BLOCK, T)
     for _, text, _ in corpus(60, seed=9) + [(0, "grub", 0), (0, "none here", 0), (0, data[5][1], 0)]:
         t, w = idx.vector(text)
-        at, cos = idx.neighbours(t, w, w @ idx.block_max[t] * (1 + 1e-12)) if len(t) else (np.empty(0, int), np.empty(0))
+        bound = w @ idx.block_max[t] * (1 + 1e-12) if len(t) else None
+        at, cos = idx.neighbours(t, w, bound) if len(t) else (np.empty(0, int), np.empty(0))
+        if len(t):
+            part = idx.partial([(t, w)])[0]
+            tight = idx.neighbours(t, w, idx.bounds(t, w, part), partial=part)
+            assert tight[0].tolist() == at.tolist() and (idx.bounds(t, w, part) <= bound + 1e-12).all()
         q = np.zeros(T)
         q[t] = w
         c = dense @ q
@@ -80,17 +85,15 @@ def test_cosines_cover_every_word(spark):
     texts = dict([(i, t) for i, t, _ in data] + extra)
     train = [(i, y) for i, _, y in data if zlib.crc32(str(i).encode()) % 5]
     n, pos, df, near, toxic = len(train), sum(y for _, y in train), {}, {}, {}
-    for t in texts.values():
-        for w in set(tk.words(t)):
-            df[w] = df.get(w, 0) + 1
     for i, y in train:
         for w in set(tk.words(texts[i])):
-            near[w], toxic[w] = near.get(w, 0) + 1, toxic.get(w, 0) + y
+            df[w] = near[w] = near.get(w, 0) + 1
+            toxic[w] = toxic.get(w, 0) + y
 
     def vector(t):
         tf = {w: tk.words(t).count(w) for w in set(tk.words(t))}
         phi = {w: abs(toxic[w] * n - near[w] * pos) / np.sqrt(max(near[w] * (n - near[w]) * pos * (n - pos), 1)) if w in near else 0 for w in tf}
-        v = {w: (1 + np.log(c)) * (np.log((1 + len(texts)) / (1 + df[w])) + 1) * (phi[w] + tk.FLOOR) for w, c in tf.items()}
+        v = {w: (1 + np.log(c)) * (np.log((1 + n) / (1 + df.get(w, 0))) + 1) * (phi[w] + tk.FLOOR) for w, c in tf.items()}
         norm = np.sqrt(sum(x * x for x in v.values()))
         return {w: x / norm for w, x in v.items()}
 
