@@ -1,5 +1,5 @@
 """Budgeted bid allocation (online bipartite matching): greedy, balance and MSVV choices, and a
-round-based sequential allocator.
+round-based allocator.
 
 Inputs: ``bids(advertiser, keyword, bid)``, ``budgets(advertiser, budget)`` (remaining), optional
 ``spent(advertiser, spent)``, ``arrivals(query_id, keyword, arrival)``.  A bidder is eligible for a
@@ -8,12 +8,13 @@ query when its remaining budget is strictly greater than its bid.  Ties go to th
 from __future__ import annotations
 
 import math
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.operators.sequence import dense_index
-from quarry.session import ensure_checkpoint_dir
+from quarry.session import Scratch
 
 
 def _score(rule: str):
@@ -49,97 +50,52 @@ def best_bid(arrivals: DataFrame, bids: DataFrame, budgets: DataFrame, rule: str
         "query_id", "keyword", "advertiser", "bid")
 
 
-def _allocate_round(rule: str):
-    import numpy as np
-    import pandas as pd
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        q = pdf[pdf["kind"] == 0].sort_values("arrival")
-        c = pdf[pdf["kind"] == 1]
-        st = pdf[pdf["kind"] == 2]
-        remaining = dict(zip(st["advertiser"].astype("int64"), st["budget"].astype(float)))
-        spent = dict(zip(st["advertiser"].astype("int64"), st["spent"].astype(float)))
-        by_kw = {k: list(zip(g["advertiser"].astype("int64"), g["bid"].astype(float)))
-                 for k, g in c.groupby("keyword")}
-        out = []
-        for qid, kw, arr in zip(q["query_id"].astype("int64"), q["keyword"].astype("int64"), q["arrival"].astype("int64")):
-            best, best_key = None, None
-            for adv, bid in by_kw.get(kw, ()):
-                rem = remaining.get(adv, 0.0)
-                if not rem > bid:
-                    continue
-                if rule == "greedy":
-                    score = bid
-                elif rule == "balance":
-                    score = rem
-                else:
-                    sp = spent.get(adv, 0.0)
-                    score = bid * (1 - np.exp(sp / (rem + sp) - 1))
-                key = (score, -adv)
-                if best_key is None or key > best_key:
-                    best, best_key = (adv, bid), key
-            if best is not None:
-                adv, bid = best
-                remaining[adv] -= bid
-                spent[adv] = spent.get(adv, 0.0) + bid
-                out.append((qid, adv, bid, arr))
-        return pd.DataFrame(out, columns=["query_id", "advertiser", "bid", "arrival"]).astype(
-            {"query_id": "int64", "advertiser": "int64", "bid": "float64", "arrival": "int64"})
-    return run
-
-
 def budgeted_allocation_rounds(arrivals: DataFrame, bids: DataFrame, budgets: DataFrame, rule: str = "greedy",
                                round_size: int = 10_000, order: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """Sequential (online) allocation: arrivals in order, each to its best eligible bidder, budgets
-    updated after every query — exactly the one-query-at-a-time algorithm.
+    """Online allocation in rounds of ``round_size`` arrivals.  Within a round budgets are frozen: every query takes the best
+    eligible bidder of its keyword (``best_bidder_per_keyword``), and a running sum over each advertiser's queries in arrival
+    order cuts off those that its budget doesn't cover any more; they try again in a sub-round with the budgets that are
+    left, until none has an eligible bidder.  With ``round_size=1`` this is the one-query-at-a-time algorithm; larger
+    rounds differ from it only in that a choice doesn't see what its own sub-round spends, and nobody overspends.
 
-    Arrivals are numbered in order and cut into rounds of ``round_size``.  A round is one bounded
-    group: its queries, the bids on the keywords it contains and the budgets of those advertisers
-    (never the whole bid table or the whole arrival stream); it is processed in arrival order inside
-    the task, and the budget table is updated from the round's winners before the next round.
+    The choice of a keyword is a grouped ``max_by``; a running sum sees one advertiser's queries of one sub-round, at most
+    ``round_size`` rows; budgets are a written table between sub-rounds.
 
     Returns ``(assignments(query_id, advertiser, bid, arrival), budgets(advertiser, budget, spent))``."""
-    spark = arrivals.sparkSession
-    ensure_checkpoint_dir(spark)
+    spark, scratch = arrivals.sparkSession, Scratch(arrivals.sparkSession, "allocation")
     order = order or ["query_id"]
-    arr = dense_index(arrivals.select("query_id", "keyword", *[c for c in order if c not in ("query_id", "keyword")]),
-                      order, "arrival")
-    arr = arr.withColumn("round", F.floor(F.col("arrival") / round_size)).select("query_id", "keyword", "arrival", "round")
-    arr = arr.checkpoint()
+    arr = dense_index(arrivals.select("query_id", "keyword", *[c for c in order if c not in ("query_id", "keyword")]), order, "arrival")
+    arr = scratch.write(arr.select("query_id", "keyword", "arrival", F.floor(F.col("arrival") / round_size).alias("round")), "arrivals")
     n_rounds = math.ceil(arr.count() / round_size)
-    state = budgets.select("advertiser", F.col("budget").cast("double").alias("budget"),
-                           F.lit(0.0).alias("spent")).checkpoint()
-    schema = "query_id long, advertiser long, bid double, arrival long"
-    rows_schema = ("kind int, query_id long, keyword long, arrival long, advertiser long, bid double, "
-                   "budget double, spent double")
-    done = []
+    offers = scratch.write(bids.select("advertiser", "keyword", "bid"), "offers")
+    state = scratch.write(budgets.select("advertiser", F.col("budget").cast("double").alias("budget"), F.lit(0.0).alias("spent")), "state-0")
+    before = Window.partitionBy("advertiser").orderBy("arrival").rowsBetween(Window.unboundedPreceding, -1)
+    step, results = 0, []
     for r in range(n_rounds):
-        q = arr.filter(F.col("round") == r)
-        kws = q.select("keyword").distinct()
-        cand = bids.join(kws, "keyword", "left_semi")
-        advs = cand.select("advertiser").distinct()
-        st = state.join(advs, "advertiser", "left_semi")
-        rows = (q.select(F.lit(0).alias("kind"), "query_id", F.col("keyword").cast("long"), "arrival",
-                         F.lit(None).cast("long").alias("advertiser"), F.lit(None).cast("double").alias("bid"),
-                         F.lit(None).cast("double").alias("budget"), F.lit(None).cast("double").alias("spent"))
-                .unionByName(cand.select(F.lit(1).alias("kind"), F.lit(None).cast("long").alias("query_id"),
-                                         F.col("keyword").cast("long"), F.lit(None).cast("long").alias("arrival"),
-                                         F.col("advertiser").cast("long"), F.col("bid").cast("double"),
-                                         F.lit(None).cast("double").alias("budget"), F.lit(None).cast("double").alias("spent")))
-                .unionByName(st.select(F.lit(2).alias("kind"), F.lit(None).cast("long").alias("query_id"),
-                                       F.lit(None).cast("long").alias("keyword"), F.lit(None).cast("long").alias("arrival"),
-                                       F.col("advertiser").cast("long"), F.lit(None).cast("double").alias("bid"),
-                                       "budget", "spent")))
-        assigned = rows.groupBy(F.lit(r).alias("__round")).applyInPandas(_allocate_round(rule), schema).checkpoint()
-        add = assigned.groupBy("advertiser").agg(F.sum("bid").alias("__add"))
-        state = (state.join(add, "advertiser", "left")
-                 .select("advertiser", (F.col("budget") - F.coalesce("__add", F.lit(0.0))).alias("budget"),
-                         (F.col("spent") + F.coalesce("__add", F.lit(0.0))).alias("spent"))).checkpoint()
-        done.append(assigned)
-    out = done[0]
-    for t in done[1:]:
-        out = out.unionByName(t)
-    del rows_schema
+        pending, last = arr.filter(F.col("round") == r).drop("round"), None
+        while True:
+            step += 1
+            best = best_bidder_per_keyword(offers, state.select("advertiser", "budget"), rule, state.select("advertiser", "spent"))
+            tried = pending.join(best, "keyword").join(state.select("advertiser", "budget"), "advertiser")
+            covered = F.col("budget") - F.coalesce(F.sum("bid").over(before), F.lit(0.0)) > F.col("bid")
+            tried = scratch.write(tried.select("query_id", "keyword", "arrival", "advertiser", "bid", covered.alias("won")), f"tried-{step}")
+            if tried.isEmpty():                                           # nobody is left who could pay
+                break
+            won = tried.filter("won")
+            results.append(won.select("query_id", "advertiser", "bid", "arrival"))
+            add = won.groupBy("advertiser").agg(F.sum("bid").alias("add"))
+            paid = F.coalesce("add", F.lit(0.0))
+            state = scratch.write(state.join(add, "advertiser", "left").select("advertiser", (F.col("budget") - paid).alias("budget"), (F.col("spent") + paid).alias("spent")), f"state-{step}")
+            scratch.drop(f"state-{step - 1}")
+            pending = tried.filter("NOT won").select("query_id", "keyword", "arrival")
+            if pending.isEmpty():
+                break
+    if not results:
+        none = spark.createDataFrame([], "query_id long, advertiser long, bid double, arrival long")
+        return none, state
+    out = scratch.write(reduce(DataFrame.unionByName, results), "assignments")
+    state = scratch.write(state, "state")
+    scratch.finish("assignments", "state")
     return out, state
 
 

@@ -1,5 +1,6 @@
 """Closed-form, golden and property checks for operators SQL cannot express."""
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -100,9 +101,47 @@ def test_allocation_matches_hand_trace(spark):
     # greedy by hand: q0->1 (1.2>0.5, left 0.7); q1->1 (0.7>0.5, left 0.2); q2->2 (0.4, left 0.6);
     # q3: 2 has 0.6 < 0.9, 3 has 1.0 > 0.9 -> 3; q4: nobody; q5: 1 has 0.2, 2 has 0.6 > 0.4 -> 2
     want = {0: 1, 1: 1, 2: 2, 3: 3, 5: 2}
-    for size in (1, 2, 100):
-        got, _ = al.budgeted_allocation_rounds(arr, bids, budgets, "greedy", round_size=size)
-        assert {r["query_id"]: r["advertiser"] for r in got.collect()} == want
+    got, _ = al.budgeted_allocation_rounds(arr, bids, budgets, "greedy", round_size=1)
+    assert {r["query_id"]: r["advertiser"] for r in got.collect()} == want
+    # one round: 1, 1 and 2 take q0, q1 and q3 by the frozen budgets (1.2, 1.0, 1.0); then 3 takes q4, and nobody can pay q2 and q5
+    got, left = al.budgeted_allocation_rounds(arr, bids, budgets, "greedy", round_size=100)
+    assert {r["query_id"]: r["advertiser"] for r in got.collect()} == {0: 1, 1: 1, 3: 2, 4: 3}
+    assert {r["advertiser"]: round(r["budget"], 9) for r in left.collect()} == {1: 0.2, 2: 0.1, 3: 0.1}
+
+
+def sequential(arrivals, bids, budgets, rule):
+    left, spent, out = dict(budgets), dict.fromkeys(dict(budgets), 0.0), {}
+    for q, k in arrivals:
+        best = None
+        for a, kw, bid in bids:
+            if kw == k and left[a] > bid:
+                score = bid if rule == "greedy" else left[a] if rule == "balance" else bid * (1 - math.exp(spent[a] / (left[a] + spent[a]) - 1))
+                best = max(best or (-1, 0, 0, 0), (score, -a, a, bid))
+        if best:
+            out[q] = best[2]
+            left[best[2]] -= best[3]
+            spent[best[2]] += best[3]
+    return out
+
+
+@pytest.mark.parametrize("rule", ["greedy", "balance", "msvv"])
+def test_allocation_rounds(spark, rule):
+    rnd = random.Random(3)
+    bids = [(a, k, rnd.choice([0.25, 0.5, 0.75, 1.0])) for a in range(6) for k in range(4) if rnd.random() < 0.7]
+    budgets = [(a, rnd.choice([0.9, 1.6, 3.3])) for a in range(6)]
+    arrivals = [(i, rnd.randrange(5)) for i in range(7)]
+    frames = [spark.createDataFrame(x, t) for x, t in ((arrivals, "query_id long, keyword long"), (bids, "advertiser long, keyword long, bid double"), (budgets, "advertiser long, budget double"))]
+    got, _ = al.budgeted_allocation_rounds(*frames, rule, round_size=1)
+    assert {r["query_id"]: r["advertiser"] for r in got.collect()} == sequential(arrivals, bids, budgets, rule)
+    more = [(i, rnd.randrange(5)) for i in range(60)]
+    got, state = al.budgeted_allocation_rounds(spark.createDataFrame(more, "query_id long, keyword long"), *frames[1:], rule, round_size=25)
+    rows, left = got.collect(), {r["advertiser"]: (r["budget"], r["spent"]) for r in state.collect()}
+    assert len({r["query_id"] for r in rows}) == len(rows) and all((r["advertiser"], dict(more)[r["query_id"]], r["bid"]) in bids for r in rows)
+    for a, b in budgets:                                                   # paid what was won, never more than there was
+        paid = sum(r["bid"] for r in rows if r["advertiser"] == a)
+        assert left[a] == pytest.approx((b - paid, paid)) and paid < b
+    taken = {r["query_id"] for r in rows}
+    assert not [1 for q, k in more if q not in taken and any(kw == k and left[a][0] > bid for a, kw, bid in bids)]   # nobody could pay the others
 
 
 def test_ridge_sgd_reaches_closed_form(spark):
