@@ -33,6 +33,18 @@ def _lexicon(spark, d, quality, base):
     return spark.read.parquet(path)
 
 
+def _arrivals(spark, d):
+    """The series' stream: documents of doc_id % ``FILES`` = 0, 1, ... arrive one after another, each lot a batch."""
+    _n[0] += 1
+    base = scratch_path(spark, f"arrivals-{_n[0]}")
+    docs = table(spark, d, "documents").select("doc_id", F.col("text").alias("value"))
+    pos, neg = (_lexicon(spark, d, q, base) for q in (1, 0))
+    for lot in range(FILES):
+        docs.filter(F.col("doc_id") % FILES == lot).select("value").write.mode("append").text(f"{base}/in")
+        counts = sl.stream_lexicon_counts(spark, text_stream_source(spark, f"{base}/in"), pos, neg, f"{base}/out", f"{base}/ckpt")   # goes on where the last run stopped
+    return counts
+
+
 def _run(spark, d, which):
     base = _stream_dir(spark, d)
     stream = text_stream_source(spark, f"{base}/in", max_files_per_trigger=1)
@@ -59,12 +71,11 @@ def q_stream_running_totals(spark, d):
     return _run(spark, d, "totals").select("type", "total")
 
 
-@register("stream_count_series", "2.11", LEX_CTE + WORDS_SQL +
-          "SELECT count(*) FILTER (type = 'positive') AS positive, count(*) FILTER (type = 'negative') AS negative FROM c")
+@register("stream_count_series", "2.11", LEX_CTE + WORDS_SQL.replace("SELECT unnest(", "SELECT doc_id, unnest(", 1).replace("c AS (SELECT CASE", "c AS (SELECT doc_id, CASE", 1) +
+          f"SELECT doc_id % {FILES} AS batch_id, count(*) FILTER (type = 'positive') AS positive, count(*) FILTER (type = 'negative') AS negative FROM c GROUP BY 1")
 def q_stream_count_series(spark, d):
-    """The series summed over its batches (which texts share a batch depends on the files)."""
-    series = sl.stream_count_series(_run(spark, d, "batches"))
-    return series.agg(F.sum("positive").alias("positive"), F.sum("negative").alias("negative"))
+    """Positive and negative words per batch."""
+    return sl.stream_count_series(_arrivals(spark, d))
 
 
 @register("text_stream_source", "2.1", "SELECT unnest(string_split(text, chr(10))) AS value FROM documents")

@@ -14,14 +14,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.text import split_nonword
-from quarry.operators.textmine import classify_lexicon
+from quarry.session import Scratch
+
+
+def word_types(positive: DataFrame, negative: DataFrame) -> DataFrame:
+    """``(word, type)``: one table of both lists, positive before negative; written once, so that no batch makes it anew."""
+    p, n = positive.select("word").distinct(), negative.select("word").distinct()
+    both = p.withColumn("type", F.lit("positive")).unionByName(n.join(p, "word", "left_anti").withColumn("type", F.lit("negative")))
+    return Scratch(positive.sparkSession, "word-types").write(both, "types")
 
 
 def classified_words(stream: DataFrame, positive: DataFrame, negative: DataFrame) -> DataFrame:
-    """Streaming words with their class; oov words dropped."""
+    """Streaming words with their class, by one join; oov words dropped."""
     words = stream.select(F.explode(split_nonword("value")).alias("word"))
-    c = classify_lexicon(words, positive, negative)
-    return c.filter(F.col("type") != "oov")
+    return words.join(word_types(positive, negative), "word")
 
 
 def stream_lexicon_counts(spark: SparkSession, stream: DataFrame, positive: DataFrame, negative: DataFrame,

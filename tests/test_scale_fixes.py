@@ -105,3 +105,21 @@ def test_rerun_batch_replaces_its_rows(spark, tmp_path):
         stream = files.text_stream_source(spark, str(tmp_path / "in"))
         got = sl.stream_lexicon_counts(spark, stream, pos, neg, str(tmp_path / "out"), str(tmp_path / f"ck{run}"))
         assert {r.type: r["count"] for r in got.groupBy("type").agg(F.sum("count").alias("count")).collect()} == {"positive": 3, "negative": 1}
+
+
+def test_stream_interval_run_stops_in_time(spark, tmp_path):
+    """A run by intervals with a duration: batches as they arrive, stopped after the timeout, taken up again later."""
+    import time
+
+    from quarry.sources import files
+    from quarry.streaming import lexicon as sl
+    pos, neg = (spark.createDataFrame([(w,)], "word string") for w in ("good", "bad"))
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text("good good bad other\n")
+    began = time.time()
+    run = dict(trigger={"processingTime": "1 seconds"}, timeout=12)
+    got = sl.stream_running_totals(spark, files.text_stream_source(spark, str(tmp_path / "in")), pos, neg, str(tmp_path / "out"), str(tmp_path / "ck"), **run)
+    assert {r["type"]: r["total"] for r in got.collect()} == {"positive": 2, "negative": 1} and 10 < time.time() - began < 60
+    (tmp_path / "in" / "b.txt").write_text("bad, BAD bad\n")
+    got = sl.stream_running_totals(spark, files.text_stream_source(spark, str(tmp_path / "in")), pos, neg, str(tmp_path / "out"), str(tmp_path / "ck"))
+    assert {r["type"]: r["total"] for r in got.collect()} == {"positive": 2, "negative": 3}
