@@ -92,3 +92,41 @@ def test_every_cluster_is_a_candidate(spark):
         sc = {c: 0.6 * float(u[i] @ S[c]) / (c + 1) - 0.4 * (i % 4) * c / (2 * 81.0) for c in range(11) if c != i % 11}
         b = max(sc, key=lambda c: (sc[c], -c))
         assert got[i][0] == b and got[i][1] == pytest.approx(sc[b])
+
+
+@pytest.mark.parametrize("strip", [1, 5, 64])
+def test_pruned_clusters_equal_the_full_product(spark, monkeypatch, strip):
+    """Norms fall quickly, so most clusters are skipped; the winner and its score are those of all scores, ties included."""
+    monkeypatch.setattr(community, "STRIP", strip)
+    rng = np.random.default_rng(8)
+    u = rng.normal(size=(70, 4))
+    u /= np.linalg.norm(u, axis=1)[:, None]
+    u[7] = 0                                                              # a vertex without attributes
+    S = rng.normal(size=(60, 4)) * (0.8 ** np.arange(60))[:, None]
+    S[20] = S[10]                                                         # equal centroids
+    n, d = np.ones(60), np.zeros(60)
+    d[::7] = 3
+    verts = spark.createDataFrame([(i, int(rng.integers(60)), [float(x) for x in u[i]], i % 4) for i in range(70)], "id long, community long, u array<double>, k long").cache()
+    clusters = spark.createDataFrame([(c, [float(x) for x in S[c]], int(n[c]), int(d[c])) for c in range(60)], "community long, S array<double>, n long, d long")
+    got = {r["id"]: r for r in community._best_all_clusters(verts, clusters, 9.0, 0.4, 30, 25).collect()}
+    for v in verts.collect():
+        sc = np.array([0.6 * float(u[v.id] @ S[c]) / n[c] - 0.4 * v.k * d[c] / 162.0 if c != v.community else -np.inf for c in range(60)])
+        assert got[v.id]["score"] == pytest.approx(sc.max(), abs=1e-12) and sc[got[v.id]["b"]] == pytest.approx(sc.max(), abs=1e-12)
+        assert got[v.id]["b"] == np.flatnonzero(sc >= sc.max() - 1e-15)[0]
+    share = sum(r["scored"] for r in got.values()) / (70 * 60)
+    assert share < (0.5 if strip < 64 else 1.01)
+
+
+def test_kmeans_splits_until_clusters_are_tight(spark):
+    rng = np.random.default_rng(6)
+    axes = np.eye(5)
+    rows = [(i * 5 + g, [float(x) for x in 3 * axes[g] + rng.normal(0, 0.15, 5)]) for i in range(12) for g in range(5)] + [(1000, [0.0] * 5)]
+    df = spark.createDataFrame(rows, "id long, attr array<double>")
+    got = {r["id"]: (r["community"], r["k"]) for r in community.kmeans_communities(df.repartition(3), 12, 0.2).collect()}
+    assert len(got) == 61 and {k for _, k in got.values()} == {len({c for c, _ in got.values()})}
+    groups = [{got[i * 5 + g][0] for i in range(12)} for g in range(5)]
+    assert all(len(x) == 1 for x in groups) and len(set.union(*groups)) == 5
+    assert got == {r["id"]: (r["community"], r["k"]) for r in community.kmeans_communities(df, 12, 0.2).collect()}
+    few = community.kmeans_communities(df, 3, 0.2).collect()
+    assert len({r["community"] for r in few}) <= 3 and len(few) == 61
+    assert community.kmeans_communities(df.limit(0), 3).collect() == []
