@@ -2,7 +2,7 @@
 
 Strong findings (``assign``, ``access``, ``hex``) are read from each text by regular expressions.  Weak candidates, not
 reported alone, are short assigned values, bare 40-character keys and endpoints.  Within its scope (``scope`` code
-points to either side) a weak candidate is reported only when the parts complete each other:
+points between the parts, to either side) a weak candidate is reported only when the parts complete each other:
 
 * ``weak_secret`` (an assigned value of 6 to 11 characters, or a bare key) needs an access identifier or an endpoint;
 * ``endpoint`` (a URL with user and password place, or an assigned host) needs an access identifier or a secret, strong
@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import materialize, text_column
 
+#: Matches whose places are added up in one go.
+RUN = 256
 KINDS = ("assign", "access", "hex", "weak_secret", "endpoint")
 _KEY = r"(?i:password|passwd|secret|token|api_?key)"
 ASSIGN = _KEY + r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -30,19 +32,42 @@ ENDPOINT = r"""(?i:https?|ftp|jdbc:[a-z0-9]+|postgres(?:ql)?|mysql|mongodb|redis
 def matches(text: Column, pattern: str, group: int = 0) -> Column:
     """Array of (start, end, size) of the leftmost non-overlapping matches: code points, end exclusive; size is the
     length of ``group``.  The pieces between the matches and the matches themselves add up to the positions."""
+    none = F.array().cast("array<struct<start:int,end:int,size:int>>")
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     part = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
     rows = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), whole.alias("hit"), part.alias("part"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,size:int>>").alias("out"))
 
-    def step(acc, r):
-        begin = acc["at"] + F.length(r["gap"])
-        end = begin + F.length(r["hit"])
-        return F.struct(F.coalesce(end, begin).alias("at"), F.when(r["hit"].isNull(), acc["out"]).otherwise(
-            F.concat(acc["out"], F.array(F.struct(begin.alias("start"), end.alias("end"), F.length(r["part"]).alias("size"))))).alias("out"))
+    def size(r: Column) -> Column:
+        return F.length(r["gap"]) + F.coalesce(F.length(r["hit"]), F.lit(0))
 
-    found = F.aggregate(rows, start, step, lambda acc: acc["out"])
-    return F.when(F.regexp_like(text, F.lit(pattern)), found).otherwise(F.array().cast("array<struct<start:int,end:int,size:int>>"))
+    def placed(run: Column) -> Column:
+        """The matches of one run of pieces that begins at ``run.at``."""
+        def step(acc, r):
+            begin = acc["at"] + F.length(r["gap"])
+            end = begin + F.length(r["hit"])
+            return F.struct(F.coalesce(end, begin).alias("at"), F.when(r["hit"].isNull(), acc["out"]).otherwise(
+                F.concat(acc["out"], F.array(F.struct(begin.alias("start"), end.alias("end"), F.length(r["part"]).alias("size"))))).alias("out"))
+        return F.aggregate(run["rows"], F.struct(run["at"].alias("at"), none.alias("out")), step, lambda acc: acc["out"])
+
+    def in_runs(pieces: Column) -> Column:
+        """Arrays grow by copying, so the pieces are taken in runs of ``RUN``: each run's length, its start, its matches."""
+        starts = F.sequence(F.lit(1), F.size(pieces), F.lit(RUN))
+        runs = F.transform(starts, lambda i: F.struct(F.slice(pieces, i, F.lit(RUN)).alias("rows")))
+        return _let(runs, lambda runs: _let(F.transform(runs, lambda r: F.aggregate(r["rows"], F.lit(0), lambda n, x: n + size(x))), lambda sizes: F.flatten(F.transform(
+            F.arrays_zip(runs.alias("run"), _starts(sizes).alias("at")), lambda z: placed(F.struct(z["run"]["rows"].alias("rows"), z["at"].alias("at")))))))
+
+    return F.when(F.regexp_like(text, F.lit(pattern)), _let(rows, in_runs)).otherwise(none)
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _starts(sizes: Column) -> Column:
+    """Sums of the sizes before each place."""
+    begun = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+    return F.aggregate(sizes, begun, lambda acc, n: F.struct((acc["at"] + n).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")), lambda acc: acc["out"])
 
 
 def _spans(found: Column, kind: int, keep) -> Column:
@@ -55,12 +80,13 @@ def _joined(spans: Column) -> Column:
         ":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def scan_secrets(df: DataFrame, doc_id: str = "doc_id", text: str = "text", scope: int = 200, gaps: bool = False) -> DataFrame:
+def scan_secrets(df: DataFrame, doc_id: str = "doc_id", text: str = "text", scope: int = 200) -> DataFrame:
     """One row per input row: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_linked and ``links`` (each linked
-    weak candidate with the nearest part that completes it).  ``gaps``: see ``link_parts``.
+    weak candidate with the nearest part that completes it).
 
     Null text counts as empty; texts without findings have counts 0, the hash of the empty string and empty spans.
-    Rows are independent: repeated rows and repeated doc_ids each get their row.  Other columns are not read."""
+    Rows are independent: repeated rows and repeated doc_ids each get their row.  Other columns are not read.  An empty
+    table gives no rows."""
     base = df.select(F.col(doc_id).alias("doc_id"), text_column(df, text).alias("t"))
     assign = matches(F.col("t"), ASSIGN, 1)
     every = (lambda m: F.lit(True))
@@ -70,7 +96,7 @@ def scan_secrets(df: DataFrame, doc_id: str = "doc_id", text: str = "text", scop
         F.monotonically_increasing_id().alias("rid"), "doc_id", _spans(F.col("a"), 0, lambda m: m["size"] >= 12).alias("assign"), "access", "hex",
         F.concat(_spans(F.col("a"), 3, lambda m: (m["size"] >= 6) & (m["size"] < 12)), _spans(F.col("bare"), 3, every)).alias("weak"), "endpoint"), "secrets")
     spans = found.filter((F.size("weak") + F.size("endpoint") > 0)).select("rid", F.explode(F.concat("assign", "access", "hex", "weak", "endpoint")).alias("s"))
-    linked = materialize(link_parts(spans.select("rid", "s.start", "s.kind", "s.end").distinct(), scope, gaps), "secret-links")
+    linked = materialize(link_parts(spans.select("rid", "s.start", "s.kind", "s.end").distinct(), scope), "secret-links")
     linked = linked.groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("start", "kind", "end", "partner_start", "partner_kind"))).alias("links"))
     base_spans = F.concat("assign", "access", "hex")
     out = found.join(linked, "rid", "left").withColumn("links", F.coalesce("links", F.array().cast("array<struct<start:int,kind:int,end:int,partner_start:int,partner_kind:int>>")))
@@ -80,26 +106,20 @@ def scan_secrets(df: DataFrame, doc_id: str = "doc_id", text: str = "text", scop
                       F.size("links").cast("long").alias("n_linked"), "links")
 
 
-def link_parts(spans: DataFrame, scope: int, gaps: bool = False) -> DataFrame:
+def link_parts(spans: DataFrame, scope: int) -> DataFrame:
     """``spans``: rid, start, kind, end.  The weak candidates whose scope holds a complementary part, with the nearest.
 
-    Distances are those of the starts, or with ``gaps`` from the end of the earlier part to the start of the later one
-    (0 where they touch or overlap), whatever the parts' lengths."""
-    near = Window.partitionBy("rid").orderBy("start")
-    before, after = near.rangeBetween(-scope, 0), near.rangeBetween(0, scope)
-    begun = near.rangeBetween(Window.unboundedPreceding, 0)
+    Distances are from the end of the earlier part to the start of the later one (0 where they touch or overlap), whatever
+    the parts' lengths."""
+    begun = Window.partitionBy("rid").orderBy("start").rangeBetween(Window.unboundedPreceding, 0)
     ahead = Window.partitionBy("rid").orderBy(F.desc("start")).rangeBetween(Window.unboundedPreceding, 0)
 
     def nearest(kinds: list[int]) -> Column:
-        mine = F.col("kind").isin(kinds)
-        if gaps:  # of the parts that begin before or here the largest end, of those from here on the first start
-            b, a = F.max(F.when(mine, F.struct("end", "start", "kind"))).over(begun), F.min(F.when(mine, F.struct("start", "kind"))).over(ahead)
-            to_b, to_a = F.when(b.isNotNull(), F.greatest(F.col("start") - b["end"], F.lit(0))), F.when(a.isNotNull(), F.greatest(a["start"] - F.col("end"), F.lit(0)))
-            b, a = F.when(to_b <= scope, F.struct(b["start"].alias("start"), b["kind"].alias("kind"))), F.when(to_a <= scope, a)
-            return F.when(a.isNull() | (b.isNotNull() & (to_b <= to_a)), b).otherwise(a)
-        here = F.when(mine, F.struct("start", "kind"))
-        b, a = F.max(here).over(before), F.min(here).over(after)
-        return F.when(a.isNull() | (F.col("start") - b["start"] <= a["start"] - F.col("start")), b).otherwise(a)
+        mine = F.col("kind").isin(kinds)   # of the parts that begin before or here the largest end, of those from here on the first start
+        b, a = F.max(F.when(mine, F.struct("end", "start", "kind"))).over(begun), F.min(F.when(mine, F.struct("start", "kind"))).over(ahead)
+        to_b, to_a = F.when(b.isNotNull(), F.greatest(F.col("start") - b["end"], F.lit(0))), F.when(a.isNotNull(), F.greatest(a["start"] - F.col("end"), F.lit(0)))
+        b, a = F.when(to_b <= scope, F.struct(b["start"].alias("start"), b["kind"].alias("kind"))), F.when(to_a <= scope, a)
+        return F.when(a.isNull() | (b.isNotNull() & (to_b <= to_a)), b).otherwise(a)
 
     access, secret, endpoint = nearest([1]), nearest([0, 2, 3]), nearest([4])
     partner = F.when(F.col("kind") == 3, F.coalesce(access, endpoint)).when(F.col("kind") == 4, F.coalesce(access, secret))

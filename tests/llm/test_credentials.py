@@ -1,4 +1,5 @@
 import hashlib
+import time
 import random
 import re
 
@@ -31,9 +32,10 @@ def every_part(text):
 
 
 def linked(text, scope=200):
+    """The gap between two parts counts, whatever their lengths."""
     parts, out = every_part(text), []
     for s, k, e in parts:
-        near = {x[1] for x in parts if abs(x[0] - s) <= scope}
+        near = {x[1] for x in parts if max(s - x[2], x[0] - e, 0) <= scope}
         if k == 3 and near & {1, 4} or k == 4 and near & {0, 1, 2, 3}:
             out.append((s, k, e))
     return out
@@ -72,20 +74,20 @@ def test_odd_rows_and_dense_text(spark, odd_docs, no_docs):
     assert r.n_linked == 6000
 
 
-def linked_by_gap(text, scope=200):
-    parts, out = every_part(text), []
-    for s, k, e in parts:
-        near = {x[1] for x in parts if max(s - x[2], x[0] - e, 0) <= scope}
-        if k == 3 and near & {1, 4} or k == 4 and near & {0, 1, 2, 3}:
-            out.append((s, k, e))
-    return out
-
-
 def test_long_parts_do_not_count_as_distance(spark):
     long = ["token=" + "a" * 300 + " host: db.example.com", "https://a.example.com/" + "p" * 400 + " password: hunter22", "f" * 500 + " https://db.example.com/x",
             "token=" + "a" * 300 + " z" * 150 + " host: db.example.com"]
     rows = [(i, t) for i, t in enumerate(long + texts())]
-    got = {r.doc_id: r for r in cr.scan_secrets(spark.createDataFrame(rows, "doc_id long, text string"), gaps=True).collect()}
+    got = {r.doc_id: r for r in cr.scan_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert [got[i].n_linked for i in range(4)] == [1, 2, 1, 0]
     for i, t in rows:
-        assert got[i].spans == join(base(t) + linked_by_gap(t)), t
+        assert got[i].spans == join(base(t) + linked(t)), t
+
+
+def test_a_text_full_of_matches_takes_linear_time(spark):
+    """Over a million code points, 40,000 matches of one pattern; places are those of a plain scan."""
+    text = "".join(f"{i % 7 * 'é'}deadbeefdeadbeef{i % 3 * ' '} z" for i in range(40000))
+    t = time.time()
+    r = cr.scan_secrets(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()[0]
+    assert r.n_hex == 40000 and r.base_sha256 == hashlib.sha256(join(base(text)).encode()).hexdigest()
+    assert time.time() - t < 60
