@@ -5,8 +5,9 @@ each block a candidate's final score lies within its partial score +- |rest of q
 (Cauchy-Schwarz over the dimensions left).  Candidates whose upper end is below the k-th best lower end, or below the
 k-th best score seen in this task, go, and the columns are compacted to the survivors.
 
-Queries come in blocks of at most ``query_block`` rows; each block is broadcast (its size is bounded by that number and
-the dimension) and meets all candidates in one scan.  A task gives k rows a query, however many candidates it has read.
+Queries come in blocks of about ``query_block`` rows, by a hash; each block is broadcast (its size is bounded by that number
+and the dimension), meets all candidates in one scan, and is released once its hits are written.  A task gives k rows a
+query, however many candidates it has read.  Rows with components beyond ``LIMIT`` are scored in exact integers instead.
 """
 from __future__ import annotations
 
@@ -20,17 +21,20 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import materialize
 
+#: Components up to this size are held as 32-bit integers; rows with larger ones are scored one by one in exact integers.
 LIMIT = 1 << 24
 
 
 def quantized(df: DataFrame, vec_id: str, vector: str, scale: int) -> DataFrame:
-    """rid, vec_id, v: components floor(scale * x), held within +-2**24.  Vectors that are null or hold null or
-    non-finite components are left out."""
+    """rid, vec_id, v: components floor(scale * x), wide: whether one is beyond ``LIMIT``.  Vectors that are null or hold null
+    or non-finite components are left out; a component that doesn't fit a long raises."""
     v = F.col("e")
     ok = v.isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    whole = F.transform(v, lambda x: F.greatest(F.lit(-LIMIT), F.least(F.lit(LIMIT), F.floor(F.greatest(F.lit(-1e12), F.least(F.lit(1e12), x * scale))))).cast("int"))
-    return (df.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("e")).filter(F.coalesce(ok, F.lit(False)))
+    error = F.raise_error(F.lit("a component doesn't fit a long after scaling")).cast("long")
+    whole = F.transform(v, lambda x: F.when(F.abs(x * scale) < float(1 << 63), F.floor(x * scale)).otherwise(error))
+    rows = (df.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("e")).filter(F.coalesce(ok, F.lit(False)))
             .select(F.monotonically_increasing_id().alias("rid"), "vec_id", whole.alias("v")))
+    return rows.withColumn("wide", F.exists("v", lambda x: (x > LIMIT) | (x < -LIMIT)))
 
 
 def _matrix(column: pa.Array, dims: int) -> np.ndarray:
@@ -40,7 +44,7 @@ def _matrix(column: pa.Array, dims: int) -> np.ndarray:
     flat = column.flatten().to_numpy(zero_copy_only=False)
     if len(size) and (size == dims).all():
         return flat.reshape(len(size), dims)
-    out = np.zeros((len(size), dims), dtype=np.int32)
+    out = np.zeros((len(size), dims), dtype=np.int64)
     row = np.repeat(np.arange(len(size)), size)
     out[row, np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)] = flat
     return out
@@ -74,6 +78,14 @@ def search(query: _Columns, qi: int, cand: _Columns, own: np.ndarray, k: int, fl
     return idx, score
 
 
+def _exact(m: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Inner products in exact integers."""
+    scores = [sum(a * b for a, b in zip(row, q.tolist())) for row in m.tolist()]
+    if any(not -(1 << 63) <= s < 1 << 63 for s in scores):
+        raise OverflowError("an inner product doesn't fit a long")
+    return np.array(scores, dtype=np.int64)
+
+
 def exact_topk(df: DataFrame, query_filter: str = "vec_id % 100 = 0", vec_id: str = "vec_id", vector: str = "embedding", k: int = 10, scale: int = 1024,
                dim_block: int = 8, query_block: int = 16384, chunk: int = 16384) -> DataFrame:
     """The ``k`` best candidates of each query row (rows of ``df`` for which ``query_filter`` over ``vec_id`` holds):
@@ -88,12 +100,14 @@ def exact_topk(df: DataFrame, query_filter: str = "vec_id % 100 = 0", vec_id: st
     n_blocks = -(-n_queries // query_block) or 1
     found = None
     for b in range(n_blocks):
-        part = queries.filter(F.pmod(F.col("rid"), F.lit(n_blocks)) == b) if n_blocks > 1 else queries
+        part = queries.filter(F.pmod(F.xxhash64("rid"), F.lit(n_blocks)) == b) if n_blocks > 1 else queries
         block = part.toArrow()
         if not block.num_rows:
             continue
-        shared = spark.sparkContext.broadcast((block["rid"].to_numpy(), block["vec_id"].to_numpy(), _matrix(block["v"], dims)))
+        shared = spark.sparkContext.broadcast((block["rid"].to_numpy(), block["vec_id"].to_numpy(), _matrix(block["v"], dims), block["wide"].to_numpy(zero_copy_only=False)))
         hits = rows.mapInArrow(_scan(shared, dims, k, dim_block, chunk), "query_rid long, query_id long, rid long, vec_id long, score long")
+        hits = materialize(hits, "topk-hits")
+        shared.destroy()
         found = hits if found is None else found.unionByName(hits)
     if found is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
@@ -103,21 +117,27 @@ def exact_topk(df: DataFrame, query_filter: str = "vec_id % 100 = 0", vec_id: st
 
 def _scan(shared, dims: int, k: int, dim_block: int, chunk: int):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        q_rid, q_id, q = shared.value
+        q_rid, q_id, q, q_wide = shared.value
+        narrow_q = np.where(q_wide[:, None], 0, q)
         best: list[tuple] = [(np.empty(0, np.int64),) * 3] * len(q_rid)  # scores, sort ids, rids
         last = np.iinfo(np.int64).max
 
         def take(parts: list[pa.RecordBatch]) -> None:
             t = pa.Table.from_batches(parts)
             rid, sort_id = t["rid"].to_numpy(), pc.fill_null(t["vec_id"], last).to_numpy()
-            m = _matrix(t["v"], dims)
-            top = max(1, int(np.abs(m).max(initial=0))) * max(1, int(np.abs(q).max(initial=0))) * dims
+            m, wide = _matrix(t["v"], dims), t["wide"].to_numpy()
+            narrow = np.where(wide[:, None], 0, m)
+            top = max(1, int(np.abs(narrow).max(initial=0))) * max(1, int(np.abs(narrow_q).max(initial=0))) * dims
             kind = np.float64 if top < 1 << 52 else np.int64  # products and sums of doubles are exact below
-            cand, query = _Columns(m, dim_block, kind), _Columns(q, dim_block, kind)
+            cand, query = _Columns(narrow, dim_block, kind), _Columns(narrow_q, dim_block, kind)
             for i in range(len(q_rid)):
                 s, n, r = best[i]
                 floor = float(s[-1]) if len(s) == k else -np.inf
-                idx, score = search(query, i, cand, rid != q_rid[i], k, floor)
+                own = rid != q_rid[i]
+                idx, score = search(query, i, cand, own & ~wide & ~q_wide[i], k, floor)
+                exact = np.flatnonzero(own & (wide | q_wide[i]))
+                if len(exact):
+                    idx, score = np.concatenate((idx, exact)), np.concatenate((score.astype(np.int64), _exact(m[exact], q[i])))
                 if len(idx):
                     s, n, r = np.concatenate((s, score.astype(np.int64))), np.concatenate((n, sort_id[idx])), np.concatenate((r, rid[idx]))
                     o = np.lexsort((r, n, -s))[:k]

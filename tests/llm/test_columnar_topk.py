@@ -8,7 +8,7 @@ from quarry.llm import columnar_topk as ct
 
 
 def brute(rows, every, k):
-    good = [(i, [max(-ct.LIMIT, min(ct.LIMIT, math.floor(1024 * x))) for x in v]) for i, v in rows if v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    good = [(i, [math.floor(1024 * x) for x in v]) for i, v in rows if v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = []
     for n, (i, q) in enumerate(good):
         if i is not None and i % every == 0:
@@ -33,6 +33,20 @@ def test_matches_brute_force(spark, options):
     assert sorted(repr(tuple(r)) for r in got) == brute(rows(), 10, 10)
 
 
+def test_wide_components(spark):
+    """Components far beyond the narrow range, as queries and candidates; too large ones raise."""
+    rnd = random.Random(6)
+    data = [(i, [rnd.choice([1.0, 1e3, 2e4, 3e5]) * rnd.gauss(0, 1) for _ in range(5)]) for i in range(60)]
+    data += [(100, [16384.0, 0.0, 0.0, 0.0, 0.0]), (101, [16384.5, 0.0, 0.0, 0.0, 0.0]), (102, [-30000.0, 1.0, 0.0, 0.0, 0.0])]
+    schema = "vec_id long, embedding array<double>"
+    got = ct.exact_topk(spark.createDataFrame(data, schema), query_filter="vec_id % 10 = 0", query_block=3, chunk=16).collect()
+    assert sorted(repr(tuple(r)) for r in got) == brute(data, 10, 10)
+    with pytest.raises(Exception, match="fit a long"):
+        ct.exact_topk(spark.createDataFrame([(0, [1e17]), (1, [1.0])], schema)).collect()
+    with pytest.raises(Exception, match="fit a long"):
+        ct.exact_topk(spark.createDataFrame([(0, [1e14]), (1, [1e14])], schema)).collect()
+
+
 def test_fewer_candidates_and_empty(spark):
     schema = "vec_id long, embedding array<float>"
     few = spark.createDataFrame([(0, [0.5, 0.25]), (1, [0.5, 0.25]), (2, None)], schema)
