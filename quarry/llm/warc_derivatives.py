@@ -43,22 +43,31 @@ _ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]
 _SPACES = re.compile(r"[ \t\r\f\v]+")
 
 
-def _tag_end(page: str, at: int) -> int:
-    """Place after the ``>`` that ends a tag; one inside a quoted value is passed, a few at most."""
-    end = page.find(">", at)
-    for _ in range(8):
-        if end < 0:
-            return len(page)
-        if not (page.count('"', at, end) % 2 or page.count("'", at, end) % 2):
-            break
-        end = page.find(">", end + 1, at + 4096)
-    return end + 1 if end >= 0 else page.find(">", at) + 1
+#: The rest of a tag with its quoted values, whatever these hold.
+_REST = re.compile(r"""(?:[^>"']|"[^"]*"|'[^']*')*+>""")
+
+
+class _Ends:
+    """Ends of tags.  A quote that is never closed makes the first ``>`` end a tag, there and in the rest of the page, so
+    that no text is searched for a closing quote twice."""
+
+    def __init__(self, page: str):
+        self.page, self.quotes = page, True
+
+    def after(self, at: int) -> int:
+        """Place after the ``>`` that ends the tag; one inside a quoted value doesn't."""
+        if self.quotes:
+            rest = _REST.match(self.page, at)
+            if rest:
+                return rest.end()
+            self.quotes = False
+        return self.page.find(">", at) + 1 or len(self.page)
 
 
 def page_parts(page: str) -> tuple[str, str, list[tuple[str, str]]]:
     """Title, text and links (element, target) of an HTML page, in one pass over its tags."""
     out: list[str] = []
-    title, links, at, n = "", [], 0, len(page)
+    title, links, at, n, ends = "", [], 0, len(page), _Ends(page)
     while at < n:
         begin = page.find("<", at)
         if begin < 0:
@@ -75,14 +84,14 @@ def page_parts(page: str) -> tuple[str, str, list[tuple[str, str]]]:
             name = _NAME.match(page, begin)
         if not name:
             if page.startswith(("<!", "<?"), begin):
-                at = _tag_end(page, begin)
+                at = page.find(">", begin) + 1 or n
             else:
                 out.append("<")
                 at = begin + 1
             continue
         opens = not name[1]
         tag = name[2].lower()
-        at = name.end() if whole else _tag_end(page, begin)
+        at = name.end() if whole else ends.after(name.end(2))
         if opens and tag in LINKS:
             for m in _ATTRIBUTE.finditer(page, name.end(2), at):
                 if m[1].lower() == LINKS[tag]:

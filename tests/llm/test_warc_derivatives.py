@@ -1,7 +1,10 @@
+import glob
 import gzip
 import hashlib
 import json
 import uuid
+from collections import Counter
+from html.parser import HTMLParser
 
 import pytest
 from hypothesis import given, settings
@@ -31,8 +34,52 @@ def test_any_page_ends(page):
     assert isinstance(text, str) and "\n\n" not in text
 
 
+def test_tags_end_where_they_end():
+    """Against the standard library's parser: quoted values of any length, with any number of > in them."""
+    class Links(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.found, self.text = [], ""
+
+        def handle_starttag(self, tag, attrs):
+            self.found += [(tag, v) for k, v in attrs if wd.LINKS.get(tag) == k]
+
+        def handle_data(self, data):
+            self.text += data
+
+    for many in (1, 9, 5000):
+        page = f"<p>a <a title='{'x > y ' * many}' href=\"/{'>q' * many}\">link</a> b<a data-x=\"it's\" href='/2'>two</a></p>"
+        p = Links()
+        p.feed(page)
+        title, text, links = wd.page_parts(page)
+        assert links == p.found and text == " ".join(p.text.split()) == "a link btwo"
+
+
+def test_records_are_those_of_a_plain_reader(spark):
+    """The files' records, read by hand: headers to the empty line, then as many bytes as they say."""
+    path, out = scratch_dir(spark, "warc-plain"), scratch_dir(spark, "warc-plain")
+    wd.write_warc(wd.page_responses(spark.createDataFrame(odd_pages(), SCHEMA)), path, records_per_file=3)
+    wd.build_derivatives(spark, path, out).count()
+    seen = []
+    for folder in (path, out):
+        for f in sorted(glob.glob(f"{folder.removeprefix('file:')}/**/part-*.gz", recursive=True)):
+            data = gzip.open(f).read()
+            while data:
+                head, _, rest = data.partition(b"\r\n\r\n")
+                fields = dict(x.split(b": ", 1) for x in head.split(b"\r\n")[1:])
+                size = int(fields[b"Content-Length"])
+                assert head.startswith(b"WARC/1.") and rest[size:size + 4] == b"\r\n\r\n"
+                seen.append((fields[b"WARC-Type"].decode(), fields.get(b"WARC-Refers-To"), fields[b"WARC-Record-ID"], rest[:size]))
+                data = rest[size + 4:]
+    kinds = Counter(t for t, *_ in seen)
+    n = len(odd_pages())
+    assert kinds["response"] == kinds["metadata"] == kinds["conversion"] == n
+    ids = {i for t, _, i, _ in seen if t == "response"}
+    assert {r for t, r, *_ in seen if t in ("metadata", "conversion")} == ids and len({i for _, _, i, _ in seen}) == len(seen)
+
+
 def test_unclosed_things_are_linear():
-    for page in ("<a \"" * 20000, "<!--" * 20000, "<script>" * 20000, "<p" * 20000, "<title>" * 3000, "<" * 50000):
+    for page in ("<a \"" * 20000, "<!--" * 20000, "<script>" * 20000, "<p" * 20000, "<title>" * 3000, "<" * 50000, "<a '>'" * 20000, "<a x='>" * 20001, "<a \"'>" * 20000):
         wd.page_parts(page)
 
 
