@@ -115,7 +115,9 @@ def _le32(ids: np.ndarray) -> bytes:
 def write_ids(docs: DataFrame, tokenize: Callable[[list[str]], list[np.ndarray]], path: str, doc_id: str = "doc_id", text: str = "text", max_id: int = 65535,
               bits: int = 20, block_tokens: int = 1 << 18, mark_tokens: int = 1 << 17) -> None:
     """Tokenizes ``docs`` and writes their ids to ``path`` in ascending doc_id order (null last; rows of one doc_id by
-    their place).  ``tokenize`` maps texts to id arrays, ids up to ``max_id``.
+    their place).  ``tokenize`` maps texts to id arrays, ids up to ``max_id``; a larger one raises.  Blocks are written in the
+    tasks' order: their ``part`` and ``block`` give the ascending order.  An empty table makes an empty store; other columns
+    are not read.
 
     Null text counts as empty; a document may have no ids.  A document longer than a block makes a longer block, with
     more checkpoints.  Texts are range-partitioned once and tokenized in order; the ids are then read twice, to count
@@ -128,7 +130,10 @@ def write_ids(docs: DataFrame, tokenize: Callable[[list[str]], list[np.ndarray]]
         part, no = TaskContext.get().partitionId(), 0
         for b in batches:
             n = b.num_rows
-            ids = pa.array([x.astype(width).tobytes() for x in tokenize(b.column(1).to_pylist())], pa.binary())
+            made = tokenize(b.column(1).to_pylist())
+            if max((int(x.max()) for x in made if len(x)), default=0) > max_id:
+                raise ValueError(f"an id is above max_id {max_id}")
+            ids = pa.array([x.astype(width).tobytes() for x in made], pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(np.full(n, part, np.int32)), pa.array(np.arange(no, no + n)), b.column(0), ids], ["part", "no", "doc_id", "ids"])
             no += n
 
