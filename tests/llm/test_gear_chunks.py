@@ -1,3 +1,4 @@
+import hashlib
 import random
 from collections import defaultdict
 
@@ -35,8 +36,60 @@ def test_cuts_resist_an_insertion():
     assert len(a - b) <= 4
 
 
+def plain_chunks(text, mask_bits, least, most):
+    """A chunker of its own, byte by byte: (start, end, bytes) with places in code points."""
+    raw, out, h, last = (text or "").encode(), [], 0, 0
+    for i, b in enumerate(raw):
+        h = (2 * h + int.from_bytes(hashlib.sha256(bytes([b])).digest()[:4], "little")) % 2 ** 32 if i else int.from_bytes(hashlib.sha256(bytes([b])).digest()[:4], "little")
+        end = i + 1
+        whole = end == len(raw) or raw[end] & 0xC0 != 0x80
+        cut = whole and (h < 2 ** (32 - mask_bits) or end == len(raw))
+        if cut:
+            while end - last > most:
+                at = last + most
+                while at < len(raw) and raw[at] & 0xC0 == 0x80:
+                    at -= 1
+                out.append((last, at))
+                last = at
+            if end - last >= least or end == len(raw) and end > last:
+                out.append((last, end))
+                last = end
+    return [(len(raw[:a].decode()), len(raw[:b].decode()), raw[a:b]) for a, b in out]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.text(alphabet="ab é東🙂\n", max_size=300), st.sampled_from([(3, 4, 16), (2, 8, 24), (4, 16, 256)]))
+def test_chunks_are_those_of_a_plain_chunker(text, how):
+    s, e, _ = gc.chunk_text(text, *how)
+    assert list(zip(s, e)) == [x[:2] for x in plain_chunks(text, *how)]
+
+
+def test_recall_of_short_passages(spark, duck):
+    """Passages of 51 words of real texts, put into two other texts each."""
+    rnd = random.Random(1)
+    texts = [t for t, in duck.execute("SELECT text FROM read_parquet('/root/testdata/sf0.01/documents.parquet') WHERE length(text) > 1200 ORDER BY hash(doc_id)").fetchall()]
+    used = [t.split() for t in texts]
+    rows, n = [], 120
+    for i in range(n):
+        source, a, b = rnd.sample(used, 3)
+        at = rnd.randrange(len(source) - 51)
+        passage = " ".join(f"{w}{i}" if j % 17 == 0 else w for j, w in enumerate(source[at:at + 51]))      # its own, whatever else repeats
+        for k, other in enumerate((a, b)):
+            cut = rnd.randrange(len(other))
+            before = " ".join(f"{w}{2 * i + k}" if j % 5 == 0 else w for j, w in enumerate(other[:cut]))     # texts share nothing else
+            after = " ".join(f"{w}{2 * i + k}" if j % 5 == 0 else w for j, w in enumerate(other[cut:]))
+            rows.append((2 * i + k, before + " " + passage + " " + after, len(before) + 1, len(before) + 1 + len(passage)))
+    df = spark.createDataFrame(rows, "doc_id long, text string, a int, b int").cache()
+    for least, options in ((0.75, {}), (0.9, {"mask_bits": 4, "min_bytes": 16, "max_bytes": 256})):
+        spans = {}
+        for r in gc.repeated_passages(df, **options).collect():
+            spans.setdefault(r.doc_id, []).append((r.start, r.end))
+        found = {d for d, _, a, b in rows if any(min(e, b) - max(s, a) > 60 for s, e in spans.get(d, ()))}
+        assert sum({2 * i, 2 * i + 1} <= found for i in range(n)) / n >= least
+
+
 def brute(rows, how, min_run):
-    chunks = [list(zip(*gc.chunk_text(r[1], *how))) for r in rows]
+    chunks = [plain_chunks(r[1], *how) for r in rows]
     where = defaultdict(list)
     for r, cs in enumerate(chunks):
         for n, (_, _, d) in enumerate(cs):
@@ -88,9 +141,10 @@ def test_cut_texts_and_odd_rows(spark, odd_docs, no_docs):
     rows, shared = passages()
     df = spark.createDataFrame([(i, t, "en", None, 0, "a", "b", "c") for i, t in rows], SCHEMA)
     out = gc.drop_repeated_passages(df)
-    assert out.count() == len(rows) and set(out.columns) <= set(df.columns)
+    assert out.count() == len(rows) and out.columns == df.columns
     total = " ".join(r.text or "" for r in out.collect())
     for s in shared[:4]:
         assert total.count(s[100:-100]) == 1
-    assert gc.drop_repeated_passages(odd_docs).count() == odd_docs.count()
+    kept = gc.drop_repeated_passages(odd_docs)
+    assert kept.columns == odd_docs.columns and [r["__src_pos"] for r in kept.collect()] == ["clash"] * odd_docs.count()
     assert gc.repeated_passages(no_docs).count() == 0 and gc.drop_repeated_passages(no_docs).count() == 0
