@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 from quarry.llm.common import text_column
 
 UNIT = 1_000_000
-CACHE = 1 << 18
+CACHE = 1 << 17
 _UNITS = re.compile(r" *[^\W_]+| *(?:[^\w ]|_)+| +")
 
 
@@ -66,6 +66,7 @@ class Pieces:
         self.joins = {a[-1] + b[0] for p in piece.values() for u in [_UNITS.findall(p)] for a, b in zip(u, u[1:])}
         self.known: dict[str, tuple] = {}
         self.older: dict[str, tuple] = {}
+        self.chosen: dict[str, list] = {}
 
     @classmethod
     def open(cls, path: str, n: int) -> "Pieces":
@@ -134,37 +135,42 @@ class Pieces:
 
         The second one leaves the first, seen from the end, at some place by another piece; before that it is the
         cheapest: the first two results of the backward search, without a queue."""
-        begins, n = self.begins, len(unit)
-        into: list[list[tuple[int, int, object]]] = [[] for _ in range(n + 1)]
-        ahead = [0] * (n + 1)
+        get, n = self.begins.get, len(unit)
+        none = 1 << 62
+        first, second, back, ids = [none] * (n + 1), [none] * (n + 1), [0] * (n + 1), [None] * (n + 1)
+        first[0] = 0
         for i in range(n):
-            if i:
-                if not into[i]:
-                    continue
-                ahead[i] = min(into[i])[0]
-            before = ahead[i]
+            before = first[i]
+            if before == none:
+                continue
             for j in range(i + 1, n + 1):
-                piece = unit[i:j]
-                if piece not in begins:
+                got = get(unit[i:j], 0)
+                if got:
+                    cost = before + got[0]
+                    if cost < first[j]:  # equal costs: the earlier begin
+                        second[j], first[j], back[j], ids[j] = first[j], cost, i, got[1]
+                    elif cost < second[j]:
+                        second[j] = cost
+                elif got == 0:
                     break
-                if got := begins[piece]:
-                    into[j].append((before + got[0], i, got[1]))
             if unit[i] not in self.cost:
-                raw = unit[i].encode("utf-8", "surrogatepass")
-                into[i + 1].append((before + self.byte_cost * len(raw), i, tuple(self.byte_id[b] for b in raw)))
-        j, path, gap = n, [], -1
-        cost = min(into[n])[0]
+                raw, j = unit[i].encode("utf-8", "surrogatepass"), i + 1
+                cost = before + self.byte_cost * len(raw)
+                if cost < first[j]:
+                    second[j], first[j], back[j], ids[j] = first[j], cost, i, tuple(self.byte_id[x] for x in raw)
+                elif cost < second[j]:
+                    second[j] = cost
+        j, path, gap = n, [], none
         while j:
-            edges = into[j]
-            first = min(edges)
-            if len(edges) > 1:
-                edges.remove(first)
-                more = min(edges)[0] - first[0]
-                if gap < 0 or more < gap:
-                    gap = more
-            path.append(first[2])
-            j = first[1]
-        return cost, tuple(k for x in reversed(path) for k in (x if isinstance(x, tuple) else (x,))), gap
+            more = second[j] - first[j]
+            if more < gap and second[j] < none:
+                gap = more
+            path.append(ids[j])
+            j = back[j]
+        path.reverse()
+        if any(type(x) is tuple for x in path):
+            path = [k for x in path for k in (x if type(x) is tuple else (x,))]
+        return first[n], tuple(path), gap if gap < none else -1
 
     def _learn(self, units) -> None:
         """Cost, ids, distance to the second choice and number of ids of each unit.  Units of the last generation of
@@ -177,8 +183,12 @@ class Pieces:
 
     def choices(self, unit: str) -> list[tuple[int, tuple[int, ...]]]:
         """The N best of a unit, that of ``best`` first."""
-        cost, ids, *_ = self.best(unit)
-        return [(cost, ids), *(x for x in self.n_best(unit, self.n) if x[1] != ids)][:self.n]
+        if (found := self.chosen.get(unit)) is None:
+            cost, ids, *_ = self.best(unit)
+            if len(self.chosen) > CACHE // 8:
+                self.chosen.clear()
+            found = self.chosen[unit] = [(cost, ids), *(x for x in self.n_best(unit, self.n) if x[1] != ids)][:self.n]
+        return found
 
     def segment(self, text: str | None) -> tuple[int, np.ndarray, list[tuple[int, list[tuple[int, int, tuple[int, ...]]]]]]:
         """Cost and ids of the best segmentation of a text, and the others of the N best: cost and edits to the best

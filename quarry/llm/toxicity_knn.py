@@ -24,6 +24,7 @@ from itertools import repeat
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,7 +44,7 @@ def words(text: str | None) -> list[str]:
 
 @dataclass
 class Index:
-    vocab: dict[str, int]
+    vocab: dict[str, int] | None
     idf: np.ndarray  # weight of each word: idf, in fit times its association with the label
     n_blocks: int
     first: np.ndarray  # first entry of each word; an entry is a word's postings in one block
@@ -61,6 +62,7 @@ class Index:
     other: float = 0.0  # weight of a word in no example
     column: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))  # column of each word in the dense matrix, -1 for none
     dense: np.ndarray = field(default_factory=lambda: np.empty((0, 0)))  # (dense word, place)
+    terms: pa.Array | None = None  # the vocabulary in place of ``vocab``
 
     @property
     def blocks(self) -> np.ndarray:
@@ -130,23 +132,37 @@ class Index:
             at, cos, done, step = at[o], cos[o], done + step, step * 4
         return at, cos
 
-    def weigh(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """Term numbers and weights of the vocabulary's words of a text; the norm is that of all its words."""
-        n = Counter(words(text))
-        terms = np.fromiter(map(self.vocab.get, n, repeat(-1)), dtype=np.int64, count=len(n))
-        count = 1 + np.log(np.fromiter(n.values(), dtype=np.float64, count=len(n)))
-        order = np.argsort(terms)
-        order, others = order[terms[order] >= 0], count[terms < 0] * self.other
-        terms = terms[order]
-        raw = count[order] * self.idf[terms]
-        return terms, raw / np.sqrt(raw @ raw + others @ others) if len(terms) else raw
+    def __getstate__(self) -> dict:
+        """The vocabulary travels as an Arrow array, a tenth of a dict's size."""
+        return self.__dict__ | {"vocab": None, "terms": pa.array(list(self.vocab), pa.string()) if self.vocab is not None else self.terms}
+
+    def numbers(self, words: list[str]) -> np.ndarray:
+        """Term numbers, -1 for words of no example."""
+        if self.vocab is not None:
+            return np.fromiter(map(self.vocab.get, words, repeat(-1)), dtype=np.int64, count=len(words))
+        return pc.fill_null(pc.index_in(pa.array(words, pa.string()), self.terms), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+
+    def weigh(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Term numbers and weights of the vocabulary's words of each text; the norm is that of all its words."""
+        counts = [Counter(words(t)) for t in texts]
+        numbers, at, out = self.numbers([w for n in counts for w in n]), 0, []
+        for n in counts:
+            terms = numbers[at:at + len(n)]
+            at += len(n)
+            count = 1 + np.log(np.fromiter(n.values(), dtype=np.float64, count=len(n)))
+            order = np.argsort(terms)
+            order, others = order[terms[order] >= 0], count[terms < 0] * self.other
+            terms = terms[order]
+            raw = count[order] * self.idf[terms]
+            out.append((terms, raw / np.sqrt(raw @ raw + others @ others) if len(terms) else raw))
+        return out
 
     def search(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Places and cosines of the nearest examples of each text."""
-        out = []
-        for lo in range(0, len(texts), TOGETHER):
-            docs = [self.weigh(t) for t in texts[lo:lo + TOGETHER]]
-            for (terms, weights), partial in zip(docs, self.partial(docs)):
+        docs, out = self.weigh(texts), []
+        for lo in range(0, len(docs), TOGETHER):
+            some = docs[lo:lo + TOGETHER]
+            for (terms, weights), partial in zip(some, self.partial(some)):
                 out.append(self.neighbours(terms, weights, self.bounds(terms, weights, partial), partial=partial) if len(terms) else (terms, weights))
         return out
 
@@ -212,8 +228,8 @@ def build_index(vocab: dict[str, int], idf: np.ndarray, counts: list[dict[int, i
     term, weight, places = term[o], weight[o], places[o]
     begin = np.flatnonzero(np.diff(term * max(n, 1) + places // BLOCK, prepend=-1))
     places = places.astype(np.int32)
-    idx = Index(vocab, idf, n, np.searchsorted(term[begin], np.arange(len(idf) + 1)), places[begin] // BLOCK,
-                np.maximum.reduceat(weight, begin) if len(begin) else np.empty(0), np.append(begin, len(term)), places, weight,
+    idx = Index(vocab, idf, n, np.searchsorted(term[begin], np.arange(len(idf) + 1)), (places[begin] // BLOCK).astype(np.int32),
+                np.maximum.reduceat(weight, begin) if len(begin) else np.empty(0), np.append(begin, len(term)).astype(np.int32), places, weight,
                 at, truth, prior, (sum(blank) + prior) / (len(blank) + 1), k=k)
     size = np.diff(idx.begin[idx.first]) if len(idf) else np.zeros(0, np.int64)
     common = np.flatnonzero(size >= max(2, DENSE * len(held)))
@@ -308,8 +324,8 @@ def scored(docs: DataFrame, keep: dict, index: Index, text: str = "text") -> Dat
     def judge(batches):
         index = shared.value
         for batch in batches:
-            for lo in range(0, batch.num_rows, 2 * TOGETHER):
-                part = batch.slice(lo, 2 * TOGETHER)
+            for lo in range(0, batch.num_rows, 4 * TOGETHER):
+                part = batch.slice(lo, 4 * TOGETHER)
                 texts = part.column(part.num_columns - 1).to_pylist()
                 once = list(dict.fromkeys(texts))  # copies are scored once
                 found = {t: dict(zip(kind.names, index.judge(at, cos))) for t, (at, cos) in zip(once, index.search(once))}
