@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import FILE, POS, SPACE, keep_rows, materialize, text_column, with_row_key
+from quarry.llm.common import FILE, POS, SPACE, keep_rows, materialize, text_column, with_plain_names, with_row_key
 
 EMPTY_LEVEL = -1
 
@@ -98,5 +98,6 @@ def exact_dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", block
 
 def drop_exact_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", block_chars: int = 2048) -> DataFrame:
     """``docs`` with one row of each group of equal texts, all columns kept."""
-    keyed = with_row_key(docs)
-    return keep_rows(keyed, exact_dedup(keyed.drop(FILE, POS), doc_id, text, block_chars).filter(~F.col("kept")))
+    plain, i, t = with_plain_names(docs, doc_id, text)
+    keyed = with_row_key(plain)
+    return keep_rows(keyed, exact_dedup(keyed.drop(FILE, POS), i, t, block_chars).filter(~F.col("kept"))).toDF(*docs.columns)

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import FILE, POS, WORD, materialize, text_column, with_row_key
+from quarry.llm.common import FILE, POS, WORD, materialize, text_column, with_plain_names, with_row_key
 
 
 def _uniform(*key: Column) -> Column:
@@ -128,8 +128,9 @@ def mix_plan(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source:
 def mix_sources(docs: DataFrame, shards: bool = False, doc_id: str = "doc_id", text: str = "text", seed: int = 0, **options) -> DataFrame:
     """The mix itself: a row of ``docs`` for each copy taken, whole texts but for a cut document at the edge of a source.
     With ``shards`` the columns ``shard`` and ``place`` are added; ordering by them shuffles within each shard."""
-    keyed = with_row_key(docs)
-    plan = mix_plan(keyed.drop(FILE, POS), doc_id=doc_id, text=text, seed=seed, **options)
+    plain, doc_id, text, source = with_plain_names(docs, doc_id, text, options.pop("source", "source"))
+    keyed = with_row_key(plain)
+    plan = mix_plan(keyed.drop(FILE, POS), doc_id=doc_id, text=text, source=source, seed=seed, **options)
     taken = plan.filter(F.size("copies") > 0).select(FILE, POS, F.col("size").alias("__size"), F.explode("copies").alias("__copy"))
     out = keyed.join(taken, [FILE, POS])
     cut = F.regexp_extract(F.col(text), r"(?s)^[\x20\x09-\x0D]*", 0)  # what stands before the first word stays
@@ -138,9 +139,9 @@ def mix_sources(docs: DataFrame, shards: bool = False, doc_id: str = "doc_id", t
         out = out.withColumn(text, F.when(F.col("__copy.words") < F.col("__size"), F.concat(
             cut, F.array_join(F.slice(words, 1, F.greatest(F.col("__copy.words"), F.lit(1)).cast("int")), ""))).otherwise(F.col(text)))
     if not shards:
-        return out.select(docs.columns)
+        return out.select(plain.columns).toDF(*docs.columns)
     place = F.xxhash64(F.lit(seed + 4), F.col(doc_id).cast("string"), F.col(text), F.col("__copy.copy"))
-    return out.select(*docs.columns, F.col("__copy.shard").alias("shard"), place.alias("place"))
+    return out.select(*plain.columns, F.col("__copy.shard").alias("shard"), place.alias("place")).toDF(*docs.columns, "shard", "place")
 
 
 def write_shards(mix: DataFrame, path: str) -> None:

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import FILE, POS, keep_rows, materialize, text_column, with_row_key
+from quarry.llm.common import FILE, POS, keep_rows, materialize, text_column, with_plain_names, with_row_key
 from quarry.operators.components import star_components
 
 STEP, FRONTIER, BUFFER = 6, 1 << 20, 1 << 17
@@ -213,5 +213,6 @@ def near_dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", shingl
 
 def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs`` with one row of each component, all columns kept."""
-    keyed = with_row_key(docs)
-    return keep_rows(keyed, near_dedup(keyed.drop(FILE, POS), doc_id, text, **options).filter(~F.col("kept")))
+    plain, i, t = with_plain_names(docs, doc_id, text)
+    keyed = with_row_key(plain)
+    return keep_rows(keyed, near_dedup(keyed.drop(FILE, POS), i, t, **options).filter(~F.col("kept"))).toDF(*docs.columns)

@@ -93,7 +93,9 @@ def test_mix_rows(odd_docs):
     for r in plan:
         want[repr(r.doc_id)] += sum(c.words for c in r.copies)
     assert {k: v for k, v in got.items() if v} == {k: v for k, v in want.items() if v}
-    assert set(mixing.mix_sources(odd_docs, n_blocks=16).columns) <= set(odd_docs.columns)
+    clash = odd_docs.withColumns({"__size": F.lit("mine"), "__copy": F.lit("mine"), "words": F.lit(None).cast("int")})
+    mix = mixing.mix_sources(clash, n_blocks=16)
+    assert mix.columns == clash.columns and {(r["__src_pos"], r["__size"], r["__copy"]) for r in mix.collect()} == {("clash", "mine", "mine")}
 
 
 def test_empty_table(no_docs):

@@ -105,6 +105,8 @@ def test_documents(spark, odd_docs, no_docs):
     assert sorted(repr((r.doc_id, r.fp & ((1 << 64) - 1), r.component_id)) for r in got) == sorted(repr((i, p, comp[p])) for i, p in prints)
     out = st.drop_near_copies(odd_docs)
     assert out.count() == len({comp[p] for _, p in prints}) == sum(r.kept for r in got) and "__src_file" not in out.columns
+    clash = st.drop_near_copies(odd_docs)
+    assert clash.columns == odd_docs.columns and {r["__src_pos"] for r in clash.collect()} == {"clash"}
     assert st.near_dedup(no_docs).count() == 0 and st.drop_near_copies(no_docs).count() == 0
 
 
