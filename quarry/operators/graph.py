@@ -15,7 +15,7 @@ from quarry.functions.hashing import mix_hash, uniform01
 from quarry.operators.bfs import levels, one_bit, set_bits, source_bits
 from quarry.operators.biconnected import articulation_points  # noqa: F401
 from quarry.operators.components import star_components
-from quarry.operators.relational import edge_endpoints, symmetric_edges
+from quarry.operators.relational import edge_endpoints, ordered_ends, symmetric_edges, undirected_edges
 from quarry.session import Scratch, ensure_checkpoint_dir
 
 
@@ -26,16 +26,16 @@ def _checkpoint(df: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ structure
 
-def simple_graph(edges: DataFrame) -> DataFrame:
-    """Both directions present, no duplicates, no self-loops."""
-    return symmetric_edges(edges, drop_self_loops=True)
+def simple_graph(edges: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Both directions present, no duplicates, no self-loops.  Here and below ``tasks`` is the number of tasks that edges are
+    dealt over while duplicates go (``undirected_edges``)."""
+    return symmetric_edges(edges, drop_self_loops=True, tasks=tasks)
 
 
-def graph_size(edges: DataFrame) -> DataFrame:
+def graph_size(edges: DataFrame, tasks: int | None = None) -> DataFrame:
     """Order (number of vertices) and size (undirected edges = directed / 2) of the simple graph."""
-    s = simple_graph(edges)
     n_v = edge_endpoints(edges).agg(F.count(F.lit(1)).alias("n_vertices"))
-    n_e = s.agg((F.count(F.lit(1)) / 2).cast("long").alias("n_edges"))
+    n_e = undirected_edges(edges, drop_self_loops=True, tasks=tasks).agg(F.count(F.lit(1)).alias("n_edges"))
     return n_v.crossJoin(n_e)
 
 
@@ -43,26 +43,28 @@ def self_loop_check(edges: DataFrame) -> DataFrame:
     return edges.agg(F.coalesce(F.max(F.col("src") == F.col("dst")), F.lit(False)).alias("has_self_loop"))
 
 
-def has_edge(edges: DataFrame, pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """For each (a, b) pair: is there an edge a–b in either direction?"""
-    both = symmetric_edges(edges, drop_self_loops=False).withColumn("__hit", F.lit(True))
-    return (pairs.join(both, (F.col(a) == F.col("src")) & (F.col(b) == F.col("dst")), "left")
+def has_edge(edges: DataFrame, pairs: DataFrame, a: str = "a", b: str = "b", tasks: int | None = None) -> DataFrame:
+    """For each (a, b) pair: is there an edge a–b in either direction?  Edges and pairs meet by their ordered ends, so an
+    edge is one row."""
+    once = undirected_edges(edges, drop_self_loops=False, tasks=tasks).withColumn("__hit", F.lit(True))
+    low, high = ordered_ends(a, b)
+    return (pairs.select(a, b, low.alias("src"), high.alias("dst")).join(once, ["src", "dst"], "left")
             .select(a, b, F.coalesce("__hit", F.lit(False)).alias("has_edge")))
 
 
-def vertex_degree(edges: DataFrame) -> DataFrame:
+def vertex_degree(edges: DataFrame, tasks: int | None = None) -> DataFrame:
     """Neighbours per vertex in the simple graph (partial aggregation absorbs hub vertices)."""
-    return simple_graph(edges).groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("degree"))
+    return simple_graph(edges, tasks).groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("degree"))
 
 
-def degree_distribution(edges: DataFrame) -> DataFrame:
+def degree_distribution(edges: DataFrame, tasks: int | None = None) -> DataFrame:
     """degree → number of vertices; isolated vertices do not appear."""
-    return vertex_degree(edges).groupBy("degree").agg(F.count(F.lit(1)).alias("count"))
+    return vertex_degree(edges, tasks).groupBy("degree").agg(F.count(F.lit(1)).alias("count"))
 
 
-def degree_fraction(edges: DataFrame, k_max: int = 49) -> DataFrame:
+def degree_fraction(edges: DataFrame, k_max: int = 49, tasks: int | None = None) -> DataFrame:
     """Fraction of vertices per degree, beside the power-law baselines 1/k^2 and 1/k^3 (k = 1..k_max)."""
-    dist = degree_distribution(edges)
+    dist = degree_distribution(edges, tasks)
     total = dist.agg(F.sum("count").alias("__total"))
     frac = dist.crossJoin(total).select("degree", (F.col("count") / F.col("__total")).alias("fraction"))
     ks = edges.sparkSession.range(1, k_max + 1).select(F.col("id").alias("degree"))

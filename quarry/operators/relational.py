@@ -1,7 +1,7 @@
 """Joins and set operations."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.operators.hot_join import lookup_join
@@ -114,11 +114,28 @@ def context_pair_counts(docs: DataFrame, window: int, doc="doc_id", tokens="toke
     return forward.select("n", F.explode(turned).alias("p")).groupBy("p.word", "p.context").agg(F.sum("n").alias("n"))
 
 
-def symmetric_edges(edges: DataFrame, drop_self_loops: bool = True) -> DataFrame:
-    both = edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    if drop_self_loops:
-        both = both.filter(F.col("src") != F.col("dst"))
-    return both.distinct()
+def ordered_ends(a: str, b: str) -> list[Column]:
+    """The ends of an undirected edge in order (null first): the same two values for both of its directions."""
+    first, second = F.col(a), F.col(b)
+    swap = F.coalesce(first > second, second.isNull())
+    return [F.when(swap, second).otherwise(first), F.when(swap, first).otherwise(second)]
+
+
+def undirected_edges(edges: DataFrame, drop_self_loops: bool = True, tasks: int | None = None) -> DataFrame:
+    """Each edge once, with ordered ends.  ``tasks``: rows are dealt over so many tasks, so that a task's share stays small
+    whatever the reader of the shuffle would merge."""
+    rows = edges.filter(F.col("src") != F.col("dst")) if drop_self_loops else edges
+    src, dst = ordered_ends("src", "dst")
+    rows = rows.select(src.alias("src"), dst.alias("dst"))
+    return (rows.repartition(tasks, "src", "dst") if tasks else rows).distinct()
+
+
+def symmetric_edges(edges: DataFrame, drop_self_loops: bool = True, tasks: int | None = None) -> DataFrame:
+    """Both directions of each edge, no duplicates.  Duplicates go while an edge is still one row, so a task holds each edge
+    once; the turned edges need no look-up of their own.  ``tasks``: see ``undirected_edges``."""
+    same, turned = F.struct("src", "dst"), F.struct(F.col("dst").alias("src"), F.col("src").alias("dst"))
+    both = F.when(F.col("src").eqNullSafe(F.col("dst")), F.array(same)).otherwise(F.array(same, turned))
+    return undirected_edges(edges, drop_self_loops, tasks).select(F.explode(both).alias("e")).select("e.src", "e.dst")
 
 
 def edge_endpoints(edges: DataFrame) -> DataFrame:

@@ -105,7 +105,7 @@ def q_read_vectors_text(spark, d):
 @register("write_result_csv", "2.1", E5 + ", " + DEG5 + " SELECT degree, count(*) AS count FROM deg GROUP BY degree")
 def q_write_result_csv(spark, d):
     p = _path(spark, "degree-csv")
-    files.write_result_csv(gr.degree_distribution(fx.large_graph_edges(spark, d)), p)
+    files.write_result_csv(gr.degree_distribution(fx.large_graph_edges(spark, d), fx.edge_tasks(spark, d)), p)
     return spark.read.option("header", True).schema("degree long, count long").csv(p)
 
 

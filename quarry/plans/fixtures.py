@@ -107,9 +107,21 @@ SMALL_GRAPH_SQL = (
 
 # ---------------------------------------------------------------- FIX-5 large bipartite graph
 
+#: Rows of lineitem whose edges one task deduplicates, about.
+ROWS_PER_TASK = 1_000_000
+
+
+def edge_tasks(spark: SparkSession, d: str) -> int:
+    """Tasks for duplicates of lineitem's edges; the number of rows is in the file's footer."""
+    return max(spark.sparkContext.defaultParallelism, -(-table(spark, d, "lineitem").count() // ROWS_PER_TASK))
+
+
 def large_graph_edges(spark: SparkSession, d: str) -> DataFrame:
+    """Rows are dealt by edge before duplicates go, over as many tasks as their number asks for: a split of a file of small
+    rows holds many millions of edges, and a task's table of them would grow with the file."""
     li = table(spark, d, "lineitem").select("l_suppkey", "l_partkey")
-    return li.select(F.col("l_suppkey").alias("src"), (F.col("l_partkey") + 1000000).alias("dst")).distinct()
+    edges = li.select(F.col("l_suppkey").alias("src"), (F.col("l_partkey") + 1000000).alias("dst"))
+    return edges.repartition(edge_tasks(spark, d), "src", "dst").distinct()
 
 
 LARGE_GRAPH_SQL = "SELECT DISTINCT l_suppkey AS src, l_partkey + 1000000 AS dst FROM lineitem"

@@ -39,7 +39,7 @@ def large(spark, d):
 
 @register("simple_graph", "2.7", E5 + " SELECT src, dst FROM e")
 def q_simple_graph(spark, d):
-    return gr.simple_graph(large(spark, d))
+    return gr.simple_graph(large(spark, d), tasks=fx.edge_tasks(spark, d))
 
 
 @register("symmetric_edges", "2.6", fx.with_sql(e0=fx.SMALL_GRAPH_SQL) +
@@ -56,7 +56,7 @@ def q_edge_endpoints(spark, d):
 @register("graph_size", "2.7", E5 + " SELECT (SELECT count(*) FROM (SELECT src FROM e0 UNION SELECT dst FROM e0)) AS n_vertices, "
           "CAST(count(*) / 2 AS BIGINT) AS n_edges FROM e")
 def q_graph_size(spark, d):
-    return gr.graph_size(large(spark, d))
+    return gr.graph_size(large(spark, d), tasks=fx.edge_tasks(spark, d))
 
 
 @register("self_loop_check", "2.7", fx.with_sql(e0=fx.LARGE_GRAPH_SQL) +
@@ -76,18 +76,19 @@ def q_has_edge(spark, d):
     li = table(spark, d, "lineitem").select("l_suppkey", "l_partkey", "l_linenumber")
     pairs = (li.select(F.col("l_suppkey").alias("a"), (1000000 + F.col("l_partkey") + F.col("l_linenumber") % 2).alias("b"))
              .unionByName(li.filter(F.col("l_linenumber") == 3)
-                          .select((1000000 + F.col("l_partkey")).alias("a"), F.col("l_suppkey").alias("b"))).distinct())
-    return gr.has_edge(large(spark, d), pairs)
+                          .select((1000000 + F.col("l_partkey")).alias("a"), F.col("l_suppkey").alias("b"))))
+    tasks = fx.edge_tasks(spark, d)
+    return gr.has_edge(large(spark, d), pairs.repartition(tasks, "a", "b").distinct(), tasks=tasks)
 
 
 @register("vertex_degree", "2.7", E5 + ", " + DEG5 + " SELECT id, degree FROM deg")
 def q_vertex_degree(spark, d):
-    return gr.vertex_degree(large(spark, d))
+    return gr.vertex_degree(large(spark, d), tasks=fx.edge_tasks(spark, d))
 
 
 @register("degree_distribution", "2.7", E5 + ", " + DEG5 + " SELECT degree, count(*) AS count FROM deg GROUP BY degree")
 def q_degree_distribution(spark, d):
-    return gr.degree_distribution(large(spark, d))
+    return gr.degree_distribution(large(spark, d), tasks=fx.edge_tasks(spark, d))
 
 
 @register("degree_fraction", "2.7", E5 + ", " + DEG5 + (
@@ -99,7 +100,7 @@ def q_degree_distribution(spark, d):
     "CASE WHEN coalesce(ks.degree, fr.degree) <= 49 THEN pow(coalesce(ks.degree, fr.degree), -3.0) END AS power3 "
     "FROM ks FULL OUTER JOIN fr ON ks.degree = fr.degree"))
 def q_degree_fraction(spark, d):
-    return gr.degree_fraction(large(spark, d))
+    return gr.degree_fraction(large(spark, d), tasks=fx.edge_tasks(spark, d))
 
 
 # ------------------------------------------------------------------ iterative (FIX-4)
