@@ -322,10 +322,15 @@ def _listing(spark, d):
     return img.unionByName(mask).unionByName(lab)
 
 
-def image_manifest(labels, listing, n_classes=N_CLASSES, per_class=None, seed=7):
+#: Rows of labels that one task matches to files, about.
+LABELS_PER_TASK = 250_000
+
+
+def image_manifest(labels, listing, n_classes=N_CLASSES, per_class=None, seed=7, tasks=None):
     """Image / mask pairs: the given mask for defect rows, ``<stem>_label.PNG`` otherwise; only pairs whose
     two files exist.  With ``per_class``, a documented bound on training rows, at most ``per_class * n_classes``
-    non-defect rows are taken (in seeded hash order); by default all are."""
+    non-defect rows are taken (in seeded hash order); by default all are.  ``tasks``: rows and files are dealt by path over
+    so many tasks, so that the paths a task sorts stay few whatever the reader of the shuffle would merge."""
     base = F.concat(F.lit("Class"), F.col("class_no").cast("string"))
     rows = labels.select(
         F.concat(base, F.lit("/"), F.col("file")).alias("image_path"),
@@ -333,14 +338,15 @@ def image_manifest(labels, listing, n_classes=N_CLASSES, per_class=None, seed=7)
         .otherwise(F.concat(base, F.lit("/Label/"), F.split(F.col("file"), "\\.")[0], F.lit("_label.PNG")))
         .alias("mask_path"),
         "defect", uniform01("p_partkey", seed=seed).alias("__u"), "p_partkey")
-    files = listing.select("path").distinct()
-    rows = (rows.join(files.withColumnRenamed("path", "image_path"), "image_path", "left_semi")
-            .join(files.withColumnRenamed("path", "mask_path"), "mask_path", "left_semi"))
-    defects = rows.filter(F.col("defect") == 1)
-    others = rows.filter(F.col("defect") == 0)
+    rows = rows.filter(F.col("defect").isin(0, 1))
+    for path in ("image_path", "mask_path"):                                  # a path that is listed twice matches once
+        files = listing.select(F.col("path").alias(path)).hint("merge")       # it grows with the rows: never a broadcast
+        rows = (rows.repartition(tasks, path).join(files.repartition(tasks, path).hint("merge"), path, "left_semi") if tasks
+                else rows.join(files, path, "left_semi"))
     if per_class is not None:
-        others = others.orderBy("__u", "p_partkey").limit(per_class * n_classes)
-    return defects.unionByName(others).select("image_path", "mask_path", "defect")
+        others = rows.filter("defect = 0").orderBy("__u", "p_partkey").limit(per_class * n_classes)
+        rows = rows.filter("defect = 1").unionByName(others)
+    return rows.select("image_path", "mask_path", "defect")
 
 
 def _manifest_sql():
@@ -361,4 +367,5 @@ def _manifest_sql():
 
 @register("image_manifest", "2.2", _manifest_sql())
 def q_image_manifest(spark, d):
-    return image_manifest(_label_rows(spark, d), _listing(spark, d))
+    tasks = max(spark.sparkContext.defaultParallelism, -(-table(spark, d, "part").count() // LABELS_PER_TASK))
+    return image_manifest(_label_rows(spark, d), _listing(spark, d), tasks=tasks)
