@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.arrays import cosine, dot, l2_normalize, norm, vector_mean, vector_sum
-from quarry.operators.blocks import all_met, block_grid, block_id, block_pairs, every_block
+from quarry.operators.blocks import CELLS, SIDES, all_met, block_grid, block_id, block_pairs, every_block
+from quarry.session import Scratch
 
 
 def normalize_vectors(vectors: DataFrame) -> DataFrame:
@@ -65,7 +66,7 @@ def _blocked_topk(queries: DataFrame, items: DataFrame, k: int, mode: str, q_blo
     """queries(qid, pos array<array<double>>, neg array<array<double>>, q array<double>, excl array<string>);
     items(word, u array<double>).  Returns ``(qid, word, score, rank)`` for the top k per query."""
     n_items = items.count()
-    qb, ib = block_grid(queries.sparkSession, queries.count(), n_items, q_block, i_block)
+    qb, ib = block_grid(queries.sparkSession, queries.count(), n_items, q_block, i_block, SIDES)
     qrows = queries.withColumns({"qblk": block_id(F.xxhash64("qid"), qb), "iblk": every_block(ib)})
     irows = items.withColumns({"iblk": block_id(F.xxhash64("word"), ib), "qblk": every_block(qb)})
 
@@ -75,21 +76,22 @@ def _blocked_topk(queries: DataFrame, items: DataFrame, k: int, mode: str, q_blo
         ip = ip.sort_values("word", kind="stable")
         words = ip["word"].to_numpy()
         U = np.stack(ip["u"].to_numpy()).astype(np.float64)
-        if mode == "cosine":
-            S = np.stack(qp["q"].to_numpy()).astype(np.float64) @ U.T
-        else:
-            S = _term_products(qp["pos"], U) / (_term_products(qp["neg"], U) + 1e-6)
-        index = pd.Index(words)
-        for r, excl in enumerate(qp["excl"]):
-            c = index.get_indexer(np.asarray([] if excl is None else excl, dtype=object))
-            S[r, c[c >= 0]] = -np.inf
-        kk = min(k, len(words))
-        kept = np.partition(S, len(words) - kk, axis=1)[:, len(words) - kk]          # ties with the last stay in
-        rows, cols = np.nonzero((S >= kept[:, None]) & np.isfinite(S))
-        order = np.lexsort((cols, -S[rows, cols], rows))                             # words ascend: ties to the smaller
-        rows, cols = rows[order], cols[order]
-        first = np.searchsorted(rows, np.arange(len(qp) + 1))
-        top = [[(words[c], S[r, c]) for c in cols[first[r]:min(first[r] + kk, first[r + 1])]] for r in range(len(qp))]
+        index, kk, top, strip = pd.Index(words), min(k, len(words)), [], max(1, CELLS // len(words))
+        for lo in range(0, len(qp), strip):
+            part = qp.iloc[lo:lo + strip]
+            if mode == "cosine":
+                S = np.stack(part["q"].to_numpy()).astype(np.float64) @ U.T
+            else:
+                S = _term_products(part["pos"], U) / (_term_products(part["neg"], U) + 1e-6)
+            for r, excl in enumerate(part["excl"]):
+                c = index.get_indexer(np.asarray([] if excl is None else excl, dtype=object))
+                S[r, c[c >= 0]] = -np.inf
+            kept = np.partition(S, len(words) - kk, axis=1)[:, len(words) - kk]      # ties with the last stay in
+            rows, cols = np.nonzero((S >= kept[:, None]) & np.isfinite(S))
+            order = np.lexsort((cols, -S[rows, cols], rows))                         # words ascend: ties to the smaller
+            rows, cols = rows[order], cols[order]
+            first = np.searchsorted(rows, np.arange(len(part) + 1))
+            top += [[(words[c], S[r, c]) for c in cols[first[r]:min(first[r] + kk, first[r + 1])]] for r in range(len(part))]
         return pd.DataFrame({"qid": qp["qid"].to_numpy(), "met": np.full(len(qp), len(words), dtype=np.int64), "top": top})
 
     res = block_pairs(qrows, irows, ["qblk", "iblk"], score, "qid long, met long, top array<struct<word:string,score:double>>")
@@ -154,15 +156,52 @@ def analogy_accuracy(vectors: DataFrame, questions: DataFrame, restrict_vocab: i
     return per.unionByName(tot)
 
 
-def mean_word_vectors(tokens: DataFrame, vectors: DataFrame, doc: str = "doc_id", weight: str | None = None) -> DataFrame:
+#: Rows of a (document block, word block) pair and words of a block, about.
+PAIRS, WORD_BLOCK = 1 << 20, 1 << 16
+
+
+def mean_word_vectors(tokens: DataFrame, vectors: DataFrame, doc: str = "doc_id", weight: str | None = None,
+                      pairs: int | None = None, word_block: int | None = None) -> DataFrame:
     """Document vector = (weighted) mean of its tokens' vectors; tokens without a vector are ignored.
-    The per-document mean is a partial aggregate (Summarizer), so long documents need no array gather."""
+
+    A word's vector never travels with each document that holds the word: weights of (document, word) meet a block of vectors
+    and leave a sum for each document of the block, and the sums of a document's blocks are added up by Spark."""
+    scratch = Scratch(tokens.sparkSession, "word-vectors")
     w = F.sum(weight) if weight else F.count(F.lit(1))
-    counts = tokens.groupBy(doc, "word").agg(w.cast("double").alias("__n"))      # a word meets its vector once a document
-    j = counts.join(vectors.select("word", "vec"), "word")
-    tot = j.groupBy(doc).agg(F.sum("__n").alias("__w"))
-    j = j.join(tot, doc).withColumn("vec", F.transform("vec", lambda x: x * F.col("__n") / F.col("__w")))
-    return j.groupBy(doc).agg(vector_sum("vec").alias("vec"))
+    counts = scratch.write(tokens.filter(F.col(doc).isNotNull() & F.col("word").isNotNull()).groupBy(F.col(doc).alias("doc"), "word").agg(w.cast("double").alias("n")), "counts")
+    table = scratch.write(vectors.select("word", "vec").filter(F.col("word").isNotNull()), "vectors")
+    wb = max(1, -(-table.count() // (word_block or WORD_BLOCK)))
+    db = max(1, -(-counts.count() // (wb * (pairs or PAIRS))))
+    left = counts.withColumns({"dblk": block_id(F.xxhash64("doc"), db), "wblk": block_id(F.xxhash64("word"), wb)})
+    right = table.withColumns({"wblk": block_id(F.xxhash64("word"), wb), "dblk": every_block(db)})
+    kind = counts.schema["doc"].dataType.simpleString()
+
+    def add(key, cp: pd.DataFrame, vp: pd.DataFrame) -> pd.DataFrame:
+        none = pd.DataFrame({"doc": cp["doc"].iloc[:0], "s": pd.Series([], dtype="object"), "w": pd.Series([], dtype="float64")})
+        if cp.empty or vp.empty:
+            return none
+        at, words = pd.factorize(vp["word"])                                      # a word may come with several vectors
+        times, have = np.bincount(at), np.flatnonzero(vp["vec"].notna())
+        if not len(have):
+            return none
+        given = np.stack(vp["vec"].to_numpy()[have]).astype(np.float64)
+        V = np.zeros((len(words), given.shape[1]))
+        np.add.at(V, at[have], given)
+        cp = cp.assign(at=pd.Index(words).get_indexer(cp["word"])).query("at >= 0").sort_values("doc", kind="stable")
+        who, docs = pd.factorize(cp["doc"])
+        at, n = cp["at"].to_numpy(), cp["n"].to_numpy(dtype=np.float64)
+        sums, strip = np.zeros((len(docs), V.shape[1])), max(1, CELLS // V.shape[1])
+        for lo in range(0, len(at), strip):
+            part = who[lo:lo + strip]
+            first = np.flatnonzero(np.diff(part, prepend=-1))
+            sums[part[first]] += np.add.reduceat(V[at[lo:lo + strip]] * n[lo:lo + strip, None], first, axis=0)
+        return pd.DataFrame({"doc": docs, "s": list(sums), "w": np.bincount(who, weights=n * times[at], minlength=len(docs))})
+
+    parts = block_pairs(left, right, ["dblk", "wblk"], add, f"doc {kind}, s array<double>, w double")
+    total = parts.groupBy("doc").agg(vector_sum("s").alias("s"), F.sum("w").alias("w"))
+    out = scratch.write(total.select(F.col("doc").alias(doc), F.transform("s", lambda x: x / F.col("w")).alias("vec")), "result")
+    scratch.finish("result")
+    return out
 
 
 def tfidf_weights(tokens: DataFrame, doc: str = "doc_id") -> DataFrame:
