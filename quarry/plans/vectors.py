@@ -136,13 +136,19 @@ def q_vector_lookup(spark, d):
 
 def token_vectors(spark, d):
     """The fixed vector table for document words: the word of vocabulary rank r (count desc, word)
-    takes the embedding with vec_id = r mod (number of embeddings)."""
+    takes the embedding with vec_id = r mod (number of embeddings).  Returns the tokens, the vector that each word takes
+    (word, vec_id), and the vectors under their ids as words, so that a vector isn't written once for each of its words."""
     from quarry.plans.text import labelled_tokens
     toks = tm.doc_tokens(labelled_tokens(spark, d))
     voc = tm.vocabulary(toks, 1)
-    emb = fx.word_vectors_table(spark, d).select("vec_id", "vec")
+    emb = fx.word_vectors_table(spark, d).select(F.col("vec_id").alias("word"), "vec")
     n = emb.count()
-    return toks, voc.withColumn("vec_id", F.col("idx") % n).join(emb, "vec_id").select("word", "vec")
+    return toks, voc.select("word", (F.col("idx") % n).alias("vec_id")), emb
+
+
+def _by_vector(counted, takes):
+    """``counted(doc_id, word, w)`` with the vector's id in place of the word."""
+    return counted.join(takes, "word").select("doc_id", F.col("vec_id").alias("word"), "w")
 
 
 @register("document_vectors", "2.9", (
@@ -155,16 +161,16 @@ def token_vectors(spark, d):
     "x AS (SELECT t.doc_id, unnest(tv.vec) AS x, generate_subscripts(tv.vec, 1) - 1 AS pos FROM t JOIN tv ON t.word = tv.word) "
     "SELECT doc_id, CAST(pos AS INTEGER) AS pos, avg(x) AS value FROM x GROUP BY doc_id, pos"))
 def q_document_vectors(spark, d):
-    toks, tv = token_vectors(spark, d)
-    dv = vq.mean_word_vectors(toks, tv)
+    toks, takes, emb = token_vectors(spark, d)
+    counted = toks.groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("w"))
+    dv = vq.mean_word_vectors(_by_vector(counted, takes), emb, weight="w")
     return dv.select("doc_id", F.posexplode("vec").alias("pos", "value"))
 
 
 @register("document_vectors_tfidf", "2.9")
 def q_document_vectors_tfidf(spark, d):
-    toks, tv = token_vectors(spark, d)
-    w = vq.tfidf_weights(toks)
-    dv = vq.mean_word_vectors(toks.select("doc_id", "word").distinct().join(w, ["doc_id", "word"]), tv, weight="w")
+    toks, takes, emb = token_vectors(spark, d)
+    dv = vq.mean_word_vectors(_by_vector(vq.tfidf_weights(toks), takes), emb, weight="w")     # a row for each word of a document
     return dv.select("doc_id", F.posexplode("vec").alias("pos", "value"))
 
 
@@ -172,8 +178,9 @@ def q_document_vectors_tfidf(spark, d):
 def q_gaussian_nb(spark, d):
     from pyspark.ml.functions import array_to_vector
     from quarry.plans.text import labelled_tokens
-    toks, tv = token_vectors(spark, d)
-    dv = vq.mean_word_vectors(toks, tv)
+    toks, takes, emb = token_vectors(spark, d)
+    counted = toks.groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("w"))
+    dv = vq.mean_word_vectors(_by_vector(counted, takes), emb, weight="w")
     lab = labelled_tokens(spark, d).select("doc_id", F.col("label").cast("double").alias("label"), "split")
     data = dv.join(lab, "doc_id").select("doc_id", "label", "split", array_to_vector("vec").alias("features")).cache()
     model = tm.fit_gaussian_nb(data.filter(F.col("split") == "train"))
