@@ -107,11 +107,17 @@ def both_directions(pairs: DataFrame) -> DataFrame:
 
 
 def context_pair_counts(docs: DataFrame, window: int, doc="doc_id", tokens="tokens") -> DataFrame:
-    """(word, context, n) over all documents: forward pairs are counted once, then each count is added in both
-    directions."""
-    forward = forward_context_pairs(docs, window, doc, tokens).groupBy("word", "context").agg(F.count(F.lit(1)).alias("n"))
-    turned = F.array(F.struct("word", "context"), F.struct(F.col("context").alias("word"), F.col("word").alias("context")))
-    return forward.select("n", F.explode(turned).alias("p")).groupBy("p.word", "p.context").agg(F.sum("n").alias("n"))
+    """(word, context, n) over all documents.  A forward pair counts for both of its directions, so the pair's words are put
+    in order and counted once; the two rows of a count are made after the only shuffle."""
+    first, second = ordered_ends("word", "context")
+    once = forward_context_pairs(docs, window, doc, tokens).groupBy(first.alias("a"), second.alias("b")).agg(F.count(F.lit(1)).alias("n"))
+
+    def row(word: str, context: str, n: Column) -> Column:
+        return F.struct(F.col(word).alias("word"), F.col(context).alias("context"), n.alias("n"))
+
+    n = F.col("n")
+    both = F.when(F.col("a").eqNullSafe(F.col("b")), F.array(row("a", "b", 2 * n))).otherwise(F.array(row("a", "b", n), row("b", "a", n)))
+    return once.select(F.explode(both).alias("p")).select("p.word", "p.context", "p.n")
 
 
 def ordered_ends(a: str, b: str) -> list[Column]:
