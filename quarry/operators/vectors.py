@@ -169,7 +169,7 @@ def mean_word_vectors(tokens: DataFrame, vectors: DataFrame, doc: str = "doc_id"
     scratch = Scratch(tokens.sparkSession, "word-vectors")
     w = F.sum(weight) if weight else F.count(F.lit(1))
     counts = scratch.write(tokens.filter(F.col(doc).isNotNull() & F.col("word").isNotNull()).groupBy(F.col(doc).alias("doc"), "word").agg(w.cast("double").alias("n")), "counts")
-    table = scratch.write(vectors.select("word", "vec").filter(F.col("word").isNotNull()), "vectors")
+    table = scratch.write(vectors.select("word", "vec").filter("word IS NOT NULL AND vec IS NOT NULL"), "vectors")
     wb = max(1, -(-table.count() // (word_block or WORD_BLOCK)))
     db = max(1, -(-counts.count() // (wb * (pairs or PAIRS))))
     left = counts.withColumns({"dblk": block_id(F.xxhash64("doc"), db), "wblk": block_id(F.xxhash64("word"), wb)})
@@ -177,16 +177,12 @@ def mean_word_vectors(tokens: DataFrame, vectors: DataFrame, doc: str = "doc_id"
     kind = counts.schema["doc"].dataType.simpleString()
 
     def add(key, cp: pd.DataFrame, vp: pd.DataFrame) -> pd.DataFrame:
-        none = pd.DataFrame({"doc": cp["doc"].iloc[:0], "s": pd.Series([], dtype="object"), "w": pd.Series([], dtype="float64")})
         if cp.empty or vp.empty:
-            return none
+            return pd.DataFrame({"doc": cp["doc"].iloc[:0], "s": pd.Series([], dtype="object"), "w": pd.Series([], dtype="float64")})
         at, words = pd.factorize(vp["word"])                                      # a word may come with several vectors
-        times, have = np.bincount(at), np.flatnonzero(vp["vec"].notna())
-        if not len(have):
-            return none
-        given = np.stack(vp["vec"].to_numpy()[have]).astype(np.float64)
+        times, given = np.bincount(at), np.stack(vp["vec"].to_numpy()).astype(np.float64)
         V = np.zeros((len(words), given.shape[1]))
-        np.add.at(V, at[have], given)
+        np.add.at(V, at, given)
         cp = cp.assign(at=pd.Index(words).get_indexer(cp["word"])).query("at >= 0").sort_values("doc", kind="stable")
         who, docs = pd.factorize(cp["doc"])
         at, n = cp["at"].to_numpy(), cp["n"].to_numpy(dtype=np.float64)
