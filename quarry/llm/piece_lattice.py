@@ -23,7 +23,8 @@ import re
 import zlib
 from array import array
 from bisect import insort
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -36,7 +37,12 @@ from pyspark.sql import types as T
 from quarry.llm.common import text_column
 
 UNIT = 1_000_000
+NONE = 1 << 62
 CACHE = 1 << 17
+#: Units that are searched together: this many, of at most LONG characters, all among the vocabulary's COLUMNS commonest.
+TOGETHER, LONG, COLUMNS = 1 << 13, 32, 255
+#: Characters of texts whose units are looked up together, about.
+GROUP = 1 << 18
 _UNITS = re.compile(r" *[^\W_]+| *(?:[^\w ]|_)+| +")
 
 
@@ -64,10 +70,30 @@ class Pieces:
         self.raw = {i: p.encode() for i, p in piece.items()} | {i: bytes([b]) for b, i in bytes_.items()}
         # pairs of characters that a piece joins across two units; such units stay together
         self.joins = {a[-1] + b[0] for p in piece.values() for u in [_UNITS.findall(p)] for a, b in zip(u, u[1:])}
+        self._table()
         self.known: dict[str, tuple] = {}
         self.older: dict[str, tuple] = {}
         self.chosen: dict[str, list] = {}
 
+    def _table(self) -> None:
+        """The vocabulary as a trie in arrays.  State 0 is dead, 1 the root; states that nothing follows come last and share
+        a row.  Column 0 stands for other characters."""
+        common = Counter(c for p in self.cost for c in p)
+        alone = [c for c, _ in common.most_common() if c in self.cost][:COLUMNS]
+        self.column = np.zeros(0x110000, np.uint8)
+        self.column[[ord(c) for c in alone]] = range(1, len(alone) + 1)
+        inner = {"": None} | {p[:-1]: None for p in self.begins}
+        state = {p: k for k, p in enumerate([*inner, *(p for p in self.begins if p not in inner)], 1)}
+        self.leaves = len(inner) + 1
+        self.follow = np.zeros((self.leaves + 1, COLUMNS + 1), np.min_scalar_type(len(state)))
+        self.end_cost, self.end_id = np.full(len(state) + 1, NONE), np.zeros(len(state) + 1, np.int32)
+        for p, k in state.items():
+            if p:
+                self.follow[state[p[:-1]], self.column[ord(p[-1])]] = k
+                if got := self.begins[p]:
+                    self.end_cost[k], self.end_id[k] = got
+        self.follow[:, 0] = 0
+
     @classmethod
     def open(cls, path: str, n: int) -> "Pieces":
         if (path, n) not in cls._open:
@@ -136,7 +162,7 @@ class Pieces:
         The second one leaves the first, seen from the end, at some place by another piece; before that it is the
         cheapest: the first two results of the backward search, without a queue."""
         get, n = self.begins.get, len(unit)
-        none = 1 << 62
+        none = NONE
         first, second, back, ids = [none] * (n + 1), [none] * (n + 1), [0] * (n + 1), [None] * (n + 1)
         first[0] = 0
         for i in range(n):
@@ -172,14 +198,69 @@ class Pieces:
             path = [k for x in path for k in (x if type(x) is tuple else (x,))]
         return first[n], tuple(path), gap if gap < none else -1
 
-    def _learn(self, units) -> None:
+    def best_of(self, units: list[str]) -> Iterator[tuple[str, tuple[int, bytes, int, int]]]:
+        """``best`` of many units of common characters, with the ids as bytes and their number: the same passes, each step
+        taken for all units at once."""
+        units = sorted(units, key=len, reverse=True)  # those that reach a place come first
+        sizes, many = np.fromiter(map(len, units), np.int64, len(units)), len(units)
+        width, rows, begin = len(units[0]), np.arange(many), np.cumsum(sizes) - sizes
+        reach = [int(np.count_nonzero(sizes >= j)) for j in range(width + 1)]
+        columns = self._columns(units)
+        chars = [columns[begin[:reach[j + 1]] + j] for j in range(width)]
+        first, second = np.full((width + 1, many), NONE), np.full((width + 1, many), NONE)
+        back, last = np.zeros((width + 1, many), np.int16), np.zeros((width + 1, many), np.int32)
+        first[0] = 0
+        for i in range(width):
+            state = np.ones(many, self.follow.dtype)
+            for j in range(i + 1, width + 1):
+                state = self.follow[np.minimum(state[:reach[j]], self.leaves), chars[j - 1]]
+                if not state.any():
+                    break
+                cost, least, other = first[i, :reach[j]] + self.end_cost[state], first[j, :reach[j]], second[j, :reach[j]]
+                better = np.flatnonzero(cost < least)  # equal costs: the earlier begin
+                np.minimum(other, np.maximum(least, cost), out=other)
+                least[better] = cost[better]
+                back[j, better], last[j, better] = i, self.end_id[state[better]]
+        whole, gap, path, n = first[sizes, rows], np.full(many, NONE), np.zeros((many, width), np.int32), np.zeros(many, np.int64)
+        place = sizes
+        while len(rows):
+            n[rows] += 1
+            more = second[place, rows]
+            gap[rows] = np.minimum(gap[rows], np.where(more < NONE, more - first[place, rows], NONE))
+            path[rows, width - n[rows]] = last[place, rows]
+            place = back[place, rows]
+            rows, place = rows[place > 0], place[place > 0]
+        gap[gap == NONE] = -1
+        ids, step = path.tobytes(), path.itemsize
+        ends = (np.arange(1, many + 1) * width * step).tolist()
+        for unit, cost, extra, size, end in zip(units, whole.tolist(), gap.tolist(), n.tolist(), ends):
+            yield unit, (cost, ids[end - size * step:end], extra, size)
+
+    def _columns(self, units: list[str]) -> np.ndarray:
+        return self.column[np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32)]
+
+    def _learn(self, units: Iterable[str]) -> None:
         """Cost, ids, distance to the second choice and number of ids of each unit.  Units of the last generation of
         the cache move on to the new one, so frequent ones stay."""
-        for u in units:
+        if len(self.known) > CACHE:
+            self.older, self.known = self.known, {}
+        new = []
+        for u in set(units).difference(self.known):
             if (old := self.older.get(u)) is None:
-                cost, ids, gap = self.best(u)
-                old = cost, array("i", ids).tobytes(), gap, len(ids)
-            self.known[u] = old
+                new.append(u)
+            else:
+                self.known[u] = old
+        if not new:
+            return
+        new.sort(key=len)
+        sizes = np.fromiter(map(len, new), np.int64, len(new))
+        able = (np.minimum.reduceat(self._columns(new), np.cumsum(sizes) - sizes) > 0) & (sizes <= LONG)
+        for k in np.flatnonzero(~able).tolist():
+            cost, ids, gap = self.best(new[k])
+            self.known[new[k]] = cost, array("i", ids).tobytes(), gap, len(ids)
+        many = [new[k] for k in np.flatnonzero(able).tolist()]
+        for k in range(0, len(many), TOGETHER):
+            self.known.update(self.best_of(many[k:k + TOGETHER]))
 
     def choices(self, unit: str) -> list[tuple[int, tuple[int, ...]]]:
         """The N best of a unit, that of ``best`` first."""
@@ -193,12 +274,25 @@ class Pieces:
     def segment(self, text: str | None) -> tuple[int, np.ndarray, list[tuple[int, list[tuple[int, int, tuple[int, ...]]]]]]:
         """Cost and ids of the best segmentation of a text, and the others of the N best: cost and edits to the best
         one's ids as (place, ids to drop, ids to put)."""
-        units = self.units(text or "")
+        return next(self.segments([text]))
+
+    def segments(self, texts: Iterable[str | None]) -> Iterator[tuple[int, np.ndarray, list[tuple[int, list[tuple[int, int, tuple[int, ...]]]]]]]:
+        """``segment`` of each text; new units of texts that follow each other are searched together."""
+        group: list[list[str]] = []
+        size = 0
+        for text in texts:
+            group.append(self.units(text or ""))
+            size += len(text or "")
+            if size >= GROUP:
+                self._learn(u for units in group for u in units)
+                yield from map(self._segment, group)
+                group, size = [], 0
+        self._learn(u for units in group for u in units)
+        yield from map(self._segment, group)
+
+    def _segment(self, units: list[str]) -> tuple[int, np.ndarray, list[tuple[int, list[tuple[int, int, tuple[int, ...]]]]]]:
         if not units:
             return 0, np.empty(0, np.int32), []
-        if len(self.known) > CACHE:
-            self.older, self.known = self.known, {}
-        self._learn(set(units).difference(self.known))
         costs, ids, second, sizes = zip(*map(self.known.__getitem__, units))
         cost, whole = sum(costs), np.frombuffer(b"".join(ids), dtype=np.int32)
         # a deviation outside the N - 1 units with the cheapest second choice can't be among the N best
@@ -236,7 +330,7 @@ SLICE = 256
 
 
 def _segmented(pieces: Pieces, texts: list[str]) -> pa.StructArray:
-    costs, ids, others = zip(*map(pieces.segment, texts))
+    costs, ids, others = zip(*pieces.segments(texts))
     size = np.cumsum([0, *map(len, ids)])
     lists = pa.ListArray.from_arrays(pa.array(size, pa.int32()), pa.array(np.concatenate(ids), pa.int32()))
     rest = pa.array([[{"score": -c / UNIT, "edits": [{"place": p, "drop": d, "put": put} for p, d, put in e]} for c, e in o] for o in others], _OTHERS)

@@ -1,4 +1,5 @@
 import random
+from array import array
 
 import public_tokenizers
 import pytest
@@ -104,3 +105,34 @@ def test_documents(spark, odd_docs, no_docs, n):
     back = pl.decode_pieces(pl.encode_pieces(odd_docs, PATH, n=n).select("text", "pieces.ids"), PATH, name="again")
     assert all((r.text or "") == r.again for r in back.collect())
     assert pl.encode_pieces(no_docs, PATH).count() == 0
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text(alphabet="ab ._é東▁", min_size=1, max_size=9), min_size=1, max_size=30, unique=True), st.booleans())
+def test_units_searched_together_are_as_alone(units, by_unit):
+    p = small(4, by_unit)
+    p._learn(units)
+    for u in units:
+        cost, ids, gap = p.best(u)
+        assert p.known[u] == (cost, array("i", ids).tobytes(), gap, len(ids))
+
+
+def test_common_words_are_searched_together(monkeypatch):
+    p = pl.Pieces(PATH, 4)
+    rnd = random.Random(8)
+    words = list({" " + "".join(rnd.choice("etaoinshrdlu") for _ in range(rnd.randrange(1, 20))) for _ in range(3000)})
+    alone = {w: p.best(w) for w in words}
+    monkeypatch.setattr(pl, "TOGETHER", 500)
+    monkeypatch.setattr(pl.Pieces, "best", lambda self, unit: pytest.fail("searched alone"))
+    p._learn(words)
+    assert all(p.known[w] == (c, array("i", ids).tobytes(), gap, len(ids)) for w, (c, ids, gap) in alone.items())
+
+
+def test_groups_of_texts_and_a_full_cache(monkeypatch):
+    p, q = small(4), small(4)
+    rnd = random.Random(9)
+    texts = [None, ""] + ["".join(rnd.choice("ab ._é東") for _ in range(rnd.randrange(60))) for _ in range(50)]
+    want = [(c, ids.tolist(), o) for c, ids, o in map(q.segment, texts)]
+    monkeypatch.setattr(pl, "GROUP", 100)
+    monkeypatch.setattr(pl, "CACHE", 16)
+    assert [(c, ids.tolist(), o) for c, ids, o in p.segments(texts)] == want
