@@ -106,13 +106,22 @@ def prefix(word: str, most: int, frequent: dict[str, int]) -> list[tuple[int, st
     return sorted(grams, key=lambda g: (frequent.get(g[1], 0), -len(g[1]), g[1], g[0]))[:keep]
 
 
+def parity(word: str) -> int:
+    """Code points that occur an odd number of times, as bits (signed).  One edit turns two bits at most."""
+    bits = 0
+    for c in word:
+        bits ^= 1 << (ord(c) & 63)
+    return bits - (1 << 64) if bits >> 63 else bits
+
+
 def _signatures(frequent: dict[str, int]):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("pos", pa.int32()), ("gram", pa.string())]))
         for batch in batches:
             words = batch.column(0).to_pylist()
             own, longer = ([[{"pos": p, "gram": g} for p, g in prefix(w, longest(len(w) - less), frequent)] for w in words] for less in (0, 1))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(own, kind), pa.array(longer, kind)], names=["word", "n", "own", "longer"])
+            odd = pa.array(map(parity, words), pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), odd, pa.array(own, kind), pa.array(longer, kind)], names=["word", "n", "odd", "own", "longer"])
     return sign
 
 
@@ -121,12 +130,12 @@ def near_words(vocab: DataFrame) -> DataFrame:
     differ by exactly one inserted, deleted or replaced code point, in both directions."""
     grams = "array<struct<pos:int,gram:string>>"
     frequent = frequent_grams(vocab)
-    signed = materialize(vocab.select("word", "n").mapInArrow(_signatures(frequent), f"word string, n long, own {grams}, longer {grams}"), "grams")
+    signed = materialize(vocab.select("word", "n").mapInArrow(_signatures(frequent), f"word string, n long, odd long, own {grams}, longer {grams}"), "grams")
 
     def keyed(kind: str, band: Column, places: Column) -> DataFrame:
         """A row for each gram and place with its list: the shorter word's length, whether lengths are equal, place, gram."""
-        return (signed.select("word", "n", band.alias("band"), F.explode(kind).alias("g")).select("word", "n", "band", "g.gram", F.explode(places).alias("at"))
-                .select(F.xxhash64("band", "at.longer", "at.pos", "gram").alias("key"), "word", "n"))
+        return (signed.select("word", "n", "odd", band.alias("band"), F.explode(kind).alias("g")).select("word", "n", "odd", "band", "g.gram", F.explode(places).alias("at"))
+                .select(F.xxhash64("band", "at.longer", "at.pos", "gram").alias("key"), "word", "n", "odd"))
 
     def at(longer: int, pos: Column) -> Column:
         return F.struct(F.lit(longer).alias("longer"), pos.alias("pos"))
@@ -134,9 +143,10 @@ def near_words(vocab: DataFrame) -> DataFrame:
     size, pos = F.length("word"), F.col("g.pos")
     left = keyed("own", size, F.array(at(0, pos), at(1, pos), at(1, pos + 1)))
     right = keyed("own", size, F.array(at(0, pos))).unionByName(keyed("longer", size - 1, F.array(at(1, pos))))
-    right = right.select("key", F.col("word").alias("near"), F.col("n").alias("near_n"))
+    right = right.select("key", F.col("word").alias("near"), F.col("n").alias("near_n"), F.col("odd").alias("near_odd"))
     once = (F.length("word") < F.length("near")) | (F.col("word") < F.col("near"))
-    pairs = left.join(right, "key").filter(once & (F.levenshtein("word", "near", 1) == 1)).select("word", "n", "near", "near_n").distinct()
+    able = F.bit_count(F.col("odd").bitwiseXOR(F.col("near_odd"))) <= 2   # most words that meet fail here, before the edit distance
+    pairs = left.join(right, "key").filter(able & once & (F.levenshtein("word", "near", 1) == 1)).select("word", "n", "near", "near_n").distinct()
     pairs = materialize(pairs, "near-words")
     return pairs.unionByName(pairs.select(F.col("near").alias("word"), F.col("near_n").alias("n"), F.col("word").alias("near"), F.col("n").alias("near_n")))
 

@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 
 from quarry.llm import gram_variants
-from quarry.llm.gram_variants import affected, decompose, document_words, longest, prefix, spelling_variants, variants
+from quarry.llm.gram_variants import affected, decompose, document_words, longest, near_words, parity, prefix, spelling_variants, variants
 
 
 def near(a, b):
@@ -101,3 +101,31 @@ def test_empty_and_short(spark, no_docs):
         spelling_variants(no_docs, min_len=3)
     with pytest.raises(ValueError, match="ratio"):
         variants(no_docs, ratio=1)
+
+
+def test_one_edit_turns_two_bits_at_most():
+    rnd = random.Random(6)
+    letters = "abcxyzàÿ\u0130東🙂"
+    for _ in range(2000):
+        w = "".join(rnd.choice(letters) for _ in range(rnd.randrange(4, 12)))
+        p, c = rnd.randrange(len(w)), rnd.choice(letters)
+        for near in (w[:p] + w[p + 1:], w[:p] + c + w[p:], w[:p] + c + w[p + 1:]):
+            assert -(1 << 63) <= parity(near) < 1 << 63
+            assert ((parity(w) ^ parity(near)) & ((1 << 64) - 1)).bit_count() <= 2
+
+
+def test_words_that_meet_are_told_apart_before_the_edit_distance(spark):
+    plans, write = [], gram_variants.materialize
+
+    def noted(df, name):
+        plans.append((name, df._jdf.queryExecution().optimizedPlan().toString()))
+        return write(df, name)
+
+    vocab = spark.createDataFrame([("letters", 3), ("lettert", 40), ("setters", 2), ("letter", 9), ("retells", 5), ("dàÿletters", 2)], "word string, n long")
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(gram_variants, "materialize", noted)
+        got = {(r.word, r.near) for r in near_words(vocab).collect()}
+    pairs = [("letters", "lettert"), ("letters", "setters"), ("letters", "letter"), ("lettert", "letter")]
+    assert got == {*pairs, *((b, a) for a, b in pairs)}
+    plan = dict(plans)["near-words"]
+    assert 0 < plan.index("bit_count(") < plan.index("levenshtein(")
